@@ -37,7 +37,7 @@ def full_name_strict(first: Column, last: Column) -> Column:
 
 def normalise_name(name: Column) -> Column:
     """Upper case, without outer spaces, any run of white space as one space."""
-    one_line = F.regexp_replace(name, r"[\r\n\t]+", " ")
+    one_line = F.translate(name, "\r\n\t", "   ")
     return F.regexp_replace(F.trim(F.upper(one_line)), " +", " ")
 
 

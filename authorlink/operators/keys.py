@@ -87,7 +87,11 @@ def find_hot_keys(
         *[F.when(no_null(on), F.xxhash64(*on)).alias(name) for name, on in key_sets.items()],
         F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("_group"),
     )
-    sketches = hashed.groupBy("_group").agg(
+    # An empty table has no sketch to merge, so one row without any key joins in.
+    blank = df.sparkSession.range(1).select(
+        *[F.lit(None).cast("bigint").alias(name) for name in key_sets], F.lit(0).alias("_group")
+    )
+    sketches = hashed.unionByName(blank).groupBy("_group").agg(
         *[F.expr(f"approx_top_k_accumulate({name}, {_SKETCH_ITEMS})").alias(name) for name in key_sets]
     )
     found = sketches.agg(
@@ -122,7 +126,7 @@ def _salt_right(right: DataFrame, on: Sequence[str], hot: HotKeys) -> DataFrame:
         return right.withColumn(_SALT, F.explode(salts.otherwise(F.array(F.lit(0)))))
     # Always 0, but computed per row: a literal would be folded out of the join key,
     # and the rows with missing keys would fall into one task again.
-    return right.withColumn(_SALT, F.pmod(F.xxhash64(*on), F.lit(1)).cast("int"))
+    return right.withColumn(_SALT, F.pmod(F.xxhash64(on[0]), F.lit(1)).cast("int"))
 
 
 def _check_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> None:
