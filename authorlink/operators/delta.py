@@ -11,7 +11,7 @@ from authorlink.functions.names import (
     full_name_or_unidentified,
     normalise_name,
 )
-from authorlink.operators.keys import HotKeys, NO_HOT_KEYS, collapse_copies, exclude, lookup_flag
+from authorlink.operators.keys import HotKeys, collapse_copies, exclude, lookup_flag
 from authorlink.schemas import CHANGED, CREDIT, MASTER_TO_CREDIT, NEW, SAME, SLOT
 
 _NORM = "author_nm_norm"
@@ -53,13 +53,13 @@ def normalised(credits: DataFrame) -> DataFrame:
     return credits.withColumn(_NORM, normalise_name(F.col("author_nm")))
 
 
-def new_by_existence(credits: DataFrame, master: DataFrame, hot: HotKeys = NO_HOT_KEYS) -> DataFrame:
+def new_by_existence(credits: DataFrame, master: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Credits whose book, contributor and raw name the master does not have together."""
     return exclude(credits, master_credits(master), SEEN_CREDIT, hot).distinct()
 
 
 def delta_classify(
-    credits: DataFrame, master: DataFrame, hot_slot: HotKeys = NO_HOT_KEYS, hot_exact: HotKeys = NO_HOT_KEYS
+    credits: DataFrame, master: DataFrame, hot_slot: HotKeys | None = None, hot_exact: HotKeys | None = None
 ) -> DataFrame:
     """Flag each credit NEW, CHANGED or SAME.
 
@@ -78,7 +78,7 @@ def delta_filter(classified: DataFrame) -> DataFrame:
 
 
 def delta_work(
-    credits: DataFrame, master: DataFrame, hot_slot: HotKeys = NO_HOT_KEYS, hot_exact: HotKeys = NO_HOT_KEYS
+    credits: DataFrame, master: DataFrame, hot_slot: HotKeys | None = None, hot_exact: HotKeys | None = None
 ) -> DataFrame:
     """P06 and P07 in one: the work set, exact copies collapsed to a count.
 

@@ -69,8 +69,10 @@ def with_spread(scan: DataFrame) -> DataFrame:
     return scan.withColumn(SPREAD, F.monotonically_increasing_id())
 
 
-def _estimated_bytes(df: DataFrame) -> int:
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def _source_bytes(df: DataFrame) -> int:
+    """What Catalyst expects to read for ``df``; its guess for a join's output is the product of both sides."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
 def find_hot_keys(
@@ -81,7 +83,7 @@ def find_hot_keys(
     Frequent-item sketches of bounded size are merged in two levels, so neither
     a task nor the driver receives more than a few hundred of them.
     """
-    if _estimated_bytes(df) < options.hot_min_bytes:
+    if _source_bytes(df) < options.hot_min_bytes:
         return {name: NO_HOT_KEYS for name in key_sets}
     hashed = df.select(
         *[F.when(no_null(on), F.xxhash64(*on)).alias(name) for name, on in key_sets.items()],
@@ -135,29 +137,65 @@ def _check_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> None:
             raise TypeError(f"key {c!r} has different types on the two sides of a join")
 
 
-def _salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], hot: HotKeys, how: str) -> DataFrame:
+def _or_search(hot: HotKeys | None, left: DataFrame, on: Sequence[str]) -> HotKeys:
+    return find_hot_keys(left, {"key": on})["key"] if hot is None else hot
+
+
+def _salted_keys(right: DataFrame, on: Sequence[str], hot: HotKeys) -> DataFrame:
+    """The distinct keys of ``right`` with their salts.
+
+    Without hot keys the salt comes first, so that one shuffle serves both the
+    distinct and the join. Copies of hot keys are combined before they are repeated.
+    """
+    partners = right.select(*on)
+    return _salt_right(partners.distinct(), on, hot) if hot else _salt_right(partners, on, hot).distinct()
+
+
+# ``hot`` in the joins below: the hot keys of ``left``; searched for when None.
+
+
+def _join(left: DataFrame, right: DataFrame, on: Sequence[str], hot: HotKeys | None, how: str) -> DataFrame:
     _check_types(left, right, on)
-    return _salt_left(left, on, hot).join(_salt_right(right, on, hot), [*on, _SALT], how)
+    hot = _or_search(hot, left, on)
+    joined = _salt_left(left, on, hot).join(_salt_right(right, on, hot), [*on, _SALT], how)
+    return joined.select(*left.columns, *[c for c in right.columns if c not in on])
 
 
-def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], hot: HotKeys = NO_HOT_KEYS) -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], hot: HotKeys | None = None) -> DataFrame:
     """Left join; the columns of ``right`` follow those of ``left``."""
-    added = [c for c in right.columns if c not in on]
-    return _salted_join(left, right, on, hot, "left").select(*left.columns, *added)
+    return _join(left, right, on, hot, "left")
 
 
-def exclude(left: DataFrame, right: DataFrame, on: Sequence[str], hot: HotKeys = NO_HOT_KEYS) -> DataFrame:
+def match(left: DataFrame, right: DataFrame, on: Sequence[str], hot: HotKeys | None = None) -> DataFrame:
+    """Inner join, with columns as in ``lookup``."""
+    return _join(left, right, on, hot, "inner")
+
+
+def _join_keys(left: DataFrame, right: DataFrame, on: Sequence[str], hot: HotKeys | None, how: str) -> DataFrame:
+    _check_types(left, right, on)
+    hot = _or_search(hot, left, on)
+    return _salt_left(left, on, hot).join(_salted_keys(right, on, hot), [*on, _SALT], how)
+
+
+def exclude(left: DataFrame, right: DataFrame, on: Sequence[str], hot: HotKeys | None = None) -> DataFrame:
     """Rows of ``left`` without a partner (NOT EXISTS: a missing key has none)."""
-    partners = right.select(*on).distinct()
-    return _salted_join(left, partners, on, hot, "left_anti").select(*left.columns)
+    return _join_keys(left, right, on, hot, "left_anti").select(*left.columns)
+
+
+def keep(left: DataFrame, right: DataFrame, on: Sequence[str], hot: HotKeys | None = None) -> DataFrame:
+    """Rows of ``left`` with a partner."""
+    return _join_keys(left, right, on, hot, "left_semi").select(*left.columns)
 
 
 def lookup_flag(
-    left: DataFrame, right: DataFrame, on: Sequence[str], flag: str, hot: HotKeys = NO_HOT_KEYS
+    left: DataFrame, right: DataFrame, on: Sequence[str], flag: str, hot: HotKeys | None = None
 ) -> DataFrame:
     """Add a boolean: does the row have a partner. Never repeats rows of ``left``."""
-    partners = right.select(*on).distinct().withColumn(flag, F.lit(True))
-    return lookup(left, partners, on, hot).withColumn(flag, F.col(flag).isNotNull())
+    _check_types(left, right, on)
+    hot = _or_search(hot, left, on)
+    partners = _salted_keys(right, on, hot).withColumn(flag, F.lit(True))
+    found = _salt_left(left, on, hot).join(partners, [*on, _SALT], "left")
+    return found.select(*left.columns, F.col(flag).isNotNull().alias(flag))
 
 
 def one_per_key(rows: DataFrame, on: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -176,7 +214,7 @@ def update_from(
     source: DataFrame,
     on: Sequence[str],
     values: dict[str, Column],
-    hot: HotKeys = NO_HOT_KEYS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Overwrite columns of ``target`` rows whose key is in ``source``.
 
@@ -213,7 +251,7 @@ def residual_after(
     linked: DataFrame,
     on: Sequence[str],
     null_safe: bool = False,
-    hot: HotKeys = NO_HOT_KEYS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Rows whose key is NOT IN the keys of ``linked``, by SQL's three-valued logic.
 

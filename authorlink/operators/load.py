@@ -13,7 +13,7 @@ from authorlink.operators.keys import (
     SPREAD,
     any_null,
     exclude,
-    lookup,
+    find_hot_keys,
     lookup_flag,
     no_null,
     one_per_key,
@@ -62,7 +62,7 @@ def changes_per_slot(linked: DataFrame) -> DataFrame:
     return one_per_key(changed.filter(no_null(SLOT)), SLOT, order).withColumnsRenamed(CREDIT_TO_MASTER)
 
 
-def apply_changed(master: DataFrame, linked: DataFrame, hot: HotKeys = NO_HOT_KEYS) -> DataFrame:
+def apply_changed(master: DataFrame, linked: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Overwrite the master rows in the slot of a CHANGED credit; their id must be found anew."""
     overwritten = ["trade_db_contributor_id", "trade_db_author_name", "matched_isni", "id_source"]
     changes = changes_per_slot(linked).withColumnsRenamed({c: f"_new_{c}" for c in overwritten})
@@ -194,7 +194,7 @@ def merge_upsert(
     master: DataFrame,
     stage: DataFrame,
     options: Options = Options(),
-    hot: HotKeys = NO_HOT_KEYS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Update master rows that meet a staged row on the merge key, insert the other staged rows.
 
@@ -222,6 +222,8 @@ def merge_upsert(
     if options.null_safe_merge:
         return _merge_null_safe(master, _one_per_merge_key(stage, options.strict_merge), stamp, as_insert)
 
+    if hot is None:
+        hot = find_hot_keys(master, {"merge": MERGE_KEY}, options)["merge"]
     parts = [
         master.filter(any_null(MERGE_KEY)).select(*columns),
         as_insert(stage.filter(any_null(MERGE_KEY)).select(*_MERGED)),
@@ -235,7 +237,7 @@ def merge_upsert(
         new = hot_source.withColumnsRenamed({c: f"_new_{c}" for c in _UPDATED})
         parts += [
             update_from(hot_target, new, MERGE_KEY, values, hot).select(*columns),
-            as_insert(exclude(hot_source, hot_target, MERGE_KEY)),
+            as_insert(exclude(hot_source, hot_target, MERGE_KEY, NO_HOT_KEYS)),
         ]
         target, source = target.filter(~is_hot), source.filter(~is_hot)
 
@@ -273,14 +275,14 @@ def _merge_null_safe(target: DataFrame, source: DataFrame, stamp: dict, as_inser
     return updated.select(*fresh.columns).unionByName(fresh)
 
 
-def flag_unsynced(master: DataFrame, old_hashes: DataFrame, hot: HotKeys = NO_HOT_KEYS) -> DataFrame:
+def flag_unsynced(master: DataFrame, old_hashes: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Rows whose hash was not known before the merge must be synchronised again."""
     seen = lookup_flag(master, old_hashes, [_HASH], "_seen", hot)
     return _unsync(seen, ~F.col("_seen"), master.columns)
 
 
 def flag_unsynced_by_stage(
-    merged: DataFrame, stage: DataFrame, old_master: DataFrame, hot: HotKeys = NO_HOT_KEYS
+    merged: DataFrame, stage: DataFrame, old_master: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
     """P42 right after P41: every hash in the merged master is an old one or a staged one.
 
@@ -288,7 +290,8 @@ def flag_unsynced_by_stage(
     are about one per new author; they are found first, and the master is only
     compared with those.
     """
-    unseen = exclude(stage.select(_HASH).filter(F.col(_HASH).isNotNull()).distinct(), old_master, [_HASH])
+    staged = stage.select(_HASH).filter(F.col(_HASH).isNotNull()).distinct()
+    unseen = exclude(staged, old_master, [_HASH], NO_HOT_KEYS)  # distinct keys are never hot
     found = lookup_flag(merged, unseen, [_HASH], "_unseen", hot)
     return _unsync(found, F.col("_unseen") | F.col(_HASH).isNull(), merged.columns)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from authorlink.functions.names import full_name_guarded, full_name_or_unidentified, full_name_strict
 from authorlink.operators.delta import master_credits
-from authorlink.operators.keys import HotKeys, NO_HOT_KEYS, lookup, singletons
+from authorlink.operators.keys import HotKeys, keep, lookup, match, singletons
 from authorlink.schemas import (
     AMBIGUOUS_FLAG,
     BY_CONTRIBUTOR,
@@ -69,7 +69,7 @@ def _label(isni: str, label: str) -> Column:
     return F.when(F.col(isni).isNotNull(), F.lit(label)).alias("ref_to")
 
 
-def bucket_isni(work: DataFrame, unique: DataFrame, hot: HotKeys = NO_HOT_KEYS) -> DataFrame:
+def bucket_isni(work: DataFrame, unique: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Link by a uniquely matched name."""
     found = lookup(work, unique.select("author_nm", "matched_isni"), ["author_nm"], hot)
     return found.select("*", _label("matched_isni", BY_NAME))
@@ -84,10 +84,12 @@ def isni_full_names(isni_authors: DataFrame) -> DataFrame:
     return isni_authors.select("isni", name.alias("full_name")).distinct()
 
 
-def isni_book_authors(isni_isbns: DataFrame, full_names: DataFrame) -> DataFrame:
+def isni_book_authors(
+    isni_isbns: DataFrame, full_names: DataFrame, hot: HotKeys | None = None
+) -> DataFrame:
     """Books of each ISNI holder, with the holder's name."""
     books = isni_isbns.select("isbn13", "isni").distinct()
-    return books.join(full_names, "isni").select("isbn13", "isni", "full_name")
+    return match(books, full_names, ["isni"], hot)
 
 
 def match_status(
@@ -95,7 +97,7 @@ def match_status(
     book_authors: DataFrame,
     ambiguous: DataFrame,
     show_sources: bool,
-    hot: HotKeys = NO_HOT_KEYS,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Compare the ISNI known for book and name with what the matcher proposed."""
     by_book = book_authors.withColumnRenamed("full_name", "author_nm")
@@ -128,17 +130,23 @@ def bucket_prefilled(status: DataFrame) -> DataFrame:
     )
 
 
-def confirmed_names(book_authors: DataFrame, ambiguous: DataFrame) -> DataFrame:
-    """Book, name and ISNI wherever the book confirms a proposal of the matcher."""
+def confirmed_names(
+    isni_isbns: DataFrame, full_names: DataFrame, ambiguous: DataFrame, hot: HotKeys | None = None
+) -> DataFrame:
+    """Book, name and ISNI wherever a book confirms a proposal of the matcher.
+
+    P14 and the proposals of P15, joined the other way round: holders that were
+    not proposed drop out before their books are read.
+    """
     proposed = ambiguous.select("author_nm", F.col("matched_isni").alias("isni"))
-    by_book = book_authors.withColumnRenamed("full_name", "author_nm")
-    return by_book.join(proposed, ["author_nm", "isni"]).select(
-        *BOOK_AND_NAME, F.col("isni").alias("final_isni")
-    )
+    holders = full_names.withColumnRenamed("full_name", "author_nm")
+    holders = match(proposed, holders, ["author_nm", "isni"])
+    books = keep(isni_isbns.select("isbn13", "isni"), holders, ["isni"], hot).distinct()
+    return match(books, holders, ["isni"], hot).select(*BOOK_AND_NAME, F.col("isni").alias("final_isni"))
 
 
 def prefilled_candidates(
-    residual: DataFrame, confirmed: DataFrame, hot: HotKeys = NO_HOT_KEYS
+    residual: DataFrame, confirmed: DataFrame, hot: HotKeys | None = None
 ) -> DataFrame:
     """P15 and P16 in one: only pairs that end as a unique match are ever joined."""
     found = lookup(residual, confirmed, BOOK_AND_NAME, hot).filter(F.col("final_isni").isNotNull())
@@ -179,7 +187,7 @@ def unique_isni_per_contributor(pairs: DataFrame) -> DataFrame:
     return grouped.filter(F.col("_n") == 1).drop("_n")
 
 
-def bucket_tradedb_isni(residual: DataFrame, unique: DataFrame, hot: HotKeys = NO_HOT_KEYS) -> DataFrame:
+def bucket_tradedb_isni(residual: DataFrame, unique: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Link by the contributor's only known ISNI."""
     found = lookup(residual, unique, ["trade_db_contributor_id"], hot)
     return found.select("*", _label("matched_isni", BY_CONTRIBUTOR))

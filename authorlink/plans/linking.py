@@ -7,14 +7,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 
 from authorlink.operators.delta import COPIES
-from authorlink.operators.keys import NO_HOT_KEYS, HotKeys, residual_after, residual_unlinked
+from authorlink.operators.keys import NO_HOT_KEYS, HotKeys, find_hot_keys, residual_after, residual_unlinked
 from authorlink.operators.matching import (
     ambiguous_matches,
     bucket_isni,
     bucket_tradedb,
     bucket_tradedb_isni,
     confirmed_names,
-    isni_book_authors,
     isni_full_names,
     prefilled_candidates,
     single_candidates,
@@ -52,8 +51,10 @@ def link_credits(
 
     # A name is linked or not as a whole, and it is part of every key.
     unnamed = residual_unlinked(named, key, safe).drop("matched_isni", "ref_to")
-    book_authors = isni_book_authors(inputs.isni_isbns, isni_full_names(inputs.isni_authors))
-    confirmed = confirmed_names(book_authors, ambiguous_matches(engine))
+    hot_isni = find_hot_keys(inputs.isni_isbns, {"isni": ["isni"]}, options)["isni"]
+    confirmed = confirmed_names(
+        inputs.isni_isbns, isni_full_names(inputs.isni_authors), ambiguous_matches(engine), hot_isni
+    )
     candidates = prefilled_candidates(unnamed, confirmed, hot["book_name"])
     prefilled = single_candidates(candidates, COPIES).withColumnRenamed("final_isni", "matched_isni")
     # With the contributor in it, the key is as good as unique.

@@ -38,11 +38,11 @@ def steps(spark, module_workspace):
 def _compare(duck, result, sql):
     types = {f.name: _TYPES[f.dataType.simpleString()] for f in result.schema}
     ours = result.toArrow()
-    duck.register("ours", ours)
+    duck.execute("CREATE OR REPLACE TEMP TABLE mine AS SELECT * FROM ours")
     duck.execute(f"CREATE OR REPLACE TEMP TABLE theirs AS {sql}")
     assert {r[0]: r[1] for r in duck.execute("DESCRIBE theirs").fetchall()} == types
     columns = ", ".join(types)
-    for one, other in (("ours", "theirs"), ("theirs", "ours")):
+    for one, other in (("mine", "theirs"), ("theirs", "mine")):
         extra = f"SELECT {columns} FROM {one} EXCEPT ALL SELECT {columns} FROM {other}"
         assert duck.execute(f"SELECT count(*) FROM ({extra})").fetchone() == (0,)
     return ours.num_rows
