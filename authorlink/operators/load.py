@@ -241,7 +241,9 @@ def merge_upsert(
         ]
         target, source = target.filter(~is_hot), source.filter(~is_hot)
 
-    source = _one_per_merge_key(source, options.strict_merge)
+    # Keys that are not hot are nearly unique, and combining them before the shuffle would
+    # only sort everything twice; the join goes on with the order made here.
+    source = _one_per_merge_key(source.repartition(*MERGE_KEY), options.strict_merge)
     new = source.withColumnsRenamed({c: f"_new_{c}" for c in _UPDATED}).withColumn("_staged", F.lit(True))
     joined = target.withColumn("_known", F.lit(True)).join(new, MERGE_KEY, "full_outer")
     met, fresh = F.col("_known") & F.col("_staged"), F.col("_known").isNull()

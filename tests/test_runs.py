@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from authorlink import Inputs, Options, run_bootstrap, run_full_refresh, run_incremental
+from authorlink import job
 from authorlink import schemas as S
 from authorlink.plans import full_refresh, incremental
 from authorlink.sources import tables
@@ -186,6 +187,18 @@ def test_inputs_from_folder_and_catalog(spark, workspace):
     assert read.matched_author_isbn13.schema == S.MASTER
 
 
+def test_job(spark, workspace):
+    for name in Inputs.__dataclass_fields__:
+        getattr(_tables(spark), name).write.parquet(f"{workspace.path}/in/{name}")
+    out = [f"{workspace.path}/{name}" for name in ("v1", "stage", "v0")]
+    job.main(["incremental", "--folder", f"{workspace.path}/in", "--master-out", out[0], "--stage-out", out[1]])
+    assert spark.read.parquet(out[0]).count() == spark.read.parquet(out[1]).count() == 4
+    prior = Fixtures(spark, SF_DIR.replace("sf0.01", "sf0.001")).book_ref_prior
+    prior.write.parquet(f"{workspace.path}/prior")
+    job.main(["bootstrap", "--folder", f"{workspace.path}/prior", "--master-out", out[2]])
+    assert spark.read.parquet(out[2]).count() > 0
+
+
 def test_snapshots_are_never_overwritten(spark, workspace):
     made = _tables(spark)
     path = f"{workspace.path}/v1"
