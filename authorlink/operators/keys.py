@@ -25,7 +25,7 @@ _HIT = "_hit"
 SPREAD = "_spread"
 _NULL_SALTS = 1 << 16
 _MAX_SALTS = 8192
-_HOT_KEYS_PER_SET = 256
+_HOT_KEYS_PER_SET = 1024
 _SKETCH_ITEMS = 8192
 _SKETCH_GROUPS = 256
 
@@ -256,7 +256,8 @@ def residual_after(
     """Rows whose key is NOT IN the keys of ``linked``, by SQL's three-valued logic.
 
     An incomplete key in ``linked`` leaves no rows, an incomplete key in ``rows``
-    drops the row, and an empty ``linked`` keeps everything.
+    drops the row, and an empty ``linked`` keeps everything. ``null_safe`` takes
+    NULL as a value like any other instead.
     """
     if null_safe:
         partners = linked.select(*on).distinct()
