@@ -29,6 +29,7 @@ pieces. Extra columns are not carried along.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -48,7 +49,7 @@ BUCKET, FAN_IN, LEAST_GAIN = 50_000, 8, 0.002
 #: A bin with at most this much room left is nearly full.
 SLACK = 2
 #: Pieces and words that a task remembers, each of at most LONGEST characters.
-MEMORY, LONGEST = 500_000, 64
+MEMORY, LONGEST = 1_000_000, 64
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _MEMBERS = "array<struct<doc_id:bigint,piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
@@ -75,37 +76,38 @@ class Encoder:
         self._whole = Tokenizer.from_file(path)
         self._model = self._whole.model
         self._memory = memory
-        self._pieces: dict[str, bytes] = {}
-        self._words: dict[str, bytes] = {}
+        self._known: dict[str, bytes] = {}
         self._signs = _byte_signs()
         self._find = regex.compile(_WORDS).findall
         # White space after a space, or at its end, belongs to a longer run: such texts are encoded whole.
         self._odd = regex.compile(r" (?:\s|\Z)").search
-        # Letters whose class no version of Unicode has changed; other pieces are encoded as the library does.
+        # Letters whose class no version of Unicode has changed; pieces with others are encoded as the library does.
         self._plain = regex.compile(r"[\n\x20-\x7e\xa1-\xa9\xab-\xb1\xb4-\xb8\xbb\xbf-ɏ]*").fullmatch
         self._special = [t.content for t in self._whole.get_added_tokens_decoder().values()]
 
     def _direct(self, text: str) -> bytes:
-        return np.array(self._whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self._whole.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _word(self, word: str) -> bytes:
-        got = self._words.get(word)
-        if got is None:
-            signs = word.encode().decode("latin-1").translate(self._signs)
-            got = np.array([t.id for t in self._model.tokenize(signs)], "<u4").tobytes()
-            self._keep(self._words, word, got)
-        return got
-
-    def _keep(self, known: dict[str, bytes], text: str, ids: bytes) -> None:
+    def _keep(self, text: str, ids: bytes) -> bytes:
         if len(text) <= LONGEST:
-            if len(known) >= self._memory:
-                known.clear()
-            known[text] = ids
+            if len(self._known) >= self._memory:
+                self._known.clear()
+            self._known[text] = ids
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        """A word of the tokenizer's own rule."""
+        tokens = self._model.tokenize(word.encode().decode("latin-1").translate(self._signs))
+        return self._keep(word, struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens]))
 
     def _piece(self, piece: str) -> bytes:
-        got = b"".join(map(self._word, self._find(piece))) if self._plain(piece) else self._direct(piece)
-        self._keep(self._pieces, piece, got)
-        return got
+        if not self._plain(piece):
+            return self._keep(piece, self._direct(piece))
+        if piece[piece[0] == " " :].isalpha():
+            return self._word(piece)
+        known, word = self._known.get, self._word
+        return self._keep(piece, b"".join([known(w) or word(w) for w in self._find(piece)]))
 
     def encode(self, text: str) -> bytes:
         if not text:
@@ -113,9 +115,11 @@ class Encoder:
         if self._odd(text) or any(s in text for s in self._special):
             return self._direct(text)
         first, *rest = text.split(" ")
-        known, piece = self._pieces.get, self._piece
+        known, piece = self._known.get, self._piece
         out = [known(first) or piece(first)] if first else []
-        out += [known(" " + p) or piece(" " + p) for p in rest]
+        for p in rest:
+            p = " " + p
+            out.append(known(p) or piece(p))
         return b"".join(out)
 
 

@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from authorlink.llm import iblt, langid, mixing, packing, pii, simhash, suffixes, topk
+from authorlink.llm import iblt, langid, licenses, mixing, packing, pii, simhash, suffixes, toolcalls, topk
 
 _QUERIES = {
     "op1_best_fit_packing": (packing.op1_best_fit_packing, None),
     "op2_language_id": (langid.op2_language_id, None),
     "op3_source_mixing": (mixing.op3_source_mixing, mixing.OP3_SQL),
+    "op4_tool_call_linking": (toolcalls.op4_tool_call_linking, toolcalls.OP4_SQL),
     "op5_suffix_dedup": (suffixes.op5_suffix_dedup, None),
     "op6_simhash_components": (simhash.op6_simhash_components, None),
+    "op7_license_notices": (licenses.op7_license_notices, None),
     "op8_document_fingerprints": (iblt.op8_document_fingerprints, None),
     "op9_exact_topk": (topk.op9_exact_topk, topk.OP9_SQL),
     "op10_pii_spans": (pii.op10_pii_spans, None),
