@@ -4,6 +4,7 @@ from authorlink.options import Options
 from authorlink.plans.bootstrap import run_bootstrap
 from authorlink.plans.full_refresh import run_full_refresh
 from authorlink.plans.incremental import run_incremental
+from authorlink.plans.prepare import prepare_matching
 from authorlink.sources.tables import Inputs
 from authorlink.sources.workspace import Workspace
 
@@ -11,6 +12,7 @@ __all__ = [
     "Inputs",
     "Options",
     "Workspace",
+    "prepare_matching",
     "run_bootstrap",
     "run_full_refresh",
     "run_incremental",

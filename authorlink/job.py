@@ -1,52 +1,109 @@
 """A run as a Spark job.
 
-    spark-submit -m authorlink.job incremental --folder IN --master-out V2 --stage-out STAGE
+    spark-submit --py-files authorlink.zip authorlink/job.py prepare --mode incremental --folder IN --out MATCH
+    spark-submit --py-files authorlink.zip authorlink/job.py incremental --folder IN --work MATCH/work --master-out V2
 
-Inputs are the five tables, as parquet under a folder or in a catalog schema.
-The new master goes to a new path; the staging table is replaced.
+``prepare`` writes what the matcher reads. The runs need the matcher's output among
+their inputs: the five tables, as parquet under a folder or in a catalog schema. The
+new master goes to a new path; the staging table is replaced after that.
 """
 
 from __future__ import annotations
 
 import argparse
+from datetime import datetime
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from authorlink import Inputs, Options, Workspace, run_bootstrap, run_full_refresh, run_incremental
-from authorlink.sources.tables import write_snapshot
+from authorlink import Inputs, Options, Workspace, prepare_matching, run_bootstrap, run_full_refresh, run_incremental
+from authorlink.sources.tables import publish_stage, write_snapshot
 
 _RUNS = {"full-refresh": run_full_refresh, "incremental": run_incremental}
 
+#: Settings that the plans are made for; each can be overridden on the command line of spark-submit.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    # Split skewed joins in front of other steps too, at the price of a shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A sorted join becomes a hash join where every partition's side was seen to be small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # Recording the Python line of every column costs more than planning does.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="authorlink.job")
-    parser.add_argument("run", choices=[*_RUNS, "bootstrap"])
+    parser.add_argument("run", choices=[*_RUNS, "bootstrap", "prepare"])
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--folder", help="folder of parquet tables, or the prior delivery of a bootstrap")
     source.add_argument("--schema", help="catalog schema of the tables")
-    parser.add_argument("--master-out", required=True, help="new path for the next master")
+    parser.add_argument("--mode", choices=_RUNS, default="incremental", help="the run that prepare is for")
+    parser.add_argument("--out", help="folder for the tables names, holders and work of prepare")
+    parser.add_argument("--work", help="work set that prepare wrote")
+    parser.add_argument("--master-out", help="new path for the next master")
     parser.add_argument("--stage-out", help="path of the staging table")
     parser.add_argument("--id-floor", type=int, help="highest id taken to be in use when there is none")
     parser.add_argument("--transformation-id", type=int, default=Options.transformation_id)
-    return parser.parse_args(argv)
+    parser.add_argument("--run-ts", type=datetime.fromisoformat, help="time stamped on rows")
+    parser.add_argument("--audit", action="append", default=[], metavar="COLUMN=VALUE", help="constant column of the staging table")
+    for flag in ("null-safe-keys", "keep-placeholder-rows", "strict-merge", "null-safe-merge"):
+        parser.add_argument(f"--{flag}", action="store_true")
+    args = parser.parse_args(argv)
+    wanted = "out" if args.run == "prepare" else "master_out"
+    if not getattr(args, wanted):
+        parser.error(f"{args.run} needs --{wanted.replace('_', '-')}")
+    return args
+
+
+def _options(args: argparse.Namespace) -> Options:
+    return Options(
+        transformation_id=args.transformation_id,
+        run_ts=args.run_ts,
+        audit=dict(pair.split("=", 1) for pair in args.audit) or None,
+        id_floor=args.id_floor,
+        null_safe_keys=args.null_safe_keys,
+        keep_placeholder_rows=args.keep_placeholder_rows,
+        strict_merge=args.strict_merge,
+        null_safe_merge=args.null_safe_merge,
+    )
+
+
+def _run(spark: SparkSession, args: argparse.Namespace, workspace: Workspace) -> None:
+    options, matched = _options(args), args.run != "prepare"
+    if args.schema:
+        inputs = Inputs.from_catalog(spark, args.schema, matched)
+    else:
+        inputs = Inputs.from_folder(spark, args.folder, matched)
+    if not matched:
+        for name, table in prepare_matching(inputs, workspace, args.mode == "incremental")._asdict().items():
+            table.write.mode("errorifexists").parquet(f"{args.out}/{name}")
+        return
+    work = spark.read.parquet(args.work) if args.work else None
+    result = _RUNS[args.run](inputs, workspace, options, work=work)
+    write_snapshot(result.master, args.master_out)
+    if args.stage_out:
+        # Last, so that a failed run leaves the staging table of the one before.
+        inserted = F.lit(options.run_ts) if options.run_ts else F.current_timestamp()
+        publish_stage(result.stage.withColumn("etl_date_inserted", inserted.cast("timestamp_ntz")), args.stage_out)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
-    spark = SparkSession.builder.getOrCreate()
-    options = Options(id_floor=args.id_floor, transformation_id=args.transformation_id)
+    spark = SparkSession.builder.config(map=SETTINGS).getOrCreate()
     if args.run == "bootstrap":
         if args.schema:
             prior = spark.table(f"{args.schema}.book_ref_prior")
         else:
             prior = spark.read.parquet(args.folder)
-        write_snapshot(run_bootstrap(prior, options), args.master_out)
+        write_snapshot(run_bootstrap(prior, _options(args)), args.master_out)
         return
-    read = Inputs.from_catalog(spark, args.schema) if args.schema else Inputs.from_folder(spark, args.folder)
     workspace = Workspace(spark)
-    result = _RUNS[args.run](read, workspace, options, args.stage_out)
-    write_snapshot(result.master, args.master_out)
-    workspace.drop()
+    try:
+        _run(spark, args, workspace)
+    finally:
+        workspace.drop()
 
 
 if __name__ == "__main__":

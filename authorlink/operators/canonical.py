@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from authorlink.functions.names import has_no_identity
-from authorlink.operators.keys import HotKeys, lookup
+from authorlink.operators.keys import lookup
 
 
 def null_placeholder_names(rows: DataFrame) -> DataFrame:
@@ -32,7 +32,7 @@ def canonical_names(rows: DataFrame, id_column: str, name_column: str) -> DataFr
 
 
 def add_canonical_name(
-    rows: DataFrame, names: DataFrame, id_column: str, target: str, hot: HotKeys | None = None
+    rows: DataFrame, names: DataFrame, id_column: str, target: str
 ) -> DataFrame:
     """Join the canonical name of each row's id."""
-    return lookup(rows.drop(target), names, [id_column], hot).withColumnRenamed("_canonical", target)
+    return lookup(rows.drop(target), names, [id_column]).withColumnRenamed("_canonical", target)

@@ -11,7 +11,7 @@ from authorlink.functions.names import (
     full_name_or_unidentified,
     normalise_name,
 )
-from authorlink.operators.keys import HotKeys, collapse_copies, exclude, lookup_flag
+from authorlink.operators.keys import collapse_copies, exclude, lookup_flag
 from authorlink.schemas import CHANGED, CREDIT, MASTER_TO_CREDIT, NEW, SAME, SLOT
 
 _NORM = "author_nm_norm"
@@ -53,21 +53,21 @@ def normalised(credits: DataFrame) -> DataFrame:
     return credits.withColumn(_NORM, normalise_name(F.col("author_nm")))
 
 
-def new_by_existence(credits: DataFrame, master: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def new_by_existence(credits: DataFrame, master: DataFrame) -> DataFrame:
     """Credits whose book, contributor and raw name the master does not have together."""
-    return exclude(credits, master_credits(master), SEEN_CREDIT, hot).distinct()
+    return exclude(credits, master_credits(master), SEEN_CREDIT).distinct()
 
 
 def delta_classify(
-    credits: DataFrame, master: DataFrame, hot_slot: HotKeys | None = None, hot_exact: HotKeys | None = None
+    credits: DataFrame, master: DataFrame
 ) -> DataFrame:
     """Flag each credit NEW, CHANGED or SAME.
 
     A slot can only be known if its book is, so the slot decides NEW alone.
     """
     known = normalised(master_credits(master))
-    seen = lookup_flag(normalised(credits), known, EXACT, "_exact", hot_exact)
-    seen = lookup_flag(seen, known, SLOT, "_slot", hot_slot)
+    seen = lookup_flag(normalised(credits), known, EXACT, "_exact")
+    seen = lookup_flag(seen, known, SLOT, "_slot")
     flag = F.when(~F.col("_slot"), NEW).when(~F.col("_exact"), CHANGED).otherwise(SAME)
     return seen.withColumn("delta_flag", flag).drop("_slot", "_exact", _NORM)
 
@@ -78,7 +78,7 @@ def delta_filter(classified: DataFrame) -> DataFrame:
 
 
 def delta_work(
-    credits: DataFrame, master: DataFrame, hot_slot: HotKeys | None = None, hot_exact: HotKeys | None = None
+    credits: DataFrame, master: DataFrame
 ) -> DataFrame:
     """P06 and P07 in one: the work set, exact copies collapsed to a count.
 
@@ -86,7 +86,7 @@ def delta_work(
     reach the second one.
     """
     known = normalised(master_credits(master))
-    unmatched = exclude(normalised(credits), known, EXACT, hot_exact).select(*CREDIT)
-    seen = lookup_flag(collapse_copies(unmatched, COPIES), known, SLOT, "_slot", hot_slot)
+    unmatched = exclude(normalised(credits), known, EXACT).select(*CREDIT)
+    seen = lookup_flag(collapse_copies(unmatched, COPIES), known, SLOT, "_slot")
     flag = F.when(F.col("_slot"), CHANGED).otherwise(NEW)
     return seen.withColumn("delta_flag", flag).drop("_slot")

@@ -7,7 +7,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from authorlink.operators.keys import HotKeys, lookup, update_from
+from authorlink.operators.keys import lookup, update_from
 from authorlink.operators.matching import isni_placeholder
 from authorlink.sources.workspace import Workspace
 
@@ -28,7 +28,7 @@ def known_authors(master: DataFrame) -> DataFrame:
     )
 
 
-def backfill_master_ids(master: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def backfill_master_ids(master: DataFrame) -> DataFrame:
     """Master rows without id take id and name known for their ISNI.
 
     Only the rows without id take part in the join.
@@ -36,7 +36,7 @@ def backfill_master_ids(master: DataFrame, hot: HotKeys | None = None) -> DataFr
     has_id = F.col("indigo_author_id").isNotNull()
     without = master.filter(~has_id)
     values = {"indigo_author_id": F.col("_high_id"), "normailized_author_name": F.col("_name")}
-    filled = update_from(without, known_authors(master), _ISNI, values, hot)
+    filled = update_from(without, known_authors(master), _ISNI, values)
     return master.filter(has_id).unionByName(filled)
 
 
@@ -45,16 +45,16 @@ def _lowest_id(master: DataFrame, key: Column) -> DataFrame:
     return keyed.groupBy(*_ISNI).agg(F.min("indigo_author_id").alias("_id"))
 
 
-def backfill_stage_ids_full(stage: DataFrame, master: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def backfill_stage_ids_full(stage: DataFrame, master: DataFrame) -> DataFrame:
     """P31, full refresh: the id the master has for the ISNI, or for its placeholder."""
     key = F.coalesce("matched_isni", isni_placeholder(F.col("trade_db_contributor_id")))
     known = _lowest_id(master, key)
-    return update_from(stage, known, _ISNI, {"indigo_author_id": F.col("_id")}, hot)
+    return update_from(stage, known, _ISNI, {"indigo_author_id": F.col("_id")})
 
 
-def backfill_ids(rows: DataFrame, master: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def backfill_ids(rows: DataFrame, master: DataFrame) -> DataFrame:
     """P31, incremental run: rows without id take the lowest id the master has for the ISNI."""
-    known = lookup(rows, _lowest_id(master, F.col("matched_isni")), _ISNI, hot)
+    known = lookup(rows, _lowest_id(master, F.col("matched_isni")), _ISNI)
     return known.withColumn("indigo_contr_id", F.coalesce("indigo_contr_id", "_id")).drop("_id")
 
 
@@ -82,7 +82,6 @@ def allocate_ids(
     workspace: Workspace,
     id_column: str,
     id_floor: int | None = None,
-    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Number the ISNIs that still have no id, from the highest id in use.
 
@@ -104,5 +103,5 @@ def allocate_ids(
     new_ids = numbered.crossJoin(F.broadcast(highest)).select(  # one row
         "matched_isni", (F.col("_used") + F.col("_number")).alias("_new_id")
     )
-    given = update_from(without, new_ids, _ISNI, {id_column: F.col("_new_id")}, hot)
+    given = update_from(without, new_ids, _ISNI, {id_column: F.col("_new_id")})
     return rows.filter(has_id).unionByName(given)

@@ -1,11 +1,11 @@
 """Joins on keys that may be missing, repeated or hot.
 
-A key value that holds a large share of a table would put that share into one
-task of a shuffled join. Such values are searched for once per table
-(``find_hot_keys``), and their rows are then spread over several tasks by a
-salt, with the few partner rows repeated once per salt value. Rows with a
-missing key part never find a partner, so they are spread as well. Results do
-not depend on any of this.
+The joins are plain ones, so that one partitioning can serve several of them and
+AQE can split what is skewed: a hot key's rows, or those with a missing key part,
+on the left of a left, inner, semi or anti join (``authorlink.job.SETTINGS`` makes it
+do so in front of other steps as well). A full outer join it cannot split; for that
+the values that hold too many rows are searched for (``find_hot_keys``) and joined by
+themselves.
 """
 
 from __future__ import annotations
@@ -13,29 +13,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from authorlink.options import Options
 
-_SALT = "_salt"
 _HIT = "_hit"
-SPREAD = "_spread"
-_NULL_SALTS = 1 << 16
-_MAX_SALTS = 8192
-_HOT_KEYS_PER_SET = 1024
-_SKETCH_ITEMS = 8192
+#: Items of a frequent-item sketch. It holds every value with over 3.5 / items of the rows.
+_SKETCH_ITEMS = 32768
 _SKETCH_GROUPS = 256
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Hashes of the hot values of one key, and over how many tasks to spread each."""
+    """Hashes of the hot values of one key."""
 
     hashes: tuple[int, ...] = ()
-    salts: int = 1
 
     def __bool__(self) -> bool:
         return bool(self.hashes)
@@ -43,6 +37,9 @@ class HotKeys:
     def holds(self, on: Sequence[str]) -> Column:
         return F.xxhash64(*on).isin(*self.hashes)
 
+    def __or__(self, other: HotKeys) -> HotKeys:
+        return HotKeys(tuple(sorted({*self.hashes, *other.hashes})))
+
 
 NO_HOT_KEYS = HotKeys()
 
@@ -60,75 +57,32 @@ def nulls_last(columns: Sequence[str]) -> list[Column]:
     return [field for c in columns for field in (F.col(c).isNull(), F.col(c))]
 
 
-def with_spread(scan: DataFrame) -> DataFrame:
-    """Number the rows of a table scan, to salt by where rows may be exact copies.
-
-    The number follows the position in the files, so a task that runs again
-    gives the same numbers. Use it directly on a scan only.
-    """
-    return scan.withColumn(SPREAD, F.monotonically_increasing_id())
-
-
-def _source_bytes(df: DataFrame) -> int:
-    """What Catalyst expects to read for ``df``; its guess for a join's output is the product of both sides."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-
+def find_hot_keys(df: DataFrame, on: Sequence[str], options: Options) -> HotKeys:
+    """The key values that are too frequent for one task, found in one pass over ``df``.
 
-def find_hot_keys(
-    df: DataFrame, key_sets: dict[str, Sequence[str]], options: Options = Options()
-) -> dict[str, HotKeys]:
-    """Find the key values that are too frequent for one task, in one pass over ``df``.
-
-    Frequent-item sketches of bounded size are merged in two levels, so neither
-    a task nor the driver receives more than a few hundred of them.
+    A value is hot with over ``hot_rows_per_task`` rows. Beyond some 10^10 rows the
+    sketch cannot tell that many from fewer; there it is the share of the rows that
+    the sketch is sure to hold, about one in 9,000. Sketches of bounded size are merged
+    in two levels, so neither a task nor the driver receives more than a few hundred.
     """
-    if _source_bytes(df) < options.hot_min_bytes:
-        return {name: NO_HOT_KEYS for name in key_sets}
     hashed = df.select(
-        *[F.when(no_null(on), F.xxhash64(*on)).alias(name) for name, on in key_sets.items()],
+        F.when(no_null(on), F.xxhash64(*on)).alias("key"),
         F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("_group"),
     )
     # An empty table has no sketch to merge, so one row without any key joins in.
-    blank = df.sparkSession.range(1).select(
-        *[F.lit(None).cast("bigint").alias(name) for name in key_sets], F.lit(0).alias("_group")
-    )
+    blank = df.sparkSession.range(1).select(F.lit(None).cast("bigint").alias("key"), F.lit(0).alias("_group"))
     sketches = hashed.unionByName(blank).groupBy("_group").agg(
-        *[F.expr(f"approx_top_k_accumulate({name}, {_SKETCH_ITEMS})").alias(name) for name in key_sets]
+        F.count("key").alias("rows"), F.expr(f"approx_top_k_accumulate(key, {_SKETCH_ITEMS})").alias("sketch")
     )
     found = sketches.agg(
-        *[
-            F.expr(
-                f"approx_top_k_estimate(approx_top_k_combine({name}, {_SKETCH_ITEMS}), {_HOT_KEYS_PER_SET})"
-            ).alias(name)
-            for name in key_sets
-        ]
+        F.sum("rows").alias("rows"),
+        F.expr(
+            f"approx_top_k_estimate(approx_top_k_combine(sketch, {_SKETCH_ITEMS}), {_SKETCH_ITEMS // 3})"
+        ).alias("top"),
     ).first()
-    return {name: _hot(found[name] or [], options.hot_rows_per_task) for name in key_sets}
-
-
-def _hot(items: list, rows_per_task: int) -> HotKeys:
-    hot = {i["item"]: i["count"] for i in items if i["item"] is not None and i["count"] > rows_per_task}
-    if not hot:
-        return NO_HOT_KEYS
-    return HotKeys(tuple(sorted(hot)), min(_MAX_SALTS, ceil(max(hot.values()) / rows_per_task)))
-
-
-def _salt_left(left: DataFrame, on: Sequence[str], hot: HotKeys) -> DataFrame:
-    row = F.col(SPREAD) if SPREAD in left.columns else F.xxhash64(*left.columns)
-    salt = F.when(any_null(on), F.pmod(row, F.lit(_NULL_SALTS)))
-    if hot:
-        salt = salt.when(hot.holds(on), F.pmod(row, F.lit(hot.salts)))
-    return left.withColumn(_SALT, salt.otherwise(0).cast("int"))
-
-
-def _salt_right(right: DataFrame, on: Sequence[str], hot: HotKeys) -> DataFrame:
-    if hot:
-        salts = F.when(hot.holds(on), F.sequence(F.lit(0), F.lit(hot.salts - 1)))
-        return right.withColumn(_SALT, F.explode(salts.otherwise(F.array(F.lit(0)))))
-    # Always 0, but computed per row: a literal would be folded out of the join key,
-    # and the rows with missing keys would fall into one task again.
-    return right.withColumn(_SALT, F.pmod(F.xxhash64(on[0]), F.lit(1)).cast("int"))
+    least = max(options.hot_rows_per_task, found["rows"] * 3.5 / _SKETCH_ITEMS)
+    hot = (i["item"] for i in found["top"] or [] if i["item"] is not None and i["count"] > least)
+    return HotKeys(tuple(sorted(hot)))
 
 
 def _check_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> None:
@@ -137,64 +91,51 @@ def _check_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> None:
             raise TypeError(f"key {c!r} has different types on the two sides of a join")
 
 
-def _or_search(hot: HotKeys | None, left: DataFrame, on: Sequence[str]) -> HotKeys:
-    return find_hot_keys(left, {"key": on})["key"] if hot is None else hot
-
-
-def _salted_keys(right: DataFrame, on: Sequence[str], hot: HotKeys) -> DataFrame:
-    """The distinct keys of ``right`` with their salts.
-
-    Without hot keys the salt comes first, so that one shuffle serves both the
-    distinct and the join. Copies of hot keys are combined before they are repeated.
-    """
-    partners = right.select(*on)
-    return _salt_right(partners.distinct(), on, hot) if hot else _salt_right(partners, on, hot).distinct()
-
-
-# ``hot`` in the joins below: the hot keys of ``left``; searched for when None.
-
-
-def _join(left: DataFrame, right: DataFrame, on: Sequence[str], hot: HotKeys | None, how: str) -> DataFrame:
+def _join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
     _check_types(left, right, on)
-    hot = _or_search(hot, left, on)
-    joined = _salt_left(left, on, hot).join(_salt_right(right, on, hot), [*on, _SALT], how)
+    joined = left.join(right, list(on), how)
     return joined.select(*left.columns, *[c for c in right.columns if c not in on])
 
 
-def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], hot: HotKeys | None = None) -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join; the columns of ``right`` follow those of ``left``."""
-    return _join(left, right, on, hot, "left")
+    return _join(left, right, on, "left")
 
 
-def match(left: DataFrame, right: DataFrame, on: Sequence[str], hot: HotKeys | None = None) -> DataFrame:
+def match(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Inner join, with columns as in ``lookup``."""
-    return _join(left, right, on, hot, "inner")
+    return _join(left, right, on, "inner")
 
 
-def _join_keys(left: DataFrame, right: DataFrame, on: Sequence[str], hot: HotKeys | None, how: str) -> DataFrame:
-    _check_types(left, right, on)
-    hot = _or_search(hot, left, on)
-    return _salt_left(left, on, hot).join(_salted_keys(right, on, hot), [*on, _SALT], how)
-
-
-def exclude(left: DataFrame, right: DataFrame, on: Sequence[str], hot: HotKeys | None = None) -> DataFrame:
+def exclude(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``left`` without a partner (NOT EXISTS: a missing key has none)."""
-    return _join_keys(left, right, on, hot, "left_anti").select(*left.columns)
+    _check_types(left, right, on)
+    return left.join(right.select(*on).filter(no_null(on)), list(on), "left_anti").select(*left.columns)
 
 
-def keep(left: DataFrame, right: DataFrame, on: Sequence[str], hot: HotKeys | None = None) -> DataFrame:
+def keep(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``left`` with a partner."""
-    return _join_keys(left, right, on, hot, "left_semi").select(*left.columns)
+    _check_types(left, right, on)
+    return left.join(right.select(*on).filter(no_null(on)), list(on), "left_semi").select(*left.columns)
 
 
 def lookup_flag(
-    left: DataFrame, right: DataFrame, on: Sequence[str], flag: str, hot: HotKeys | None = None
+    left: DataFrame, right: DataFrame, on: Sequence[str], flag: str, skewed: bool = False
 ) -> DataFrame:
-    """Add a boolean: does the row have a partner. Never repeats rows of ``left``."""
+    """Add a boolean: does the row have a partner. Never repeats rows of ``left``.
+
+    One shuffle of ``right`` serves to make its keys distinct and to join them, but AQE
+    then leaves the join alone. Where ``left`` may be ``skewed``, the distinct keys are
+    shuffled a second time, and it can split.
+    """
     _check_types(left, right, on)
-    hot = _or_search(hot, left, on)
-    partners = _salted_keys(right, on, hot).withColumn(flag, F.lit(True))
-    found = _salt_left(left, on, hot).join(partners, [*on, _SALT], "left")
+    partners = right.filter(no_null(on)).select(*on)
+    if skewed:
+        part = F.pmod(F.xxhash64(*on), F.lit(1 << 20))
+        partners = partners.withColumn("_part", part).distinct().drop("_part").withColumn(flag, F.lit(True))
+    else:
+        partners = partners.distinct().withColumn(flag, F.lit(True))
+    found = left.join(partners, list(on), "left")
     return found.select(*left.columns, F.col(flag).isNotNull().alias(flag))
 
 
@@ -214,13 +155,12 @@ def update_from(
     source: DataFrame,
     on: Sequence[str],
     values: dict[str, Column],
-    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Overwrite columns of ``target`` rows whose key is in ``source``.
 
     ``source`` holds each key once; ``values`` may use its columns.
     """
-    hit = lookup(target, source.withColumn(_HIT, F.lit(True)), on, hot)
+    hit = lookup(target, source.withColumn(_HIT, F.lit(True)), on)
     return hit.select(
         *[
             F.when(F.col(_HIT), values[c].cast(target.schema[c].dataType)).otherwise(F.col(c)).alias(c)
@@ -251,7 +191,6 @@ def residual_after(
     linked: DataFrame,
     on: Sequence[str],
     null_safe: bool = False,
-    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Rows whose key is NOT IN the keys of ``linked``, by SQL's three-valued logic.
 
@@ -263,7 +202,7 @@ def residual_after(
         partners = linked.select(*on).distinct()
         same = reduce(Column.__and__, [rows[c].eqNullSafe(partners[c]) for c in on])
         return rows.join(partners, same, "left_anti")
-    return exclude(_pass_not_in(rows, linked.select(*on), on), linked, on, hot)
+    return exclude(_pass_not_in(rows, linked.select(*on), on), linked, on)
 
 
 def residual_unlinked(

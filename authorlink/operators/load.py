@@ -9,8 +9,6 @@ from authorlink.functions.hashing import change_hash
 from authorlink.operators.delta import master_credits
 from authorlink.operators.keys import (
     HotKeys,
-    NO_HOT_KEYS,
-    SPREAD,
     any_null,
     exclude,
     find_hot_keys,
@@ -62,13 +60,13 @@ def changes_per_slot(linked: DataFrame) -> DataFrame:
     return one_per_key(changed.filter(no_null(SLOT)), SLOT, order).withColumnsRenamed(CREDIT_TO_MASTER)
 
 
-def apply_changed(master: DataFrame, linked: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def apply_changed(master: DataFrame, linked: DataFrame) -> DataFrame:
     """Overwrite the master rows in the slot of a CHANGED credit; their id must be found anew."""
     overwritten = ["trade_db_contributor_id", "trade_db_author_name", "matched_isni", "id_source"]
     changes = changes_per_slot(linked).withColumnsRenamed({c: f"_new_{c}" for c in overwritten})
     values: dict[str, Column] = {c: F.col(f"_new_{c}") for c in overwritten}
     values |= {c: F.lit(None) for c in ("indigo_author_id", "normailized_author_name")}
-    return update_from(master, changes, _MASTER_SLOT, values, hot)
+    return update_from(master, changes, _MASTER_SLOT, values)
 
 
 # --- staging -------------------------------------------------------------------
@@ -198,93 +196,70 @@ def merge_upsert(
 ) -> DataFrame:
     """Update master rows that meet a staged row on the merge key, insert the other staged rows.
 
-    Incomplete keys never meet, so those rows go around the join. The few staged
-    rows under hot keys, one per key, are joined by themselves.
+    Incomplete keys never meet, so those rows go around the join, unless NULL counts
+    as a value. ``hot`` has the hot merge keys of both tables, searched for when None;
+    their rows meet in joins that can be split, the others in one full outer join.
     """
     run_ts = F.lit(options.run_ts) if options.run_ts else F.current_timestamp()
     stamp = {
         "etl_updated_date": run_ts.cast("timestamp_ntz"),
         "transformation_id": F.lit(options.transformation_id).cast("bigint"),
     }
-    carried = [c for c in master.columns if c not in MASTER.fieldNames()]
-    inserted = {"transformation_id": stamp["transformation_id"]}
-    inserted |= {SPREAD: F.xxhash64(*_MERGED)} if SPREAD in carried else {}
-    columns = [f.name for f in MASTER] + carried
+    columns = [f.name for f in MASTER]
 
     def as_insert(rows: DataFrame) -> DataFrame:
-        missing = {
-            c: F.lit(None).cast(master.schema[c].dataType)
-            for c in columns
-            if c not in _MERGED and c not in inserted
-        }
-        return rows.withColumns(missing | inserted).select(*columns)
-
-    if options.null_safe_merge:
-        return _merge_null_safe(master, _one_per_merge_key(stage, options.strict_merge), stamp, as_insert)
+        made = {c: F.lit(None).cast(MASTER[c].dataType) for c in columns if c not in _MERGED}
+        return rows.withColumns(made | {"transformation_id": stamp["transformation_id"]}).select(*columns)
 
+    target, source, parts = master.select(*columns), stage, []
+    if not options.null_safe_merge:
+        parts += [target.filter(any_null(MERGE_KEY)), as_insert(source.filter(any_null(MERGE_KEY)).select(*_MERGED))]
+        target, source = target.filter(no_null(MERGE_KEY)), source.filter(no_null(MERGE_KEY))
     if hot is None:
-        hot = find_hot_keys(master, {"merge": MERGE_KEY}, options)["merge"]
-    parts = [
-        master.filter(any_null(MERGE_KEY)).select(*columns),
-        as_insert(stage.filter(any_null(MERGE_KEY)).select(*_MERGED)),
-    ]
-    target, source = master.filter(no_null(MERGE_KEY)), stage.filter(no_null(MERGE_KEY))
+        hot = find_hot_keys(target, MERGE_KEY, options) | find_hot_keys(source, MERGE_KEY, options)
     if hot:
-        is_hot = hot.holds(MERGE_KEY)
+        is_hot = F.coalesce(hot.holds(MERGE_KEY) & no_null(MERGE_KEY), F.lit(False))
         hot_target = target.filter(is_hot)
         hot_source = _one_per_merge_key(source.filter(is_hot), options.strict_merge)
         values = {c: F.col(f"_new_{c}") for c in _UPDATED} | stamp
         new = hot_source.withColumnsRenamed({c: f"_new_{c}" for c in _UPDATED})
         parts += [
-            update_from(hot_target, new, MERGE_KEY, values, hot).select(*columns),
-            as_insert(exclude(hot_source, hot_target, MERGE_KEY, NO_HOT_KEYS)),
+            update_from(hot_target, new, MERGE_KEY, values).select(*columns),
+            as_insert(exclude(hot_source, hot_target, MERGE_KEY)),
         ]
         target, source = target.filter(~is_hot), source.filter(~is_hot)
 
     # Keys that are not hot are nearly unique, and combining them before the shuffle would
     # only sort everything twice; the join goes on with the order made here.
     source = _one_per_merge_key(source.repartition(*MERGE_KEY), options.strict_merge)
-    new = source.withColumnsRenamed({c: f"_new_{c}" for c in _UPDATED}).withColumn("_staged", F.lit(True))
-    joined = target.withColumn("_known", F.lit(True)).join(new, MERGE_KEY, "full_outer")
-    met, fresh = F.col("_known") & F.col("_staged"), F.col("_known").isNull()
-    values = {c: F.when(F.col("_staged"), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in _UPDATED}
+    new = source.withColumnsRenamed({c: f"_new_{c}" for c in source.columns}).withColumn("_staged", F.lit(True))
+    old = target.withColumn("_known", F.lit(True))
+    on = F.lit(True)
+    for c in MERGE_KEY:
+        one, other = old[c], new[f"_new_{c}"]
+        on = on & (one.eqNullSafe(other) if options.null_safe_merge else one == other)
+    joined = old.join(new, on, "full_outer")
+    met, fresh, staged = F.col("_known") & F.col("_staged"), F.col("_known").isNull(), F.col("_staged")
+    values = {c: F.when(staged, F.col(f"_new_{c}")).otherwise(F.col(c)) for c in _UPDATED}
+    values |= {c: F.when(fresh, F.col(f"_new_{c}")).otherwise(F.col(c)) for c in MERGE_KEY}
     values |= {"etl_updated_date": F.when(met, stamp["etl_updated_date"]).otherwise(F.col("etl_updated_date"))}
     values |= {
-        "transformation_id": F.when(F.col("_staged"), stamp["transformation_id"]).otherwise(F.col("transformation_id"))
+        "transformation_id": F.when(staged, stamp["transformation_id"]).otherwise(F.col("transformation_id"))
     }
-    if SPREAD in carried:
-        values[SPREAD] = F.when(fresh, F.xxhash64(*MERGE_KEY)).otherwise(F.col(SPREAD))
     merged = joined.withColumns(values).select(*columns)
     for part in parts:
         merged = merged.unionByName(part)
     return merged
 
 
-def _merge_null_safe(target: DataFrame, source: DataFrame, stamp: dict, as_insert) -> DataFrame:
-    """The merge with NULL as an ordinary key value."""
-    new = source.withColumnsRenamed({c: f"_new_{c}" for c in source.columns}).withColumn("_staged", F.lit(True))
-    on = F.lit(True)
-    for c in MERGE_KEY:
-        on = on & target[c].eqNullSafe(new[f"_new_{c}"])
-    values = {c: F.col(f"_new_{c}") for c in _UPDATED} | stamp
-    joined = target.join(new, on, "left")
-    updated = joined.withColumns({c: F.when(F.col("_staged"), v).otherwise(F.col(c)) for c, v in values.items()})
-    known = target.select(*[F.col(c).alias(f"_old_{c}") for c in MERGE_KEY]).distinct()
-    same = F.lit(True)
-    for c in MERGE_KEY:
-        same = same & source[c].eqNullSafe(known[f"_old_{c}"])
-    fresh = as_insert(source.join(known, same, "left_anti"))
-    return updated.select(*fresh.columns).unionByName(fresh)
-
-
-def flag_unsynced(master: DataFrame, old_hashes: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def flag_unsynced(master: DataFrame, old_hashes: DataFrame) -> DataFrame:
     """Rows whose hash was not known before the merge must be synchronised again."""
-    seen = lookup_flag(master, old_hashes, [_HASH], "_seen", hot)
+    seen = lookup_flag(master, old_hashes, [_HASH], "_seen", skewed=True)
     return _unsync(seen, ~F.col("_seen"), master.columns)
 
 
 def flag_unsynced_by_stage(
-    merged: DataFrame, stage: DataFrame, old_master: DataFrame, hot: HotKeys | None = None
+    merged: DataFrame, stage: DataFrame, old_master: DataFrame
 ) -> DataFrame:
     """P42 right after P41: every hash in the merged master is an old one or a staged one.
 
@@ -293,8 +268,8 @@ def flag_unsynced_by_stage(
     compared with those.
     """
     staged = stage.select(_HASH).filter(F.col(_HASH).isNotNull()).distinct()
-    unseen = exclude(staged, old_master, [_HASH], NO_HOT_KEYS)  # distinct keys are never hot
-    found = lookup_flag(merged, unseen, [_HASH], "_unseen", hot)
+    unseen = exclude(staged, old_master, [_HASH])
+    found = lookup_flag(merged, unseen, [_HASH], "_unseen", skewed=True)
     return _unsync(found, F.col("_unseen") | F.col(_HASH).isNull(), merged.columns)
 
 

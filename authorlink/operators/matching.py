@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from authorlink.functions.names import full_name_guarded, full_name_or_unidentified, full_name_strict
 from authorlink.operators.delta import master_credits
-from authorlink.operators.keys import HotKeys, keep, lookup, match, singletons
+from authorlink.operators.keys import keep, lookup, match, singletons
 from authorlink.schemas import (
     AMBIGUOUS_FLAG,
     BY_CONTRIBUTOR,
@@ -69,9 +69,9 @@ def _label(isni: str, label: str) -> Column:
     return F.when(F.col(isni).isNotNull(), F.lit(label)).alias("ref_to")
 
 
-def bucket_isni(work: DataFrame, unique: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def bucket_isni(work: DataFrame, unique: DataFrame) -> DataFrame:
     """Link by a uniquely matched name."""
-    found = lookup(work, unique.select("author_nm", "matched_isni"), ["author_nm"], hot)
+    found = lookup(work, unique.select("author_nm", "matched_isni"), ["author_nm"])
     return found.select("*", _label("matched_isni", BY_NAME))
 
 
@@ -85,11 +85,11 @@ def isni_full_names(isni_authors: DataFrame) -> DataFrame:
 
 
 def isni_book_authors(
-    isni_isbns: DataFrame, full_names: DataFrame, hot: HotKeys | None = None
+    isni_isbns: DataFrame, full_names: DataFrame
 ) -> DataFrame:
     """Books of each ISNI holder, with the holder's name."""
     books = isni_isbns.select("isbn13", "isni").distinct()
-    return match(books, full_names, ["isni"], hot)
+    return match(books, full_names, ["isni"])
 
 
 def match_status(
@@ -97,7 +97,6 @@ def match_status(
     book_authors: DataFrame,
     ambiguous: DataFrame,
     show_sources: bool,
-    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Compare the ISNI known for book and name with what the matcher proposed."""
     by_book = book_authors.withColumnRenamed("full_name", "author_nm")
@@ -105,7 +104,7 @@ def match_status(
     # The proposal is only looked up under the ISNI of the book, so where there is
     # one, it is that ISNI.
     proposed = proposed.withColumn("engine_matched_isni", F.col("isni"))
-    found = lookup(lookup(residual, by_book, BOOK_AND_NAME, hot), proposed, ["author_nm", "isni"])
+    found = lookup(lookup(residual, by_book, BOOK_AND_NAME), proposed, ["author_nm", "isni"])
     known, engine = F.col("isni"), F.col("engine_matched_isni")
     status = (
         F.when(known == engine, UNIQUE_MATCH)
@@ -131,7 +130,7 @@ def bucket_prefilled(status: DataFrame) -> DataFrame:
 
 
 def confirmed_names(
-    isni_isbns: DataFrame, full_names: DataFrame, ambiguous: DataFrame, hot: HotKeys | None = None
+    isni_isbns: DataFrame, full_names: DataFrame, ambiguous: DataFrame
 ) -> DataFrame:
     """Book, name and ISNI wherever a book confirms a proposal of the matcher.
 
@@ -141,15 +140,15 @@ def confirmed_names(
     proposed = ambiguous.select("author_nm", F.col("matched_isni").alias("isni"))
     holders = full_names.withColumnRenamed("full_name", "author_nm")
     holders = match(proposed, holders, ["author_nm", "isni"])
-    books = keep(isni_isbns.select("isbn13", "isni"), holders, ["isni"], hot).distinct()
-    return match(books, holders, ["isni"], hot).select(*BOOK_AND_NAME, F.col("isni").alias("final_isni"))
+    books = keep(isni_isbns.select("isbn13", "isni"), holders, ["isni"]).distinct()
+    return match(books, holders, ["isni"]).select(*BOOK_AND_NAME, F.col("isni").alias("final_isni"))
 
 
 def prefilled_candidates(
-    residual: DataFrame, confirmed: DataFrame, hot: HotKeys | None = None
+    residual: DataFrame, confirmed: DataFrame
 ) -> DataFrame:
     """P15 and P16 in one: only pairs that end as a unique match are ever joined."""
-    found = lookup(residual, confirmed, BOOK_AND_NAME, hot).filter(F.col("final_isni").isNotNull())
+    found = lookup(residual, confirmed, BOOK_AND_NAME).filter(F.col("final_isni").isNotNull())
     return found.withColumn("ref_to", F.lit(BY_NAME_AND_ISBN))
 
 
@@ -187,9 +186,9 @@ def unique_isni_per_contributor(pairs: DataFrame) -> DataFrame:
     return grouped.filter(F.col("_n") == 1).drop("_n")
 
 
-def bucket_tradedb_isni(residual: DataFrame, unique: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def bucket_tradedb_isni(residual: DataFrame, unique: DataFrame) -> DataFrame:
     """Link by the contributor's only known ISNI."""
-    found = lookup(residual, unique, ["trade_db_contributor_id"], hot)
+    found = lookup(residual, unique, ["trade_db_contributor_id"])
     return found.select("*", _label("matched_isni", BY_CONTRIBUTOR))
 
 

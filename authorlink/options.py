@@ -34,6 +34,4 @@ class Options:
     """Let NULL equal NULL in the merge key, so such rows are not inserted again."""
 
     hot_rows_per_task: int = 2_000_000
-    """A key value with more rows than this is spread over several tasks."""
-    hot_min_bytes: int = 512 << 20
-    """Tables estimated below this size are not searched for hot keys."""
+    """A merge key with more rows than this is joined apart from the others."""

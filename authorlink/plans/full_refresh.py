@@ -14,7 +14,7 @@ from authorlink.operators.delta import (
     master_credits,
 )
 from authorlink.operators.ids import allocate_ids, backfill_stage_ids_full
-from authorlink.operators.keys import exclude, find_hot_keys, with_spread
+from authorlink.operators.keys import exclude
 from authorlink.operators.load import (
     STAGED,
     add_change_hash,
@@ -28,36 +28,33 @@ from authorlink.operators.matching import BOOK_AND_NAME
 from authorlink.options import Options
 from authorlink.plans.linking import link_credits
 from authorlink.plans.result import Result
-from authorlink.schemas import BY_NAME, BY_NAME_AND_ISBN, MASTER, MERGE_KEY
+from authorlink.schemas import BY_NAME, BY_NAME_AND_ISBN, MASTER
 from authorlink.sources.tables import Inputs, conform, publish_stage
 from authorlink.sources.workspace import Workspace
 
 _PAIR = ["trade_db_contributor_id", "matched_isni"]
 
 
+def unseen_credits(inputs: Inputs) -> DataFrame:
+    """The work set: credits that the master does not have."""
+    credits = guarded_credits(blank_name_parts(inputs.trade_contributors))
+    return exclude(credits, master_credits(inputs.matched_author_isbn13), SEEN_CREDIT)
+
+
 def run_full_refresh(
     inputs: Inputs,
     workspace: Workspace,
     options: Options = Options(),
     stage_path: str | None = None,
+    work: DataFrame | None = None,
 ) -> Result:
     """Stage all credits that are not in the master, give them ids and names, and merge them.
 
     The staged rows are written to ``stage_path``, or else into the workspace.
+    ``work`` is the work set that ``prepare_matching`` wrote, if it did.
     """
     master = inputs.matched_author_isbn13
-    credits = guarded_credits(blank_name_parts(inputs.trade_contributors))
-    feed_hot = find_hot_keys(
-        credits,
-        {
-            "seen": SEEN_CREDIT,
-            "name": ["author_nm"],
-            "book_name": BOOK_AND_NAME,
-            "contributor": ["trade_db_contributor_id"],
-        },
-        options,
-    )
-    work = exclude(credits, master_credits(master), SEEN_CREDIT, feed_hot["seen"])
+    work = unseen_credits(inputs) if work is None else work
 
     def pairs_known(linked: DataFrame) -> DataFrame:
         known = master.filter(F.col("id_source").isin(BY_NAME, BY_NAME_AND_ISBN))
@@ -71,26 +68,21 @@ def run_full_refresh(
         key_has_contributor=False,
         options=options,
         workspace=workspace,
-        hot=feed_hot,
     )
 
     staged = workspace.stage(as_staged(linked, options), "unidentified")
-    hot_isni = find_hot_keys(staged, {"isni": ["matched_isni"]}, options)["isni"]
-    known = workspace.stage(backfill_stage_ids_full(staged, master, hot_isni), "known")
+    known = workspace.stage(backfill_stage_ids_full(staged, master), "known")
     identified = workspace.stage(
-        allocate_ids(known, master, workspace, "indigo_author_id", options.id_floor, hot_isni), "identified"
+        allocate_ids(known, master, workspace, "indigo_author_id", options.id_floor), "identified"
     )
 
-    hot_id = find_hot_keys(identified, {"id": ["indigo_author_id"]}, options)["id"]
     names = canonical_names(identified, "indigo_author_id", "trade_db_author_name")
-    named = add_canonical_name(identified, names, "indigo_author_id", "normailized_author_name", hot_id)
+    named = add_canonical_name(identified, names, "indigo_author_id", "normailized_author_name")
     resolved = drop_unresolved(clear_isni_placeholders(add_change_hash(named)))
     resolved = resolved.withColumn("dmc_synced", F.lit(None).cast("boolean"))
     resolved = resolved.select(*STAGED, *(options.audit or {}))
     stage = publish_stage(resolved, stage_path) if stage_path else workspace.stage(resolved, "stage")
 
-    hot = find_hot_keys(master, {"merge": MERGE_KEY}, options)["merge"]
-    hot_hash = find_hot_keys(stage, {"hash": ["dmc_sync_hash_id"]}, options)["hash"]
-    merged = merge_upsert(with_spread(master), stage, options, hot)
-    flagged = flag_unsynced_by_stage(merged, stage, master, hot_hash)
+    merged = merge_upsert(master, stage, options)
+    flagged = flag_unsynced_by_stage(merged, stage, master)
     return Result(conform(flagged, MASTER), stage)

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from authorlink.operators.canonical import add_canonical_name, canonical_names, null_placeholder_names
-from authorlink.operators.delta import EXACT, delta_work, feed_credits, master_credits, normalised
+from authorlink.operators.delta import delta_work, feed_credits, master_credits
 from authorlink.operators.ids import allocate_ids, known_authors
-from authorlink.operators.keys import SPREAD, exclude, find_hot_keys, lookup, with_spread
+from authorlink.operators.keys import exclude, lookup
 from authorlink.operators.load import (
     apply_changed,
     as_published,
@@ -17,7 +17,6 @@ from authorlink.operators.load import (
     flag_unsynced_by_stage,
     merge_upsert,
 )
-from authorlink.operators.matching import BOOK_AND_NAME
 from authorlink.options import Options
 from authorlink.plans.linking import link_credits
 from authorlink.plans.result import Result
@@ -29,7 +28,6 @@ from authorlink.schemas import (
     CREDIT_TO_MASTER,
     LINK,
     MASTER,
-    MERGE_KEY,
     NEW,
     SLOT,
 )
@@ -45,25 +43,16 @@ def run_incremental(
     workspace: Workspace,
     options: Options = Options(),
     stage_path: str | None = None,
+    work: DataFrame | None = None,
 ) -> Result:
     """Link new and changed credits, carry the changes into the master, and merge.
 
     The staged rows are written to ``stage_path``, or else into the workspace.
+    ``work`` is the work set that ``prepare_matching`` wrote, if it did.
     """
-    master = with_spread(inputs.matched_author_isbn13)
-    credits = feed_credits(with_spread(inputs.trade_contributors), SPREAD)
-    hot = find_hot_keys(
-        normalised(credits),
-        {
-            "exact": EXACT,
-            "slot": SLOT,
-            "name": ["author_nm"],
-            "book_name": BOOK_AND_NAME,
-            "contributor": ["trade_db_contributor_id"],
-        },
-        options,
-    )
-    master_hot = find_hot_keys(master_credits(master), {"slot": SLOT}, options)["slot"]
+    master = inputs.matched_author_isbn13
+    if work is None:
+        work = delta_work(feed_credits(inputs.trade_contributors), master)
 
     def pairs_known(linked: DataFrame) -> DataFrame:
         # The pairs the master has once the CHANGED links are applied: those of the
@@ -75,25 +64,24 @@ def run_incremental(
             F.col("ref_to").isin(BY_NAME, BY_NAME_AND_ISBN, BY_CONTRIBUTOR)
             & F.col("matched_isni").isNotNull()
         )
-        kept = exclude(known.select(*SLOT, *_PAIR, SPREAD), changes, SLOT, master_hot)
+        kept = exclude(known.select(*SLOT, *_PAIR), changes, SLOT)
         fresh = linked.filter(F.col("delta_flag") == NEW)
         return kept.select(*_PAIR).unionByName(changes.select(*_PAIR)).unionByName(fresh.select(*_PAIR))
 
     linked = link_credits(
-        delta_work(credits, master, hot["slot"], hot["exact"]),
+        work,
         inputs,
         pairs_known,
         CREDIT,
         key_has_contributor=True,
         options=options,
         workspace=workspace,
-        hot=hot,
     )
 
     # The early changes touch a part of these slots with a part of these columns' values,
     # so applying the final changes alone gives the same master.
-    changed = workspace.stage(apply_changed(master, linked, master_hot), "master")
-    pending = workspace.stage(_backfill(changed, linked, options), "pending")
+    changed = workspace.stage(apply_changed(master, linked), "master")
+    pending = workspace.stage(_backfill(changed, linked), "pending")
     known_master = changed.filter(_HAS_ID).unionByName(pending.filter(~F.col("_new")).drop("_new"))
 
     identified = workspace.stage(
@@ -102,14 +90,12 @@ def run_incremental(
     stage = _published(identified, options)
     stage = publish_stage(stage, stage_path) if stage_path else workspace.stage(stage, "stage")
 
-    merge_hot = find_hot_keys(known_master, {"merge": MERGE_KEY}, options)["merge"]
-    hash_hot = find_hot_keys(stage, {"hash": ["dmc_sync_hash_id"]}, options)["hash"]
-    merged = merge_upsert(known_master, stage, options, merge_hot)
-    flagged = flag_unsynced_by_stage(merged, stage, inputs.matched_author_isbn13, hash_hot)
+    merged = merge_upsert(known_master, stage, options)
+    flagged = flag_unsynced_by_stage(merged, stage, inputs.matched_author_isbn13)
     return Result(conform(flagged, MASTER), stage)
 
 
-def _backfill(changed: DataFrame, linked: DataFrame, options: Options) -> DataFrame:
+def _backfill(changed: DataFrame, linked: DataFrame) -> DataFrame:
     """Ids the master knows, for its own rows without one and for NEW credits, in one join.
 
     Own rows take the highest id of the ISNI and the highest name, NEW credits the
@@ -121,14 +107,12 @@ def _backfill(changed: DataFrame, linked: DataFrame, options: Options) -> DataFr
         changed.filter(_NO_ID)
         .withColumn("_new", F.lit(False))
         .unionByName(
-            fresh.withColumn(SPREAD, F.xxhash64(*LINK))
-            .withColumnsRenamed(CREDIT_TO_MASTER)
+            fresh.withColumnsRenamed(CREDIT_TO_MASTER)
             .withColumn("_new", F.lit(True)),
             allowMissingColumns=True,
         )
     )
-    hot = find_hot_keys(waiting, {"isni": ["matched_isni"]}, options)["isni"]
-    found = lookup(waiting, known_authors(changed), ["matched_isni"], hot)
+    found = lookup(waiting, known_authors(changed), ["matched_isni"])
     own_hit = ~F.col("_new") & F.col("_high_id").isNotNull()
     return found.withColumns(
         {
@@ -147,9 +131,8 @@ def _identify(changed: DataFrame, pending: DataFrame, workspace: Workspace, opti
     def as_credits(rows: DataFrame) -> DataFrame:
         return master_credits(rows).withColumnRenamed("indigo_author_id", "indigo_contr_id").select(*columns)
 
-    hot = find_hot_keys(pending, {"isni": ["matched_isni"]}, options)["isni"]
     pool = as_credits(changed.filter(_HAS_ID)).unionByName(as_credits(pending))
-    return allocate_ids(pool, None, workspace, "indigo_contr_id", options.id_floor, hot)
+    return allocate_ids(pool, None, workspace, "indigo_contr_id", options.id_floor)
 
 
 def _published(identified: DataFrame, options: Options) -> DataFrame:
@@ -158,12 +141,11 @@ def _published(identified: DataFrame, options: Options) -> DataFrame:
     Names are counted over all rows. Rows are made distinct on the few columns
     that decide all others, before those are joined and hashed.
     """
-    hot = find_hot_keys(identified, {"id": ["indigo_contr_id"]}, options)["id"]
     names = canonical_names(identified, "indigo_contr_id", "author_nm")
     rows = identified.filter(F.col("indigo_contr_id").isNotNull())
     if not options.keep_placeholder_rows:
         rows = drop_isni_placeholders(rows)
-    named = add_canonical_name(rows.distinct(), names, "indigo_contr_id", "indigo_contr_nm", hot)
+    named = add_canonical_name(rows.distinct(), names, "indigo_contr_id", "indigo_contr_nm")
     published = as_published(named, options)
     # A cleared placeholder can make two rows equal.
     return published.distinct() if options.keep_placeholder_rows else published

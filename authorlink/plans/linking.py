@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 
 from authorlink.operators.delta import COPIES
-from authorlink.operators.keys import NO_HOT_KEYS, HotKeys, find_hot_keys, residual_after, residual_unlinked
+from authorlink.operators.keys import residual_after, residual_unlinked
 from authorlink.operators.matching import (
     ambiguous_matches,
     bucket_isni,
@@ -35,7 +35,6 @@ def link_credits(
     key_has_contributor: bool,
     options: Options,
     workspace: Workspace,
-    hot: dict[str, HotKeys],
 ) -> DataFrame:
     """Buckets by name, by name and book, by contributor, and the rest.
 
@@ -46,20 +45,18 @@ def link_credits(
     """
     engine = inputs.engine_output
     unique = unique_matches(engine).filter("matched_isni IS NOT NULL").distinct()
-    named = workspace.stage(bucket_isni(work, unique, hot["name"]), "named")
+    named = workspace.stage(bucket_isni(work, unique), "named")
     safe = options.null_safe_keys
 
     # A name is linked or not as a whole, and it is part of every key.
     unnamed = residual_unlinked(named, key, safe).drop("matched_isni", "ref_to")
-    hot_isni = find_hot_keys(inputs.isni_isbns, {"isni": ["isni"]}, options)["isni"]
     confirmed = confirmed_names(
-        inputs.isni_isbns, isni_full_names(inputs.isni_authors), ambiguous_matches(engine), hot_isni
+        inputs.isni_isbns, isni_full_names(inputs.isni_authors), ambiguous_matches(engine)
     )
-    candidates = prefilled_candidates(unnamed, confirmed, hot["book_name"])
+    candidates = prefilled_candidates(unnamed, confirmed)
     prefilled = single_candidates(candidates, COPIES).withColumnRenamed("final_isni", "matched_isni")
-    # With the contributor in it, the key is as good as unique.
-    residual_hot = NO_HOT_KEYS if key_has_contributor else hot["book_name"]
-    residual = residual_after(unnamed, prefilled, key, safe, residual_hot)
+    prefilled = workspace.stage(prefilled, "prefilled")  # read three times below
+    residual = residual_after(unnamed, prefilled, key, safe)
     by_isni = workspace.stage(
         named.filter(_LINKED).unionByName(prefilled).unionByName(residual, allowMissingColumns=True),
         "by_isni",
@@ -69,13 +66,13 @@ def link_credits(
     residual = by_isni.filter(_UNLINKED).drop("matched_isni", "ref_to")
     known = unique_isni_per_contributor(pairs_known(linked))
     by_contributor = workspace.stage(
-        bucket_tradedb_isni(residual, known, hot["contributor"]), "by_contributor"
+        bucket_tradedb_isni(residual, known), "by_contributor"
     )
     if key_has_contributor:
         rest = residual_unlinked(by_contributor, key, safe)
     else:
         rest = residual_after(
-            by_contributor.filter(_UNLINKED), by_contributor.filter(_LINKED), key, safe, hot["book_name"]
+            by_contributor.filter(_UNLINKED), by_contributor.filter(_LINKED), key, safe
         )
     rest = bucket_tradedb(rest.drop("matched_isni", "ref_to"))
     return linked.unionByName(by_contributor.filter(_LINKED)).unionByName(rest).drop(COPIES)

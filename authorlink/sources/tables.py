@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,14 +39,20 @@ class Inputs:
             object.__setattr__(self, name, conform(getattr(self, name), layout))
 
     @classmethod
-    def from_folder(cls, spark: SparkSession, folder: str) -> Inputs:
-        """Parquet tables, one folder or file per table name."""
-        return cls(**{name: spark.read.parquet(f"{folder}/{name}") for name in cls.__dataclass_fields__})
+    def from_folder(cls, spark: SparkSession, folder: str, matched: bool = True) -> Inputs:
+        """Parquet tables, one folder or file per table name; before the matcher ran, without its output."""
+        return cls._read(spark, lambda name: spark.read.parquet(f"{folder}/{name}"), matched)
 
     @classmethod
-    def from_catalog(cls, spark: SparkSession, schema: str) -> Inputs:
+    def from_catalog(cls, spark: SparkSession, schema: str, matched: bool = True) -> Inputs:
         """Tables of a catalog schema, under the same names."""
-        return cls(**{name: spark.table(f"{schema}.{name}") for name in cls.__dataclass_fields__})
+        return cls._read(spark, lambda name: spark.table(f"{schema}.{name}"), matched)
+
+    @classmethod
+    def _read(cls, spark: SparkSession, table: Callable[[str], DataFrame], matched: bool) -> Inputs:
+        names = [name for name in cls.__dataclass_fields__ if matched or name != "engine_output"]
+        missing = {} if matched else {"engine_output": spark.createDataFrame([], schemas.ENGINE_OUTPUT)}
+        return cls(**{name: table(name) for name in names}, **missing)
 
 
 def write_snapshot(master: DataFrame, path: str) -> DataFrame:

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from authorlink.functions.names import full_name_or_unidentified, normalise_name
 from authorlink.operators.delta import feed_credits
 from authorlink.operators.load import bootstrap_load, drop_isni_placeholders
-from authorlink.operators.matching import isni_match_input_full, isni_match_input_incremental
 from authorlink.plans.bootstrap import run_bootstrap
 from authorlink.plans.full_refresh import run_full_refresh
 from authorlink.plans.incremental import run_incremental
+from authorlink.plans.prepare import prepare_matching
 from authorlink.sources.workspace import Workspace
 from authorlink.verify.fixtures import Fixtures
 from authorlink.verify.steps import FullRefreshSteps, IncrementalSteps
@@ -51,6 +51,15 @@ def _whole(run: Callable, part: str) -> Query:
     return query
 
 
+def _prepared(incremental: bool, part: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        workspace = Workspace(spark)
+        made = prepare_matching(Fixtures(spark, sf_dir).inputs(workspace), workspace, incremental)
+        return getattr(made, part)
+
+    return query
+
+
 def _isni_names(fixtures: Fixtures) -> DataFrame:
     name = full_name_or_unidentified(F.col("first_name"), F.col("last_name"))
     return fixtures.isni_authors.select("isni", name.alias("full_name"))
@@ -69,7 +78,6 @@ FULL_STEPS = {
     "p01_cleanse_name_parts": "cleansed",
     "p02_full_name_guarded": "credits",
     "p05_detect_new_by_existence": "work",
-    "p08_match_input_names_full": "names",
     "p12_residual_after_isni_full": "residual_1",
     "p15_match_status_full": "status",
     "p18_residual_after_prefilled_full": "residual_2",
@@ -88,7 +96,6 @@ FULL_STEPS = {
 INCREMENTAL_STEPS = {
     "p06_delta_classify": "classified",
     "p07_delta_filter": "work",
-    "p08_match_input_names": "names",
     "p10_split_unique": "unique",
     "p10_split_ambiguous": "ambiguous",
     "p11_bucket_isni": "by_name",
@@ -134,8 +141,10 @@ def queries() -> dict[str, Query]:
         "p03_full_name_feed": _source(lambda f: feed_credits(f.trade_contributors)),
         "p03_full_name_isni": _source(_isni_names),
         "p04_normalise_name": _source(_normalised_names),
-        "p09_isni_match_input_full": _source(lambda f: isni_match_input_full(f.isni_authors)),
-        "p09_isni_match_input": _source(lambda f: isni_match_input_incremental(f.isni_authors)),
+        "p08_match_input_names_full": _prepared(False, "names"),
+        "p08_match_input_names": _prepared(True, "names"),
+        "p09_isni_match_input_full": _prepared(False, "holders"),
+        "p09_isni_match_input": _prepared(True, "holders"),
         "p37_drop_isni_placeholders": dropped,
         "p43_bootstrap_load": _source(lambda f: bootstrap_load(f.book_ref_prior)),
         "p43_run_bootstrap": _source(lambda f: run_bootstrap(f.book_ref_prior)),

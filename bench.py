@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from authorlink import Workspace, run_full_refresh, run_incremental
+from authorlink.job import SETTINGS
 from authorlink.verify.fixtures import Fixtures
 from authorlink.verify.steps import IncrementalSteps
 
@@ -27,13 +28,9 @@ def _session() -> SparkSession:
         .appName("authorlink-bench")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", CPUS)
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        # A sorted join becomes a hash join where every partition's side was seen to be small.
-        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
-        # Recording the Python line of every column costs more than planning does.
-        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config(map=SETTINGS)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -5,12 +5,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from authorlink.job import SETTINGS
 from authorlink.operators import keys
 from authorlink.operators.ids import number_densely
 from authorlink.options import Options
 from tests.helpers import bag
 
-_ALWAYS = Options(hot_min_bytes=0, hot_rows_per_task=500)
+_FEW = Options(hot_rows_per_task=500)
 
 
 @pytest.fixture(scope="module")
@@ -30,50 +31,68 @@ def partners(spark):
 
 
 def test_hot_keys_are_found(spark, skewed):
-    hot = keys.find_hot_keys(skewed, {"k": ["k"], "kr": ["k", "r"], "v": ["v"]}, _ALWAYS)
-    assert hot["k"].hashes == (spark.range(1).select(F.xxhash64(F.lit(7).cast("bigint"))).first()[0],)
-    assert hot["k"].salts == 11  # 5,001 rows
-    assert len(hot["kr"].hashes) == 1
-    assert not hot["v"]
+    hot = keys.find_hot_keys(skewed, ["k"], _FEW)
+    assert hot.hashes == (spark.range(1).select(F.xxhash64(F.lit(7).cast("bigint"))).first()[0],)
+    assert len(keys.find_hot_keys(skewed, ["k", "r"], _FEW).hashes) == 1
+    assert not keys.find_hot_keys(skewed, ["v"], _FEW)
+    assert not keys.find_hot_keys(skewed.limit(0), ["k"], _FEW)
 
 
-def test_small_tables_are_not_searched(skewed):
-    assert not keys.find_hot_keys(skewed, {"k": ["k"]})["k"]
+def test_a_hot_key_of_a_small_file_is_found(spark, workspace):
+    table = workspace.stage(spark.range(20_000_000).select(F.lit(7).cast("bigint").alias("k")), "one-key")
+    assert len(keys.find_hot_keys(table, ["k"], Options()).hashes) == 1
+
+
+def test_thousands_of_hot_keys_are_all_found(spark):
+    rows = spark.range(2_400_000).select(
+        F.when(F.col("id") < 1_200_000, F.col("id") % 2000).otherwise(F.col("id")).alias("k")
+    )
+    assert len(keys.find_hot_keys(rows, ["k"], _FEW).hashes) == 2000
 
 
 @pytest.mark.parametrize("on", [["k"], ["k", "r"]])
-def test_salted_joins_equal_plain_joins(skewed, partners, on):
-    hot = keys.find_hot_keys(skewed, {"k": on}, _ALWAYS)["k"]
-    assert hot
+def test_joins_equal_plain_joins(skewed, partners, on):
     right = partners if len(on) == 2 else partners.drop("r")
     plain = skewed.join(right, on, "left").select("k", "r", "v", "w")
-    for found in (keys.lookup(skewed, right, on), keys.lookup(skewed, right, on, hot)):
-        assert bag(found, "k", "r", "v", "w") == bag(plain)
+    assert bag(keys.lookup(skewed, right, on), "k", "r", "v", "w") == bag(plain)
+    assert bag(keys.match(skewed, right, on), "k", "r", "v", "w") == bag(plain.filter("w IS NOT NULL"))
     gone = skewed.join(right, on, "left_anti").select("k", "r", "v")
-    for left in (keys.exclude(skewed, right, on), keys.exclude(skewed, right, on, hot)):
-        assert bag(left, "k", "r", "v") == bag(gone)
-
-
-def test_hot_and_missing_keys_are_spread(spark, skewed, partners):
-    hot = keys.find_hot_keys(skewed, {"k": ["k"]}, _ALWAYS)["k"]
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
-    old = {name: spark.conf.get(name) for name in settings}
-    try:
-        for name, value in settings.items():
-            spark.conf.set(name, value)
-
-        def largest(df):
-            return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
-
-        right = partners.drop("r")
-        assert largest(skewed.join(right, "k", "left")) > 5000
-        assert largest(keys.lookup(skewed, right, ["k"], hot)) < 3500
-        # The same with exact copies, told apart by their place in the table.
-        copies = keys.with_spread(skewed.withColumn("v", F.lit(0).cast("bigint")))
-        assert largest(keys.lookup(copies, right, ["k"], hot)) < 3500
-    finally:
-        for name, value in old.items():
-            spark.conf.set(name, value)
+    assert bag(keys.exclude(skewed, right, on), "k", "r", "v") == bag(gone)
+    met = skewed.join(right, on, "left_semi").select("k", "r", "v")
+    assert bag(keys.keep(skewed, right, on), "k", "r", "v") == bag(met)
+    flagged = keys.lookup_flag(skewed, right, on, "f")
+    assert bag(flagged.filter("f").drop("f"), "k", "r", "v") == bag(met)
+
+
+@pytest.fixture()
+def small_tasks(spark):
+    settings = {
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": SETTINGS["spark.sql.adaptive.forceOptimizeSkewedJoin"],
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    old = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in old.items():
+        spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("key", [7, None])
+@pytest.mark.parametrize("how", ["lookup", "exclude", "lookup_flag"])
+def test_hot_and_missing_keys_are_split(spark, small_tasks, partners, how, key):
+    k = F.when(F.col("id") % 3 == 0, F.lit(key)).otherwise(F.col("id")).cast("bigint")
+    rows = spark.range(0, 60_000, 1, 12).select(k.alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
+    extra = ["f", True] if how == "lookup_flag" else []
+    joined = getattr(keys, how)(rows, partners.drop("r"), ["k"], *extra)
+    joined = joined.groupBy("v").count()  # a step behind the join doesn't hinder it
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin(skew=true)" in plan and "_salt" not in plan
 
 
 def test_key_types_must_agree(skewed, partners):

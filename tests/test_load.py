@@ -172,7 +172,7 @@ _MERGE_COLUMNS = ("isbn13", "indigo_author_id", "trade_db_author_name", "dmc_syn
 
 def _all_hot(df):
     hashes = [r[0] for r in df.select(F.xxhash64(*S.MERGE_KEY)).distinct().collect()]
-    return keys.HotKeys(tuple(hashes), 3)
+    return keys.HotKeys(tuple(hashes))
 
 
 @pytest.mark.parametrize("which", ["none", "all", "some"])
@@ -183,7 +183,7 @@ def test_merge(spark, which):
         "all": _all_hot(master.unionByName(stage, allowMissingColumns=True)),
         "some": _all_hot(master.limit(1)),
     }[which]
-    found = load.merge_upsert(keys.with_spread(master), stage, hot=hot)
+    found = load.merge_upsert(master, stage, hot=hot)
     # A missing key part never meets anything, so such rows are not even compared with each other.
     expected = dict(_EXPECTED_MERGE)
     assert bag(found, *_MERGE_COLUMNS) == expected

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
+from dataclasses import replace
+
 import pytest
 
-from authorlink import Inputs, Options, run_bootstrap, run_full_refresh, run_incremental
-from authorlink import job
+from authorlink import Inputs, Options, job, prepare_matching, run_bootstrap, run_full_refresh, run_incremental
 from authorlink import schemas as S
-from authorlink.plans import full_refresh, incremental
 from authorlink.sources import tables
 from authorlink.sources.workspace import Workspace
 from authorlink.verify.fixtures import Fixtures
@@ -126,34 +127,24 @@ def derived(spark, module_workspace):
 
 
 @pytest.mark.parametrize("run", [run_incremental, run_full_refresh])
-def test_skew_handling_does_not_change_results(spark, workspace, derived, run, monkeypatch):
-    found = []
-    for module in (full_refresh, incremental):
-        real = module.find_hot_keys
-
-        def spy(df, key_sets, options, real=real):
-            hot = real(df, key_sets, options)
-            found.extend(name for name, keys in hot.items() if keys)
-            return hot
-
-        monkeypatch.setattr(module, "find_hot_keys", spy)
+def test_skew_handling_does_not_change_results(spark, workspace, derived, run):
     plain = run(derived, workspace)
-    assert not found
-    spread = run(derived, workspace, Options(hot_min_bytes=0, hot_rows_per_task=3))
-    assert {"name", "contributor", "isni", "hash"} <= set(found)
-    for one, other in zip(plain, spread):
+    apart = run(derived, workspace, Options(hot_rows_per_task=0))
+    for one, other in zip(plain, apart):
         a, b = one.drop("etl_updated_date"), other.drop("etl_updated_date")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_hot_name_and_contributor(spark, workspace):
-    """Half of the feed under one placeholder name and one contributor."""
-    feed = [credit(7, f"b{i:04d}", "A", 1, None, None) for i in range(1500)]
-    feed += [credit(100 + i, f"b{i:04d}", "A", 2, "Ann", f"N{i}") for i in range(1500)]
-    options = Options(hot_min_bytes=0, hot_rows_per_task=200)
-    plain = run_full_refresh(_tables(spark, feed=feed), workspace)
-    spread = run_full_refresh(_tables(spark, feed=feed), workspace, options)
-    assert bag(plain.master.drop("etl_updated_date")) == bag(spread.master.drop("etl_updated_date"))
+@pytest.mark.parametrize(("run", "incremental"), [(run_incremental, True), (run_full_refresh, False)])
+def test_prepare_then_match_then_run(spark, workspace, derived, run, incremental):
+    unmatched = replace(derived, engine_output=derived.engine_output.limit(0))
+    made = prepare_matching(unmatched, workspace, incremental)
+    names = {r["author_nm"] for r in made.names.collect()}
+    assert {r["author_nm"] for r in derived.engine_output.collect()} & names
+    assert made.holders.count() == derived.isni_authors.distinct().count()
+    one = run(derived, workspace).master.drop("etl_updated_date")
+    other = run(derived, workspace, work=made.work).master.drop("etl_updated_date")
+    assert one.exceptAll(other).count() == 0 and other.exceptAll(one).count() == 0
 
 
 def test_no_step_gathers_rows_in_one_partition(spark, workspace, monkeypatch):
@@ -211,6 +202,32 @@ def test_snapshots_are_never_overwritten(spark, workspace):
     assert bag(tables.publish_stage(made.isni_isbns, path)) == bag(made.isni_isbns)
 
 
+def test_job_prepares_and_leaves_nothing_behind_when_it_fails(spark, workspace, monkeypatch):
+    made, folder = _tables(spark), f"{workspace.path}/in2"
+    for name in Inputs.__dataclass_fields__:
+        if name != "engine_output":
+            getattr(made, name).write.parquet(f"{folder}/{name}")
+    job.main(["prepare", "--folder", folder, "--out", f"{folder}-match"])
+    assert {r["author_nm"] for r in spark.read.parquet(f"{folder}-match/names").collect()} == {"Ann Bee", "A. Bee", "Cy Dee", "Eve Foe"}
+    opened = []
+
+    class Watched(Workspace):
+        def __init__(self, spark):
+            super().__init__(spark)
+            opened.append(self.path)
+
+    monkeypatch.setattr(job, "Workspace", Watched)
+    made.engine_output.write.parquet(f"{folder}/engine_output")
+    run = ["incremental", "--folder", folder, "--work", f"{folder}-match/work", "--stage-out", f"{folder}-stage"]
+    os.makedirs(f"{folder}-taken")
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
+        job.main([*run, "--master-out", f"{folder}-taken"])
+    assert opened and not any(os.path.exists(path) for path in opened) and not os.path.exists(f"{folder}-stage")
+    job.main([*run, "--master-out", f"{folder}-v2", "--run-ts", "2026-01-25", "--audit", "run_id=r1"])
+    stage = spark.read.parquet(f"{folder}-stage")
+    assert set(bag(stage, "run_id")) == {("r1",)} and stage.filter("etl_date_inserted = '2026-01-25'").count() == stage.count() > 0
+
+
 def test_audit_columns_and_stage_path(spark, workspace):
     options = Options(audit={"pipeline_run_id": "run-1"}, transformation_id=7)
     for run in (run_incremental, run_full_refresh):
