@@ -41,11 +41,11 @@ from authorlink.llm import common
 LONGEST = 80
 PARAGRAPH = rf"[^.!?\n]{{1,{LONGEST}}}[.!?\n]*|[.!?\n]+"
 #: Cells of a table in the fingerprint, in a block's sketch and in its repetition; digests in a block.
-BASE, WIDE, WIDER, PER_BLOCK = 4, 8, 32, 12
+BASE, WIDE, WIDER, PER_BLOCK = 4, 4, 16, 4
 #: Rounds of peeling: as many as there can be recovered digests in a row.
 ROUNDS = 8
 #: First bits of a digest that choose its cells (three times) and its block (twice), apart from each other.
-_BASE_BITS, _WIDE_BITS, _WIDER_BITS, _BLOCK_BITS = (0, 2, 4), (6, 9, 12), (15, 20, 25), (32, 44)
+_BASE_BITS, _WIDE_BITS, _WIDER_BITS, _BLOCK_BITS = (0, 2, 4), (6, 8, 10), (12, 16, 20), (32, 44)
 #: Documents in a bucket, unless there would be over MOST_BUCKETS: their bounds are held by the driver and the plan.
 BUCKET, MOST_BUCKETS = 400, 65_536
 
@@ -106,44 +106,39 @@ def subtracted(own: Column, other: Column) -> Column:
 
 def peeled(cells: Column, bits: tuple[int, int, int], size: int) -> Column:
     """The digests that differ; null if some cells don't empty."""
-    tables = range(len(bits))
-
     def empty(cell: Column) -> Column:
         return (cell["n"] == 0) & (cell["key"] == 0) & (cell["hash"] == 0)
 
     def alone(state: Column) -> Column:
-        pure = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["hash"] == _hash(c["key"])))
-        return F.array_distinct(F.transform(pure, lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key"))))
-
-    def without(cells: Column, taken: Column) -> Column:
-        def less(cell: Column, i: Column) -> Column:
-            def take(cell: Column, t: Column) -> Column:
-                placed = F.lit(False)
-                for table in tables:
-                    placed = placed | (_place(t["key"], bits[table], size) + table * size == i)
-                put = _cell(cell["n"] - t["n"], cell["key"].bitwiseXOR(t["key"]), cell["hash"].bitwiseXOR(_hash(t["key"])))
-                return F.when(placed, put).otherwise(cell)
+        return F.array_distinct(F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["hash"] == _hash(c["key"]))))
 
-            return F.aggregate(taken, cell, take)
+    def take(cell: Column, t: Column) -> Column:
+        return _cell(cell["n"] - t["n"], cell["key"].bitwiseXOR(t["key"]), cell["hash"].bitwiseXOR(t["hash"]))
 
-        return F.transform(cells, less)
+    def without(cells: Column, taken: Column) -> Column:
+        def table(first: int, bit: int) -> Column:
+            return F.transform(
+                F.slice(cells, first + 1, size),
+                lambda cell, i: F.aggregate(F.filter(taken, lambda t: _place(t["key"], bit, size) == i), cell, take),
+            )
+
+        return F.concat(*(table(k * size, bit) for k, bit in enumerate(bits)))
+
+    def next_(state: Column, taken: Column) -> Column:
+        after = F.struct(
+            without(state["cells"], taken).alias("cells"),
+            F.concat(state["found"], F.transform(taken, lambda t: t["key"])).alias("found"),
+            F.lit(True).alias("open"),
+        )
+        stuck = F.struct(state["cells"].alias("cells"), state["found"].alias("found"), F.lit(False).alias("open"))
+        return F.when(F.size(taken) > 0, after).otherwise(stuck)
 
     def round_(state: Column, _: Column) -> Column:
-        taken = F.when(~F.forall(state["cells"], empty), alone(state))
-        # One level of binding, so that what is alone is found once a round.
-        next_ = F.transform(
-            F.array(taken),
-            lambda t: F.when(
-                F.size(t) > 0,
-                F.struct(
-                    without(state["cells"], t).alias("cells"),
-                    F.concat(state["found"], F.transform(t, lambda x: x["key"])).alias("found"),
-                ),
-            ).otherwise(state),
-        )
-        return F.get(next_, F.lit(0))
+        # An array of one binds what is alone, so that it is looked for once a round.
+        bound = F.transform(F.array(alone(state)), lambda taken: next_(state, taken))
+        return F.when(state["open"], F.get(bound, F.lit(0))).otherwise(state)
 
-    first = F.struct(cells.alias("cells"), F.array().cast("array<bigint>").alias("found"))
+    first = F.struct(cells.alias("cells"), F.array().cast("array<bigint>").alias("found"), F.lit(True).alias("open"))
     last = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), first, round_)
     ended = F.transform(F.array(last), lambda s: F.when(F.forall(s["cells"], empty), s["found"]))
     return F.get(ended, F.lit(0))
@@ -156,20 +151,23 @@ def _blocks(own: Column, other: Column) -> Column:
     low = F.least(F.floor(bits / 2).cast("int"), F.lit(12))
     high = F.least(bits - low, F.lit(12))
 
-    def deal(pair: Column, first_bit: int, bits: Column) -> Column:
-        mask = (F.pow(F.lit(2.0), bits) - 1).cast("bigint")
-        return F.transform(
-            F.sequence(F.lit(0).cast("bigint"), mask),
-            lambda i: F.struct(
-                *(
-                    F.filter(pair[side], lambda d: F.shiftrightunsigned(d, first_bit).bitwiseAND(mask) == i).alias(side)
-                    for side in ("a", "b")
-                )
-            ),
+    def mask(bits: Column) -> Column:
+        return (F.pow(F.lit(2.0), bits) - 1).cast("bigint")
+
+    def deal(pair: Column, first_bit: int, mask: Column) -> Column:
+        def block(side: str, i: Column) -> Column:
+            return F.filter(pair[side], lambda d: F.shiftrightunsigned(d, first_bit).bitwiseAND(mask) == i).alias(side)
+
+        return F.transform(F.sequence(F.lit(0).cast("bigint"), mask), lambda i: F.struct(block("a", i), block("b", i)))
+
+    def dealt(whole: Column) -> Column:
+        return F.flatten(
+            F.transform(deal(whole, _BLOCK_BITS[0], whole["low"]), lambda pair: deal(pair, _BLOCK_BITS[1], whole["high"]))
         )
 
-    whole = F.struct(own.alias("a"), other.alias("b"))
-    return F.flatten(F.transform(deal(whole, _BLOCK_BITS[0], low), lambda pair: deal(pair, _BLOCK_BITS[1], high)))
+    # An array of one binds the masks, which are else worked out again for each digest.
+    whole = F.struct(own.alias("a"), other.alias("b"), mask(low).alias("low"), mask(high).alias("high"))
+    return F.get(F.transform(F.array(whole), dealt), F.lit(0))
 
 
 def differing(own: Column, other: Column, own_cells: Column, other_cells: Column) -> Column:
