@@ -31,8 +31,6 @@ repeated is asked once, with its smallest vector.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
