@@ -30,7 +30,8 @@ from authorlink.llm import common
 
 #: From this score on, a span of a kind that is not a base kind is kept.
 THRESHOLD = 0.5
-#: What a word nearby adds, and how many code points before and after a span are searched for it.
+#: What a word nearby adds, and how many code points before and after a span are searched for it,
+#: at most up to the next match of the same kind.
 BOOST, BEFORE, AFTER = 0.3, 48, 24
 
 
@@ -106,34 +107,38 @@ def _proposed(text: Column, kind: Kind) -> Column:
     return F.when(F.contains(text, F.lit(kind.needs)), found) if kind.needs else found
 
 
-def _placed(text: Column, matches: Column, kind: Kind) -> Column:
-    """Confirmed matches as ``(start, order, end, match)``."""
-    order = KINDS.index(kind)
-    gaps = F.split(text, kind.pattern, -1)
-    first = F.struct(
-        F.lit(0).alias("at"),
-        F.lit(None).cast("array<struct<start:int,order:int,end:int,match:string>>").alias("spans"),
-    )
+_SPAN = "array<struct<start:int,order:int,end:int,match:string,near:string>>"
+
+
+def _placed(matches: Column, gaps: Column, kind: Kind) -> Column:
+    """Confirmed matches with their places, and what stands before and after them up to the next match."""
+    empty = F.array().cast(_SPAN)
 
     def step(state: Column, i: Column) -> Column:
-        match = F.get(matches, i)
-        start = state["at"] + F.length(F.get(gaps, i))
+        gap, match = F.get(gaps, i), F.get(matches, i)
+        start = state["at"] + F.length(gap)
         end = start + F.length(match)
-        span = F.struct(start.alias("start"), F.lit(order).alias("order"), end.alias("end"), match.alias("match"))
-        empty = F.array().cast("array<struct<start:int,order:int,end:int,match:string>>")
-        return F.struct(end.alias("at"), F.concat(F.coalesce(state["spans"], empty), F.array(span)).alias("spans"))
+        near = F.concat(F.substring(gap, -BEFORE, BEFORE), F.lit("\n"), F.substring(F.get(gaps, i + 1), 1, AFTER))
+        span = F.struct(
+            start.alias("start"),
+            F.lit(KINDS.index(kind)).alias("order"),
+            end.alias("end"),
+            match.alias("match"),
+            F.lower(near).alias("near"),
+        )
+        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
+    first = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
     places = F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), first, step)["spans"]
-    return F.when(F.size(matches) > 0, F.filter(places, lambda span: kind.confirmed(span["match"])))
+    return F.when(F.size(matches) > 0, F.filter(places, lambda span: kind.confirmed(span["match"]))).otherwise(empty)
 
 
-def _score(text: Column, span: Column) -> Column:
-    before = F.substring(text, F.greatest(span["start"] - BEFORE, F.lit(0)) + 1, F.least(span["start"], F.lit(BEFORE)))
-    near = F.lower(F.concat(before, F.lit("\n"), F.substring(text, span["end"] + 1, F.lit(AFTER))))
+def _score(span: Column) -> Column:
     score = F.lit(0.0)
     for order, kind in enumerate(KINDS):
         words = "|".join(kind.words)
-        raised = F.when(F.rlike(near, F.lit(rf"(?<![a-z])(?:{words})(?![a-z])")), F.lit(BOOST)).otherwise(F.lit(0.0))
+        nearby = F.rlike(span["near"], F.lit(rf"(?<![a-z])(?:{words})(?![a-z])"))
+        raised = F.when(nearby, F.lit(BOOST)).otherwise(F.lit(0.0))
         score = F.when(span["order"] == order, F.lit(kind.score) + raised).otherwise(score)
     return score
 
@@ -143,10 +148,12 @@ def detect(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     out = docs.drop("pii").withColumn("_text", common.text_or_empty())
     for kind in KINDS:
         out = out.withColumn(f"_match_{kind.name}", _proposed(F.col("_text"), kind))
+    # Columns of their own, so that a text is cut once and not again for each match.
     for kind in KINDS:
-        out = out.withColumn(f"_span_{kind.name}", _placed(F.col("_text"), F.col(f"_match_{kind.name}"), kind))
-    empty = F.array().cast("array<struct<start:int,order:int,end:int,match:string>>")
-    out = out.withColumn("_spans", F.concat(*(F.coalesce(F.col(f"_span_{kind.name}"), empty) for kind in KINDS)))
+        match = F.col(f"_match_{kind.name}")
+        out = out.withColumn(f"_gaps_{kind.name}", F.when(F.size(match) > 0, F.split("_text", kind.pattern, -1)))
+    spans = [_placed(F.col(f"_match_{kind.name}"), F.col(f"_gaps_{kind.name}"), kind) for kind in KINDS]
+    out = out.withColumn("_spans", F.concat(*(F.coalesce(span, F.array().cast(_SPAN)) for span in spans)))
     names = F.array(*(F.lit(kind.name) for kind in KINDS))
     n_base = sum(kind.base for kind in KINDS)
     scored = F.transform(
@@ -156,11 +163,11 @@ def detect(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             span["order"].alias("order"),
             span["end"].alias("end"),
             F.get(names, span["order"]).alias("kind"),
-            _score(F.col("_text"), span).alias("score"),
+            _score(span).alias("score"),
         ),
     )
     kept = F.filter(F.array_sort(scored), lambda span: (span["order"] < n_base) | (span["score"] >= threshold))
-    own = [c for c in out.columns if c in ("_text", "_spans") or c.startswith(("_match_", "_span_"))]
+    own = [c for c in out.columns if c in ("_text", "_spans") or c.startswith(("_match_", "_gaps_"))]
     return out.withColumn("pii", kept).drop(*own)
 
 
@@ -185,14 +192,15 @@ def redacted(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         )
 
     first = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
-    found = detect(docs, threshold).withColumn("_redacted", F.when(F.size("pii") > 0, F.aggregate("pii", first, step)))
+    columns = docs.columns
+    found = detect(docs.withColumnRenamed("pii", "_own_pii"), threshold)
+    found = found.withColumn("_redacted", F.when(F.size("pii") > 0, F.aggregate("pii", first, step)))
     rest = F.substring(F.col("text"), F.col("_redacted.at") + 1, F.length("text"))
     text = F.when(F.col("_redacted").isNull(), F.col("text")).otherwise(F.concat(F.col("_redacted.done"), rest))
-    out = found.withColumn("text", text).drop("pii", "_redacted")
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.length("text").cast(kind))
-    return out.select(*docs.columns)
+    out = found.withColumn("text", text).drop("pii", "_redacted").withColumnRenamed("_own_pii", "pii")
+    if "n_chars" in columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*columns)
 
 
 def op10_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,6 +33,8 @@ def _check(spark, folder, docs):
     for g, w in zip(sorted(got, key=repr), sorted(want, key=repr)):
         assert g[:3] == w[:3] and g[3:] == pytest.approx(w[3:])
     assert len(got) == len(want)
+    if len({d[0] for d in docs}) < len(docs):
+        return out
     texts = {d[0]: d[1] or "" for d in docs}
     prints = {(texts[r[0]], r[3]) for r in out}
     assert len(prints) == len({t for t, _ in prints})

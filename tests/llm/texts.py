@@ -22,7 +22,7 @@ def documents() -> list[tuple]:
         (4, None, "en", "a"),
         (5, "", None, "a"),
         (6, "   \n\t ", "en", None),
-        (7, other + base[:200], "en", None),
+        (7, other[:300] + base[:400], "en", None),
         (8, long_, "en", "b"),
         (8, long_, "en", "b"),
         (9, "ÀÉ naïve café – 東京 🎉 " * 12, "fr", "c"),
