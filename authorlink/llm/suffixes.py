@@ -44,7 +44,7 @@ from authorlink.llm import common
 from authorlink.llm.anchors import GRAM, SPAN, runs
 
 #: Runs that a task gathers before it sends them, runs in a bucket, documents whose answers are put together in a task.
-AT_ONCE, IN_BUCKET, AT_HOME = 1_000_000, 1_500_000, 20_000
+AT_ONCE, IN_BUCKET, AT_HOME = 500_000, 800_000, 10_000
 #: Open runs of one anchor that a task still sorts, and open runs sorted together.
 HOT, SORTED = 200_000, 40_000
 _LAST = 2**63 - 1
