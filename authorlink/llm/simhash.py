@@ -1,4 +1,4 @@
-"""SimHash fingerprints, linked through BK-trees, and the components of the links.
+"""SimHash fingerprints, linked through BK-trees, and near-duplicates by similarity: components of links.
 
 A bit of a fingerprint is set if it is set in over half of the hashes of a text's
 word shingles. Fingerprints link if at most ``radius`` of their bits differ.
@@ -10,8 +10,8 @@ a tree for everything, sent to every query, would grow with the data and still b
 searched nearly whole. Instead fingerprints are cut into blocks of 16 bits and the
 shards are those that agree in one block; a fingerprint goes, by a shuffle, to the
 tree of each of its blocks. With more blocks than ``radius`` no link is missed
-(``radius`` differing bits leave one block untouched). With fewer it is likely that
-a pair meets: see ``near_duplicates``.
+(``radius`` differing bits leave one block untouched). ``near_duplicates`` doesn't
+use fingerprints: it compares sets of shingles.
 
 A shard above ``TILE`` fingerprints is dealt out to tiles; each pair of tiles is a
 tree of one and the queries of the other, in its own group. Equal fingerprints are
@@ -281,26 +281,163 @@ def linked(docs: DataFrame, words: int, radius: int, lanes: int = 1, tile: int =
     return printed.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-#: Near-duplicates: words of a shingle, 64-bit lanes, and the differing bits that a similarity of 0.8 makes likely.
-NEAR_WORDS, NEAR_LANES, NEAR_RADIUS = 5, 8, 80
+#: Near-duplicates: words of a shingle, and the least similarity of a link.
+NEAR_WORDS, NEAR_SHARE = 5, 0.8
+#: Bands of a text and least hashes in each; the texts and the characters that are compared in one group at most.
+BANDS, IN_BAND, NEAR_TILE, NEAR_CHARS = 30, 5, 2048, 16_000_000
+_MIX = np.random.default_rng(SEED).integers(0, 2**64, (2, BANDS * IN_BAND), np.uint64) | np.array([[1], [0]], np.uint64)
 
 
-def near_duplicates(docs: DataFrame, words: int = NEAR_WORDS, lanes: int = NEAR_LANES, radius: int = NEAR_RADIUS) -> DataFrame:
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    """The distinct hashes of all shingles, ascending."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *_hashes(text, words)]))
+
+
+def bands(hashes: np.ndarray) -> list[int]:
+    """A number for each band: two sets share one if they have the same least hashes in it."""
+    if not len(hashes):
+        return []
+    least = np.full(BANDS * IN_BAND, 2**64 - 1, np.uint64)
+    for at in range(0, len(hashes), 2048):
+        mixed = hashes[at : at + 2048, None] * _MIX[0]
+        mixed += _MIX[1]
+        np.minimum(least, mixed.min(0), out=least)
+    rows = least.reshape(BANDS, IN_BAND)
+    return [xxhash.xxh64_intdigest(row.tobytes(), band) - 2**63 for band, row in enumerate(rows)]
+
+
+def _shingled(docs: DataFrame, words: int) -> DataFrame:
+    """``(doc_id, row, key, chars, bands)`` of ``(doc_id, row, text)``; equal sets of shingles have the same key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, chars, of_text = [], [], []
+            for text in batch.column("text"):
+                text = text.as_py()
+                hashes = shingle_set(text, words)
+                keys.append(xxhash.xxh3_128_digest(hashes.tobytes()))
+                chars.append(len(text or ""))
+                of_text.append(bands(hashes))
+            columns = [pa.array(keys, pa.binary()), pa.array(chars, pa.int64()), pa.array(of_text, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("row"), *columns], ["doc_id", "row", "key", "chars", "bands"]
+            )
+
+    columns = docs.select(F.col("doc_id").cast("long"), "row", "text")
+    return columns.mapInArrow(run, "doc_id long, row long, key binary, chars long, bands array<long>")
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every key with the one before it, where both have the band, of rows in the order of bands."""
+    last_band, last_key = None, None
+    for batch in batches:
+        a, b = [], []
+        for band, key in zip(batch.column("band").to_pylist(), batch.column("key").to_pylist()):
+            if band == last_band:
+                a.append(last_key)
+                b.append(key)
+            last_band, last_key = band, key
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+
+def _similar(sets: list[np.ndarray], of_text: list[list[int]], tile: np.ndarray, across: bool, share: float) -> list[tuple[int, int]]:
+    """Links, as places, that connect all sets connected by pairs with a band in common and a Jaccard similarity of ``share``."""
+    n, found = len(sets), []
+    size = np.array([len(s) for s in sets])
+    label, tried = np.arange(n), np.zeros((n, n), bool)
+    place = np.repeat(np.arange(n), [len(b) for b in of_text])
+    band = np.array([x for b in of_text for x in b], np.int64)
+    order = np.argsort(band, kind="stable")
+    for members in np.split(place[order], np.flatnonzero(np.diff(band[order])) + 1):
+        for at in range(1, len(members)):
+            # What is connected needs no comparison.
+            if at == 1 and (label[members] == label[members[0]]).all():
+                break
+            x, near = members[at], members[:at]
+            near = near[(label[near] != label[x]) & ~tried[x, near]]
+            near = near[np.minimum(size[near], size[x]) >= share * np.maximum(size[near], size[x]) - 1e-6]
+            for y in (near[tile[near] != tile[x]] if across else near).tolist():
+                if label[y] == label[x]:
+                    continue
+                tried[x, y] = True
+                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if both / (size[x] + size[y] - both) >= share:
+                    found.append((y, int(x)))
+                    label[label == label[x]] = label[y]
+    return found
+
+
+def _verifier(words: int, share: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, rows = None, []
+        for batch in batches:
+            columns = [batch.column(c) for c in ("root", "low", "high", "tile", "key", "bands", "text")]
+            for i in range(batch.num_rows):
+                *group, tile, key, of_text, text = (c[i].as_py() for c in columns)
+                if group != of:
+                    yield from linked(of, rows)
+                    of, rows = group, []
+                rows.append((tile, key, of_text, shingle_set(text, words)))
+        yield from linked(of, rows)
+
+    def linked(of: list | None, rows: list) -> Iterator[pa.RecordBatch]:
+        if len(rows) > 1:
+            tile, key, of_text, sets = zip(*rows)
+            found = _similar(list(sets), list(of_text), np.array(tile), of[1] != of[2], share)
+            columns = [pa.array([key[pair[k]] for pair in found], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+    return run
+
+
+def _similar_keys(docs: DataFrame, distinct: DataFrame, words: int, share: float, tile: int) -> DataFrame:
+    """Links ``(a, b)`` of keys, all of them confirmed, that reach all that can be reached."""
+    banded = distinct.select("key", F.explode("bands").alias("band"))
+    chained = banded.repartition("band").sortWithinPartitions("band", "key").mapInArrow(_neighbours, "a binary, b binary")
+    near = components(chained.distinct(), "a", "b")
+    near = common.written(distinct.join(near, F.col("key") == F.col("node")).drop("node"), "candidates")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / tile), F.ceil(F.sum("chars") / NEAR_CHARS)).cast("int")
+    tiled = near.join(near.groupBy("root").agg(parts.alias("tiles")), "root")
+    tiled = tiled.withColumn("tile", F.pmod(F.xxhash64("key"), "tiles").cast("int"))
+    tiled = tiled.select("root", "tiles", "tile", "key", "bands", F.col("first.doc_id").alias("_id"), F.col("first.row").alias("_row"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row"))
+    # A row may be there more than once.
+    with_text = docs.select("doc_id", "row", "text").join(tiled, same).groupBy("key").agg(
+        *(F.first(c).alias(c) for c in ("root", "tiles", "tile", "bands", "text"))
+    )
+    paired = with_text.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
+        "root", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "key", "bands", "text"
+    )
+    group = ["root", "low", "high"]
+    return paired.repartition(*group).sortWithinPartitions(*group, "key").mapInArrow(_verifier(words, share), "a binary, b binary")
+
+
+def near_duplicates(docs: DataFrame, words: int = NEAR_WORDS, share: float = NEAR_SHARE, tile: int = NEAR_TILE) -> DataFrame:
     """The documents without near-duplicates: of each group the one with the lowest id stays.
 
-    Two sets of shingles with a Jaccard similarity of ``s`` have a cosine of
-    ``2 s / (1 + s)``, and their fingerprints differ in about ``acos(cosine) / pi`` of
-    the bits, 0.151 for 0.8. One lane is too short to tell that from chance, so eight
-    are used; their 32 blocks meet a pair of similarity 0.8 with a probability of 0.91
-    and one of 0.9 with 0.998. Ids come before null ones; of equal ids the row with
-    the lowest hash stays, and of equal rows one.
+    Groups are the components of links between texts whose sets of shingles have a
+    Jaccard similarity of ``share`` or more; each link is confirmed by the sets
+    themselves. Pairs are compared if they agree in one of ``BANDS`` bands of ``IN_BAND``
+    least hashes, which misses an isolated pair of similarity 0.8 with a probability of
+    ``(1 - 0.8**5)**30``, 7 in a million, and one of 0.85 with 5 in 10^8. SimHash bits don't decide
+    here: those of pairs at 0.8 spread too far around their mean.
+
+    Texts that share bands form candidate groups, and only their texts move. Large groups are
+    dealt out to tiles, each pair of which is compared in a group of its own; pairs that are
+    connected already are not compared. Texts without words are one group.
+    Ids come before null ones; of equal ids the row with the lowest hash stays, and of
+    equal rows one.
     """
     columns = docs.columns
     row = F.xxhash64(*(F.col(c) for c in columns))
-    printed, member = groups(docs.select("doc_id", row.alias("row"), "text"), words, radius, lanes)
+    numbered = docs.select("doc_id", row.alias("row"), "text")
+    printed = common.written(_shingled(numbered, words), "shingled")
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    first = printed.groupBy("fp").agg(F.min(key).alias("first"))
-    chosen = member.join(first, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    distinct = printed.groupBy("key").agg(F.min(key).alias("first"), F.first("chars").alias("chars"), F.first("bands").alias("bands"))
+    distinct = common.written(distinct, "distinct-sets")
+    found = components(_similar_keys(numbered, distinct, words, share, tile), "a", "b")
+    member = distinct.join(found, distinct["key"] == found["node"], "left").select("first", F.coalesce("root", "key").alias("root"))
+    chosen = member.groupBy("root").agg(F.min("first").alias("first"))
     chosen = chosen.select(F.col("first.doc_id").alias("_id"), F.col("first.row").alias("_row"))
     copies = printed.groupBy("doc_id", "row").agg(F.count(F.lit(1)).alias("_n"))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row"))

@@ -108,6 +108,34 @@ def test_near_duplicates_keep_one_of_each_group(spark, folder):
     assert sorted(kept, key=repr) == sorted([1, 4, 7, 8, 9, 10, 11, 12, 13, -5, 2**60], key=repr)
 
 
+def _set_of(text):
+    words = text.lower().split()
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def _pair(n, changed, seed):
+    """Texts of which the second has other words at the end, for ``changed`` shingles."""
+    r = random.Random(seed)
+    first = [f"w{r.getrandbits(40)}" for _ in range(n)]
+    return " ".join(first), " ".join(first[: n - changed] + [f"v{r.getrandbits(40)}" for _ in range(changed)])
+
+
+@pytest.mark.parametrize("tile", [simhash.NEAR_TILE, 1])
+def test_isolated_pairs_are_linked_by_their_similarity_alone(spark, folder, tile):
+    docs, want = [], set()
+    for i in range(240):
+        n = 64 + i
+        # The union has n - 4 + changed shingles: similarities of 0.75 to just below 0.8, and of 0.8 to 0.83.
+        changed = (n - 4) // 9 if i % 2 else (n - 4) // 9 + 1 + i % 3
+        a, b = _pair(n, changed, i)
+        shared, all_ = len(_set_of(a) & _set_of(b)), len(_set_of(a) | _set_of(b))
+        docs += [(2 * i, a), (2 * i + 1, b)]
+        want |= {2 * i} if shared / all_ >= 0.8 else {2 * i, 2 * i + 1}
+    assert 330 < len(want) < 390
+    read = spark.read.parquet(f"{folder(docs)}/documents.parquet")
+    assert {r.doc_id for r in simhash.near_duplicates(read, tile=tile).collect()} == want
+
+
 def test_empty_table(spark, folder):
     sf = folder([])
     assert simhash.op6_simhash_components(spark, sf).count() == 0
