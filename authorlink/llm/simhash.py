@@ -289,8 +289,15 @@ _MIX = np.random.default_rng(SEED).integers(0, 2**64, (2, BANDS * IN_BAND), np.u
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
-    """The distinct hashes of all shingles, ascending."""
-    return np.unique(np.concatenate([np.zeros(0, np.uint64), *_hashes(text, words)]))
+    """The distinct hashes of all shingles, ascending: a shingle counts once, however often it is repeated."""
+    kept, parts, waiting = np.zeros(0, np.uint64), [], 0
+    for hashes in _hashes(text, words):
+        parts.append(np.unique(hashes))
+        waiting += len(parts[-1])
+        # Parts of very long texts are merged as often as what is kept doubles.
+        if waiting > len(kept):
+            kept, parts, waiting = np.unique(np.concatenate([kept, *parts])), [], 0
+    return np.unique(np.concatenate([kept, *parts])) if parts else kept
 
 
 def bands(hashes: np.ndarray) -> list[int]:

@@ -136,6 +136,26 @@ def test_isolated_pairs_are_linked_by_their_similarity_alone(spark, folder, tile
     assert {r.doc_id for r in simhash.near_duplicates(read, tile=tile).collect()} == want
 
 
+def test_repeated_lines_count_once(spark, folder):
+    line = " ".join(f"l{i}" for i in range(16))
+    docs = []
+    for i in range(0, 40, 4):
+        # Unrelated but for a line repeated 20 times; then a text, and its copy with the line appended 10 times.
+        (a, b), (text, _) = _pair(304, 304, 100 + i), _pair(304, 0, 200 + i)
+        docs += [(i, f"{a} {' '.join([line] * 20)}"), (i + 1, f"{b} {' '.join([line] * 20)}")]
+        docs += [(i + 2, text), (i + 3, f"{text} {' '.join([line] * 10)}")]
+    read = spark.read.parquet(f"{folder(docs)}/documents.parquet")
+    assert {r.doc_id for r in simhash.near_duplicates(read).collect()} == {d[0] for d in docs if d[0] % 4 != 3}
+
+
+def test_sets_of_long_texts_in_parts(monkeypatch):
+    text = f"{prose(3000, 8)} {prose(500, 9)} {prose(500, 9)} é"
+    want = sorted({xxhash.xxh64_intdigest(s.encode(), simhash.SEED) for s in _set_of(text)})
+    assert simhash.shingle_set(text, 5).tolist() == want
+    monkeypatch.setattr(simhash, "PART", 64)
+    assert simhash.shingle_set(text, 5).tolist() == want
+
+
 def test_empty_table(spark, folder):
     sf = folder([])
     assert simhash.op6_simhash_components(spark, sf).count() == 0
