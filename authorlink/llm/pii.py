@@ -30,9 +30,10 @@ from authorlink.llm import common
 
 #: From this score on, a span of a kind that is not a base kind is kept.
 THRESHOLD = 0.5
-#: What a word nearby adds, and how many code points before and after a span are searched for it,
-#: at most up to the next match of the same kind.
+#: What a word nearby adds, and how many code points before and after a span are searched for it.
 BOOST, BEFORE, AFTER = 0.3, 48, 24
+#: Least code points of a match of any kind.
+SHORTEST = 2
 
 
 def _digits(match: Column) -> Column:
@@ -111,14 +112,22 @@ _SPAN = "array<struct<start:int,order:int,end:int,match:string,near:string>>"
 
 
 def _placed(matches: Column, gaps: Column, kind: Kind) -> Column:
-    """Confirmed matches with their places, and what stands before and after them up to the next match."""
+    """Confirmed matches with their places, and the text before and after them, other matches included."""
     empty = F.array().cast(_SPAN)
+    # So many matches have AFTER code points, or the text ends sooner.
+    ahead = -(-AFTER // SHORTEST)
 
     def step(state: Column, i: Column) -> Column:
         gap, match = F.get(gaps, i), F.get(matches, i)
         start = state["at"] + F.length(gap)
         end = start + F.length(match)
-        near = F.concat(F.substring(gap, -BEFORE, BEFORE), F.lit("\n"), F.substring(F.get(gaps, i + 1), 1, AFTER))
+        before = F.substring(F.concat(state["before"], F.substring(gap, -BEFORE, BEFORE)), -BEFORE, BEFORE)
+        following = F.zip_with(
+            F.slice(gaps, i + 2, ahead),
+            F.slice(matches, i + 2, ahead),
+            lambda g, m: F.concat_ws("", F.substring(g, 1, AFTER), F.substring(m, 1, AFTER)),
+        )
+        near = F.concat(before, F.lit("\n"), F.substring(F.concat_ws("", following), 1, AFTER))
         span = F.struct(
             start.alias("start"),
             F.lit(KINDS.index(kind)).alias("order"),
@@ -126,9 +135,10 @@ def _placed(matches: Column, gaps: Column, kind: Kind) -> Column:
             match.alias("match"),
             F.lower(near).alias("near"),
         )
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+        passed = F.substring(F.concat(before, F.substring(match, -BEFORE, BEFORE)), -BEFORE, BEFORE)
+        return F.struct(end.alias("at"), passed.alias("before"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
-    first = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
+    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("before"), empty.alias("spans"))
     places = F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), first, step)["spans"]
     return F.when(F.size(matches) > 0, F.filter(places, lambda span: kind.confirmed(span["match"]))).otherwise(empty)
 

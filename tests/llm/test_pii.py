@@ -6,6 +6,7 @@ import re
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from authorlink.llm import pii
 from tests.llm.conftest import rows_of
@@ -93,6 +94,34 @@ def test_added_kinds(spark, folder, text, spans):
     assert rows_of(pii.op10_pii_spans(spark, folder([(1, text)])))[0][-1] == spans
 
 
+@pytest.mark.parametrize(
+    ("text", "spans"),
+    [
+        ("Phone: 202-555-0143, 202-555-0144", [(7, 19), (21, 33)]),
+        ("Phone: 202-555-0143, 202-555-0144, 202-555-0145, 202-555-0146", [(7, 19), (21, 33), (35, 47)]),
+        ("202-555-0143, 202-555-0144 tel", [(0, 12), (14, 26)]),
+        ("é🎉 202-555-0143, 202-555-0144 mobile", [(3, 15), (17, 29)]),
+        ("202-555-0143, 202-555-0144 by my mobile", [(14, 26)]),
+        ("202-555-0143, 202-555-0144", []),
+    ],
+)
+def test_words_count_across_neighbouring_matches(spark, folder, text, spans):
+    # 48 code points before a match and 24 after it.
+    near = [text[max(0, a - 48) : a] + "\n" + text[b : b + 24] for a, b in spans]
+    assert all(re.search("phone|tel|mobile", n.lower()) for n in near)
+    found = rows_of(pii.op10_pii_spans(spark, folder([(1, text)])))[0][-1]
+    assert found == ",".join(f"local_phone:{a}:{b}" for a, b in spans)
+
+
+def test_context_of_many_short_matches_is_the_text_around_them(spark):
+    text = "mail 12 1.2.3.4 " + "12 34,56.78 é9 " * 12 + "+1 5 card 1 2 3\n"
+    for kind in pii.KINDS:
+        df = spark.createDataFrame([(text,)], "t string")
+        row = df.select(F.split("t", kind.pattern, -1).alias("g"), F.regexp_extract_all("t", F.lit(kind.pattern), F.lit(0)).alias("m"))
+        spans = row.select(pii._placed(F.col("m"), F.col("g"), kind)).first()[0]
+        assert [s.near for s in spans] == [(text[max(0, s.start - 48) : s.start] + "\n" + text[s.end : s.end + 24]).lower() for s in spans]
+
+
 def test_words_nearby_raise_the_score(spark, folder):
     docs = [(1, "write to a@b.org"), (2, "river a@b.org"), (3, "mailing a@b.org")]
     read = spark.read.parquet(f"{folder(docs)}/documents.parquet")
