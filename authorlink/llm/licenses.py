@@ -17,7 +17,7 @@ share of the n-grams of the family's most similar template that it holds is at l
 ``CONFIRMED``.
 
 Defined cases. Null and empty texts have no paragraphs that count. Repeated rows are
-found each: rows are told apart by a number of their own. Of equal probabilities the family
+found each: equal rows are scored as one and listed as often as they occur. Of equal probabilities the family
 first by name is taken. An empty table gives an empty result; so does, in effect, a corpus
 without ``unknown`` paragraphs to train on. Extra columns are not carried along.
 """
@@ -186,13 +186,16 @@ def notices(docs: DataFrame, sample: int = SAMPLE, least: float = LEAST, confirm
     lines = paragraphs(docs).withColumn("gram", F.explode(grams(F.col("text")))).select("row", "doc_id", "paragraph", "gram")
     hits = lines.join(F.broadcast(known), "gram")
     sums = [F.sum(F.get("w", F.lit(k))).alias(f"_{k}") for k in range(len(labels))]
-    of_paragraph = hits.groupBy("row", "doc_id", "paragraph").agg(*sums, F.collect_set("gram").alias("held"))
-    logit = F.array(*((F.col(f"_{k}") + F.lit(bias[k])) / F.lit(temperature) for k in range(len(labels))))
+    counted = [*sums, F.collect_set("gram").alias("held"), F.count(F.lit(1)).alias("_hits")]
+    of_paragraph = hits.groupBy("row", "doc_id", "paragraph").agg(*counted)
+    # A paragraph has each n-gram once, so equal rows have added theirs so many times.
+    of_paragraph = of_paragraph.withColumn("copies", (F.col("_hits") / F.size("held")).cast("int"))
+    logit = F.array(*((F.col(f"_{k}") / F.col("copies") + F.lit(bias[k])) / F.lit(temperature) for k in range(len(labels))))
     scored = of_paragraph.withColumn("logit", logit).withColumn("top", F.array_max("logit"))
     norm = F.aggregate("logit", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("top")))
     best = F.array_position("logit", F.col("top")).cast("int") - 1
     told = scored.select(
-        "doc_id", "paragraph", "held", F.get(F.array(*map(F.lit, labels)), best).alias("family"), (F.lit(1.0) / norm).alias("score")
+        "doc_id", "paragraph", "held", "copies", F.get(F.array(*map(F.lit, labels)), best).alias("family"), (F.lit(1.0) / norm).alias("score")
     )
     told = told.where((F.col("family") != UNKNOWN) & (F.col("score") >= least))
     shares = F.lit(0.0)
@@ -200,7 +203,8 @@ def notices(docs: DataFrame, sample: int = SAMPLE, least: float = LEAST, confirm
         alike = F.greatest(F.lit(0.0), *(_share(F.col("held"), g, by_gram) for g in texts))
         shares = F.when(F.col("family") == family, alike).otherwise(shares)
     checked = told.withColumn("similarity", shares).where(F.col("similarity") >= confirmed)
-    return checked.select("doc_id", "paragraph", "family", "score", "similarity")
+    each = checked.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return each.select("doc_id", "paragraph", "family", "score", "similarity")
 
 
 def _share(held: Column, template: list[str], weighted: dict) -> Column:

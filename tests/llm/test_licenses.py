@@ -24,6 +24,19 @@ def test_notices_are_found_and_prose_is_not(spark, folder):
     assert all(0.5 <= score <= 1 and similarity >= 0.6 for *_, score, similarity in out)
 
 
+def test_equal_rows_are_scored_as_one_and_listed_each(spark, folder):
+    docs = [*documents(), *((1000 + i, prose(60, 500 + i)) for i in range(150))]
+    text = f"{prose(9, 1)}\nReleased under the MIT License.\nthe license of the river"
+    docs += [(7000, text), *[(7001, text)] * 5]
+    out = rows_of(licenses.op7_license_notices(spark, folder(docs)))
+    single = [r[1:] for r in out if r[0] == 7000]
+    copies = [r[1:] for r in out if r[0] == 7001]
+    assert len(single) == 1 and len(copies) == 5 and len(out) == 6
+    for paragraph, family, score, similarity in copies:
+        assert (paragraph, family, similarity) == (*single[0][:2], single[0][3])
+        assert abs(score - single[0][2]) < 1e-12
+
+
 def test_ngrams(spark):
     df = spark.createDataFrame([("A B-C 12 a",), ("one",), ("",)], "t string")
     assert [r[0] for r in df.select(licenses.grams(df.t)).collect()] == [
