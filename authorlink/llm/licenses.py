@@ -1,7 +1,8 @@
 """Licence notices, found by a trained paragraph classifier and confirmed by templates.
 
 Built from DataFrame and SQL functions and Spark's own logistic regression. Paragraphs
-are lines. Their word 1- to 3-grams, lower-cased and with digits as 0, are the features.
+are lines, and for notices that are wrapped also runs of two to ``WIDEST`` lines, none of
+them blank, in texts with a pair of words from a template. Their word 1- to 3-grams, lower-cased and with digits as 0, are the features.
 
 Training. The known families' notices (``TEMPLATES``, with a few ways to open and close
 them) and, as the class ``unknown``, about ``SAMPLE`` paragraphs of the corpus, drawn by a
@@ -14,7 +15,10 @@ row for each n-gram and family of the templates and of the sample), and their su
 per paragraph are the logits. Sums are taken in every task first; only paragraphs with a weighted
 n-gram move. A paragraph is a notice if a family's probability is at least ``LEAST`` and the
 share of the n-grams of the family's most similar template that it holds is at least
-``CONFIRMED``.
+``CONFIRMED``. Of those that overlap the one of fewest lines is kept, then the most
+similar, then the first; ``paragraph`` is the number of its first line. A template
+spread over more than ``WIDEST`` lines is not found. Comment marks are no words, and
+so don't count.
 
 Defined cases. Null and empty texts have no paragraphs that count. Repeated rows are
 found each: equal rows are scored as one and listed as often as they occur. Of equal probabilities the family
@@ -24,6 +28,8 @@ without ``unknown`` paragraphs to train on. Extra columns are not carried along.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
@@ -77,6 +83,10 @@ CLOSINGS = ("", ".", " (see LICENSE).", ". All rights reserved.")
 UNKNOWN = "unknown"
 SAMPLE = 4000
 LEAST, CONFIRMED = 0.5, 0.6
+#: Most lines of a wrapped notice.
+WIDEST = 6
+#: Words of templates that are usual elsewhere too.
+USUAL = frozenset("a and any are as by can code file form forms free in is it of or source subject terms the this to under use using with without work you your".split())
 
 
 def grams(text: Column) -> Column:
@@ -104,6 +114,52 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return lines.where("trim(text) <> ''")
 
 
+def wrapped(docs: DataFrame, pairs: str) -> DataFrame:
+    """``(row, doc_id, paragraph, n_lines, text)`` of the runs of lines in which the pattern ``pairs`` is found."""
+    numbered = docs.select("doc_id", common.text_or_empty().alias("_text")).where(F.rlike("_text", F.lit(pairs)) & F.contains("_text", F.lit("\n")))
+    lines = numbered.select(F.xxhash64("doc_id", "_text").alias("row"), "doc_id", F.split("_text", "\n").alias("_lines"))
+    starts = lines.select("*", F.explode(F.sequence(F.lit(0), F.size("_lines") - 1)).alias("paragraph"))
+    # Those lines alone, so that the whole text is not copied for each width.
+    starts = starts.select("row", "doc_id", "paragraph", F.slice("_lines", F.col("paragraph") + 1, F.lit(WIDEST)).alias("_lines"))
+    starts = starts.where(F.rlike(F.concat_ws(" ", "_lines"), F.lit(pairs)))
+    runs = starts.select("*", F.explode(F.sequence(F.lit(2), F.lit(WIDEST))).alias("n_lines")).where(F.col("n_lines") <= F.size("_lines"))
+    runs = runs.withColumn("_lines", F.slice("_lines", F.lit(1), F.col("n_lines")))
+    runs = runs.where(F.forall("_lines", lambda line: F.rlike(line, F.lit(r"[\p{L}0-9]"))))
+    text = runs.select("row", "doc_id", "paragraph", "n_lines", F.concat_ws(" ", "_lines").alias("text"))
+    return text.where(F.rlike("text", F.lit(pairs)))
+
+
+def _pairs(templates: list[list[str]]) -> str:
+    """A pattern that is found wherever ``CONFIRMED`` of the n-grams of a template are.
+
+    ``k`` pairs of words hold at most ``k - 1`` triples, so a least number of pairs
+    follows from the share. One less of the usual pairs may be left out.
+    """
+    found: set[str] = set()
+    for template in templates:
+        of_size = [[g for g in template if g.count(" ") == k] for k in range(3)]
+        need = max(1, -int(-(CONFIRMED * len(template) - len(of_size[0]) + 1) // 2))
+        usual = [g for g in of_size[1] if USUAL.issuperset(g.split())][: need - 1]
+        found.update(g for g in of_size[1] if g not in usual)
+    words = (r"[^\p{L}0-9]+".join(re.escape(w).replace("0", "[0-9]+") for w in g.split()) for g in sorted(found))
+    return rf"(?iu)(?<![\p{{L}}0-9])(?:{'|'.join(words)})(?![\p{{L}}0-9])"
+
+
+def _apart(found: DataFrame) -> DataFrame:
+    """Notices that don't overlap: of fewest lines first, then the most similar, then the first."""
+    order = F.struct("n_lines", (-F.col("similarity")).alias("far"), "paragraph", "family", "score", "similarity", "copies")
+    listed = found.groupBy("row", "doc_id").agg(F.array_sort(F.collect_list(order)).alias("all"))
+    kind = listed.schema["all"].dataType.simpleString()
+
+    def step(kept: Column, one: Column) -> Column:
+        end = one["paragraph"] + one["n_lines"]
+        met = F.exists(kept, lambda k: (k["paragraph"] < end) & (one["paragraph"] < k["paragraph"] + k["n_lines"]))
+        return F.when((one["n_lines"] > 1) & met, kept).otherwise(F.concat(kept, F.array(one)))
+
+    kept = F.aggregate("all", F.array().cast(kind), step)
+    return listed.select("doc_id", F.explode(kept).alias("_one")).select("doc_id", "_one.*")
+
+
 def _templates(spark: SparkSession) -> DataFrame:
     pairs = [(family, text) for family, texts in TEMPLATES.items() for text in texts]
     rows = F.array(*(F.struct(F.lit(f).alias("family"), F.lit(t).alias("text")) for f, t in pairs))
@@ -183,11 +239,13 @@ def notices(docs: DataFrame, sample: int = SAMPLE, least: float = LEAST, confirm
             by_gram.setdefault(gram, [0.0] * len(labels))  # needed to compare with templates
     table = F.array(*(F.struct(F.lit(g).alias("gram"), F.array(*map(F.lit, w)).alias("w")) for g, w in by_gram.items()))
     known = spark.range(1).select(F.inline(table)) if by_gram else spark.range(0).selectExpr("'' AS gram", "array(0D) AS w")
-    lines = paragraphs(docs).withColumn("gram", F.explode(grams(F.col("text")))).select("row", "doc_id", "paragraph", "gram")
+    of_templates = [[g for g in t if g in by_gram] for family in _template_grams(spark).values() for t in family]
+    runs = paragraphs(docs).withColumn("n_lines", F.lit(1)).unionByName(wrapped(docs, _pairs(of_templates)))
+    lines = runs.withColumn("gram", F.explode(grams(F.col("text")))).select("row", "doc_id", "paragraph", "n_lines", "gram")
     hits = lines.join(F.broadcast(known), "gram")
     sums = [F.sum(F.get("w", F.lit(k))).alias(f"_{k}") for k in range(len(labels))]
     counted = [*sums, F.collect_set("gram").alias("held"), F.count(F.lit(1)).alias("_hits")]
-    of_paragraph = hits.groupBy("row", "doc_id", "paragraph").agg(*counted)
+    of_paragraph = hits.groupBy("row", "doc_id", "paragraph", "n_lines").agg(*counted)
     # A paragraph has each n-gram once, so equal rows have added theirs so many times.
     of_paragraph = of_paragraph.withColumn("copies", (F.col("_hits") / F.size("held")).cast("int"))
     logit = F.array(*((F.col(f"_{k}") / F.col("copies") + F.lit(bias[k])) / F.lit(temperature) for k in range(len(labels))))
@@ -195,7 +253,7 @@ def notices(docs: DataFrame, sample: int = SAMPLE, least: float = LEAST, confirm
     norm = F.aggregate("logit", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("top")))
     best = F.array_position("logit", F.col("top")).cast("int") - 1
     told = scored.select(
-        "doc_id", "paragraph", "held", "copies", F.get(F.array(*map(F.lit, labels)), best).alias("family"), (F.lit(1.0) / norm).alias("score")
+        "row", "doc_id", "paragraph", "n_lines", "held", "copies", F.get(F.array(*map(F.lit, labels)), best).alias("family"), (F.lit(1.0) / norm).alias("score")
     )
     told = told.where((F.col("family") != UNKNOWN) & (F.col("score") >= least))
     shares = F.lit(0.0)
@@ -203,7 +261,7 @@ def notices(docs: DataFrame, sample: int = SAMPLE, least: float = LEAST, confirm
         alike = F.greatest(F.lit(0.0), *(_share(F.col("held"), g, by_gram) for g in texts))
         shares = F.when(F.col("family") == family, alike).otherwise(shares)
     checked = told.withColumn("similarity", shares).where(F.col("similarity") >= confirmed)
-    each = checked.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    each = _apart(checked).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return each.select("doc_id", "paragraph", "family", "score", "similarity")
 
 

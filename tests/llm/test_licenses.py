@@ -37,6 +37,27 @@ def test_equal_rows_are_scored_as_one_and_listed_each(spark, folder):
         assert abs(score - single[0][2]) < 1e-12
 
 
+def test_wrapped_headers_are_found_once(spark, folder):
+    headers = {
+        "GPL": "# This program is free software: you can redistribute it and/or modify\n"
+        "# it under the terms of the GNU General Public License as published by\n"
+        "# the Free Software Foundation, either version 3 of the License, or",
+        "LGPL": " * This library is free software; you can redistribute it and/or\n"
+        " * modify it under the terms of the GNU Lesser General Public\n"
+        " * License as published by the Free Software Foundation; either",
+        "BSD": "// Redistribution and use in source and binary\n// forms, with or without modification, are\n// permitted provided that the following",
+        "MIT": "Permission is hereby granted, free of\ncharge, to any person obtaining a copy\nof this software and associated documentation",
+    }
+    docs = [*documents(), *((1000 + i, prose(60, 500 + i)) for i in range(150))]
+    for k, text in enumerate(headers.values()):
+        docs.append((6000 + k, f"{prose(9, k)}\n\n{text}\n\n{prose(20, 90 + k)}"))
+        # A blank line parts them.
+        docs.append((7000 + k, text.replace("\n", "\n\n").replace("it under the terms of the", "it")) if k == 0 else (7000 + k, prose(30, k)))
+    out = rows_of(licenses.op7_license_notices(spark, folder(docs)))
+    assert sorted((r[0], r[2]) for r in out) == [(6000 + k, family) for k, family in enumerate(headers)]
+    assert all(similarity >= 0.6 and score >= 0.5 for *_, score, similarity in out)
+
+
 def test_ngrams(spark):
     df = spark.createDataFrame([("A B-C 12 a",), ("one",), ("",)], "t string")
     assert [r[0] for r in df.select(licenses.grams(df.t)).collect()] == [
