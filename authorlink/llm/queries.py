@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from authorlink.llm import iblt, langid, licenses, mixing, packing, pii, simhash, suffixes, toolcalls, topk
+from authorlink.llm import compression, divergence, iblt, langid, licenses, mixing, packing, pii, simhash, suffixes, toolcalls, topk, warc
 
 _QUERIES = {
     "op1_best_fit_packing": (packing.op1_best_fit_packing, None),
@@ -19,6 +19,9 @@ _QUERIES = {
     "op8_document_fingerprints": (iblt.op8_document_fingerprints, None),
     "op9_exact_topk": (topk.op9_exact_topk, topk.OP9_SQL),
     "op10_pii_spans": (pii.op10_pii_spans, None),
+    "op11_source_divergence": (divergence.op11_source_divergence, divergence.OP11_SQL),
+    "op12_vector_codes": (compression.op12_vector_codes, compression.OP12_SQL),
+    "op13_warc_revisits": (warc.op13_warc_revisits, warc.OP13_SQL),
 }
 
 
