@@ -43,108 +43,120 @@ from pyspark.sql import functions as F
 from authorlink.llm import common
 
 LEAST_DOCUMENTS, TOP, SCALE = 3, 200, 1_000_000_000
-#: Bytes of text cut up at a time, and terms that a task counts before it writes them.
-PART, TERMS_AT_ONCE = 1 << 20, 200_000
+#: Bytes of text cut up at a time, and terms of (language, source) that a task counts before it writes them.
+PART, TERMS_AT_ONCE = 1 << 20, 1_500_000
 #: Sources of a tile; counts of terms in a task that sums up pairs; numbers in a table of such a task.
 TILE, COUNTS_PER_TASK, CELLS = 256, 250_000, 2_000_000
 
 # Letters A to Z become small ones, bytes of other alphabets stay, all others separate terms.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
-_COUNTED = "lang string, source string, digest long, term string, n long, documents long"
+_COUNTED = "lang string, digest long, term string, documents long, sources array<string>, counts array<long>"
 
 
-def _terms(text: bytes) -> Counter[bytes]:
-    """The terms of a text with their numbers."""
+def _terms(text: bytes) -> Iterator[list[bytes]]:
+    """The terms of a text, in lists of those of ``PART`` bytes."""
     plain = text.translate(_TABLE)
-    if len(plain) <= PART:
-        return Counter(plain.split())
-    found: Counter[bytes] = Counter()
     at = 0
     while at < len(plain):
         end = plain.find(b" ", at + PART)
         end = len(plain) if end < 0 else end
-        found.update(plain[at:end].split())
+        yield plain[at:end].split()
         at = end
-    return found
 
 
 def _counter(bits: int):
-    """Counts per task; a row without a digest names each (language, source) that occurs."""
+    """Counts per task, a row for each language and term; a row without a digest names all sources of a language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n: dict[tuple[str, str], Counter[bytes]] = {}
-        documents: dict[tuple[str, str], Counter[bytes]] = {}
+        counts: dict[str, dict[str, Counter[bytes]]] = {}
+        documents: dict[str, Counter[bytes]] = {}
         held = 0
         for batch in batches:
-            text, lang, source = (batch.column(c) for c in ("text", "lang", "source"))
-            for key in zip(lang.to_pylist(), source.to_pylist(), text):
-                group, found = key[:2], _terms(key[2].as_py())
-                if group not in n:
-                    n[group], documents[group] = Counter(), Counter()
-                of_group, before = n[group], len(n[group])
-                for term, times in found.items():
-                    of_group[term] += times
-                documents[group].update(found.keys())
+            for text, lang, source in zip(batch.column("text"), batch.column("lang").to_pylist(), batch.column("source").to_pylist()):
+                of_group = counts.setdefault(lang, {}).setdefault(source, Counter())
+                before, distinct = len(of_group), set()
+                for part in _terms(text.as_py()):
+                    of_group.update(part)
+                    distinct.update(part)
+                documents.setdefault(lang, Counter()).update(distinct)
                 held += len(of_group) - before + 1
                 if held >= TERMS_AT_ONCE:
-                    yield from counted(n, documents)
-                    n, documents, held = {}, {}, 0
-        yield from counted(n, documents)
-
-    def counted(n: dict, documents: dict) -> Iterator[pa.RecordBatch]:
-        for (lang, source), of_group in n.items():
-            terms = sorted(of_group)
-            for at in range(0, max(len(terms), 1), 50_000):
-                some = terms[at : at + 50_000]
-                digests = [xxhash.xxh64_intdigest(t) >> (64 - bits) for t in some]
-                marks = [None] if at == 0 else []
-                size = len(some) + len(marks)
-                columns = [
-                    pa.array([lang] * size, pa.string()),
-                    pa.array([source] * size, pa.string()),
-                    pa.array(np.array(digests, np.uint64).view(np.int64).tolist() + marks, pa.int64()),
-                    pa.array([t.decode() for t in some] + marks, pa.string()),
-                    pa.array([of_group[t] for t in some] + [0] * len(marks), pa.int64()),
-                    pa.array([documents[lang, source][t] for t in some] + [0] * len(marks), pa.int64()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "digest", "term", "n", "documents"])
+                    yield from counted(counts, documents)
+                    counts, documents, held = {}, {}, 0
+        yield from counted(counts, documents)
+
+    def counted(counts: dict, documents: dict) -> Iterator[pa.RecordBatch]:
+        for lang, of_source in counts.items():
+            sources = sorted(of_source)
+            yield rows(lang, [None], [None], [0], np.array([0, len(sources)]), sources, np.arange(len(sources)), [0] * len(sources))
+            terms = sorted(documents[lang])
+            place = {term: i for i, term in enumerate(terms)}
+            at = np.concatenate([np.array([place[t] for t in of_source[s]], np.int64) for s in sources])
+            n = np.concatenate([np.array(list(of_source[s].values()), np.int64) for s in sources])
+            source = np.repeat(np.arange(len(sources)), [len(of_source[s]) for s in sources])
+            order = np.argsort(at, kind="stable")
+            source, n = source[order], n[order]
+            starts = np.searchsorted(at[order], np.arange(len(terms) + 1))
+            for first in range(0, len(terms), 50_000):
+                some = terms[first : first + 50_000]
+                digests = np.array([xxhash.xxh64_intdigest(t) >> (64 - bits) for t in some], np.uint64).view(np.int64)
+                cut = starts[first : first + len(some) + 1]
+                part = slice(cut[0], cut[-1])
+                yield rows(lang, digests, [t.decode() for t in some], [documents[lang][t] for t in some], cut - cut[0], sources, source[part], n[part])
+
+    def rows(lang: str, digests, terms: list, documents: list, starts: np.ndarray, sources: list, source: np.ndarray, n) -> pa.RecordBatch:
+        names = pa.DictionaryArray.from_arrays(pa.array(source, pa.int32()), pa.array(sources, pa.string())).cast(pa.string())
+        offsets = pa.array(starts, pa.int32())
+        columns = [
+            pa.array([lang] * len(terms), pa.string()),
+            pa.array(digests, pa.int64()),
+            pa.array(terms, pa.string()),
+            pa.array(documents, pa.int64()),
+            pa.ListArray.from_arrays(offsets, names),
+            pa.ListArray.from_arrays(offsets, pa.array(n, pa.int64())),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "digest", "term", "documents", "sources", "counts"])
 
     return run
 
 
 def counted_terms(docs: DataFrame, bits: int = 64) -> DataFrame:
-    """``(lang, source, digest, term, n, documents)`` by task, written; nothing is shuffled."""
+    """``(lang, digest, term, documents, sources, counts)`` by task, written; nothing is shuffled."""
     columns = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source")]
     texts = docs.select(*columns, common.text_or_empty().cast("binary").alias("text"))
     return common.written(texts.mapInArrow(_counter(bits), _COUNTED), "term-counts")
 
 
+def _key(seed: int, value: Column | str) -> Column:
+    return F.xxhash64(F.lit(seed), value)
+
+
 def _numbered_groups(counted: DataFrame) -> tuple[DataFrame, int]:
     """``(lang_key, source_key, lang, source)`` of all that occur, and the seed whose digests tell them apart."""
-    found = common.written(counted.where("digest IS NULL").select("lang", "source").distinct(), "groups")
+    found = counted.where("digest IS NULL").select("lang", F.explode("sources").alias("source")).distinct()
+    found = common.written(found, "groups")
     n = found.agg(F.count(F.lit(1)).alias("groups"), F.count_distinct("lang").alias("langs")).first()
     seed = 0
     while True:
-        keys = found.select(*_keys(seed), "lang", "source")
+        keys = found.select(_key(seed, "lang").alias("lang_key"), _key(seed, "source").alias("source_key"), "lang", "source")
         told = keys.agg(F.count_distinct("lang_key", "source_key").alias("groups"), F.count_distinct("lang_key").alias("langs")).first()
         if told == n:
             return keys, seed
         seed += 1
 
 
-def _keys(seed: int) -> list[Column]:
-    return [F.xxhash64(F.lit(seed), F.col(c)).alias(f"{c}_key") for c in ("lang", "source")]
-
+def _kept(rows: DataFrame, term: list[str], least: int) -> DataFrame:
+    """``(*term, source_key, n, in_lang, leads)`` of the terms in ``least`` documents of their language.
 
-def _kept(rows: DataFrame, least: int) -> DataFrame:
-    """``(lang_key, digest, place, source_key, n, in_lang, leads)`` of the terms in ``least`` documents of their language.
-
-    One shuffle, on language and term, serves both sums: rows come combined from the pass over the texts.
+    One shuffle, on language and term, serves all sums: rows come combined from the pass over the texts.
     """
-    term = ["lang_key", "digest", "place"]
     dealt = rows.repartition(*term)
-    of_source = dealt.groupBy(*term, "source_key").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
+    each = dealt.select(*term, "documents", F.posexplode(F.arrays_zip("source_keys", "counts")).alias("_i", "_one"))
+    once = F.when(F.col("_i") == 0, F.col("documents")).otherwise(0)
+    of_source = each.groupBy(*term, F.col("_one.source_keys").alias("source_key")).agg(
+        F.sum("_one.counts").alias("n"), F.sum(once).alias("documents")
+    )
     of_lang = Window.partitionBy(*term)
     leads = F.row_number().over(of_lang.orderBy("source_key")) == 1  # one row of a term
     summed = of_source.withColumns(
@@ -155,23 +167,23 @@ def _kept(rows: DataFrame, least: int) -> DataFrame:
 
 def kept_terms(counted: DataFrame, seed: int, least: int) -> tuple[DataFrame, DataFrame]:
     """Counts as ``_kept`` gives them, and the dictionary ``(digest, place, term)``; digests that terms share are split."""
-    rows = counted.where("digest IS NOT NULL").withColumns(dict(zip(("lang_key", "source_key"), _keys(seed))))
-    fixed = ["lang_key", "source_key", "digest", "n", "documents"]
-    first = common.written(_kept(rows.select(*fixed, F.lit(0).alias("place")), least), "kept-digests")
-    # The strings of what is kept, one row a digest; sums of a task's rows go before the shuffle.
-    wanted = first.select("digest").distinct()
-    words = rows.select("digest", "term").join(wanted, "digest", "left_semi")
-    words = words.groupBy("digest").agg(F.min("term").alias("least"), F.max("term").alias("greatest"))
-    words = common.written(words, "dictionary")
+    keyed = F.transform("sources", lambda source: _key(seed, source)).alias("source_keys")
+    fixed = ["lang_key", "digest", "documents", "source_keys", "counts"]
+    rows = counted.where("digest IS NOT NULL").select(_key(seed, "lang").alias("lang_key"), "digest", "documents", keyed, "counts", "term")
+    kept = _kept(rows.select(*fixed), ["lang_key", "digest"], least)
+    first = common.written(kept.withColumn("place", F.lit(0)), "kept-digests")
+    # The least and the greatest string of what is kept: a task's rows are combined before they move.
+    words = rows.groupBy("digest").agg(F.min("term").alias("least"), F.max("term").alias("greatest"))
+    words = common.written(words.join(first.select("digest").distinct(), "digest", "left_semi"), "dictionary")
     collided = words.where("least <> greatest").select("digest")
     clean = words.where("least = greatest").select("digest", F.lit(0).alias("place"), F.col("least").alias("term"))
     if collided.limit(1).count() == 0:
         return first, clean
-    shared = common.written(rows.join(collided, "digest", "left_semi").select(*fixed, "term"), "shared-digests")
+    shared = common.written(rows.join(collided, "digest", "left_semi"), "shared-digests")
     place = F.row_number().over(Window.partitionBy("digest").orderBy("term"))
     parted = common.written(shared.select("digest", "term").distinct().withColumn("place", place), "split-digests")
     again = shared.join(parted, ["digest", "term"]).select(*fixed, "place")
-    split = _kept(again, least)
+    split = _kept(again, ["lang_key", "digest", "place"], least)
     whole = first.join(collided, "digest", "left_anti").select(*split.columns)
     counts = common.written(whole.unionByName(split), "kept-terms")
     return counts, clean.unionByName(parted.select(*clean.columns))

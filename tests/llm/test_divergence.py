@@ -86,9 +86,10 @@ def test_ties_at_the_last_rank_go_by_the_term(spark):
 
 def test_long_texts_are_counted_in_parts(monkeypatch):
     text = ("Amber " * 40 + "x" * 90 + " stone\n") * 20
-    whole = dv._terms(text.encode())
     monkeypatch.setattr(dv, "PART", 33)
-    assert dv._terms(text.encode()) == whole == Counter({b"amber": 800, b"x" * 90: 20, b"stone": 20})
+    parts = list(dv._terms(text.encode()))
+    assert len(parts) > 100
+    assert Counter(t for part in parts for t in part) == {b"amber": 800, b"x" * 90: 20, b"stone": 20}
 
 
 def test_counts_beyond_64_bits_of_products(spark):
