@@ -26,6 +26,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Split skewed joins in front of other steps too, at the price of a shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Joins on more columns than those of a table's buckets leave it where it is.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # A sorted join becomes a hash join where every partition's side was seen to be small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # Recording the Python line of every column costs more than planning does.

@@ -11,7 +11,7 @@ from authorlink.functions.names import (
     full_name_or_unidentified,
     normalise_name,
 )
-from authorlink.operators.keys import collapse_copies, exclude, lookup_flag
+from authorlink.operators.keys import any_null, collapse_copies, exclude, lookup_flag, no_null
 from authorlink.schemas import CHANGED, CREDIT, MASTER_TO_CREDIT, NEW, SAME, SLOT
 
 _NORM = "author_nm_norm"
@@ -55,12 +55,10 @@ def normalised(credits: DataFrame) -> DataFrame:
 
 def new_by_existence(credits: DataFrame, master: DataFrame) -> DataFrame:
     """Credits whose book, contributor and raw name the master does not have together."""
-    return exclude(credits, master_credits(master), SEEN_CREDIT).distinct()
+    return exclude(credits, master_credits(master), SEEN_CREDIT, split=True).distinct()
 
 
-def delta_classify(
-    credits: DataFrame, master: DataFrame
-) -> DataFrame:
+def delta_classify(credits: DataFrame, master: DataFrame) -> DataFrame:
     """Flag each credit NEW, CHANGED or SAME.
 
     A slot can only be known if its book is, so the slot decides NEW alone.
@@ -77,16 +75,16 @@ def delta_filter(classified: DataFrame) -> DataFrame:
     return classified.filter(F.col("delta_flag").isin(NEW, CHANGED))
 
 
-def delta_work(
-    credits: DataFrame, master: DataFrame
-) -> DataFrame:
+def delta_work(credits: DataFrame, master: DataFrame) -> DataFrame:
     """P06 and P07 in one: the work set, exact copies collapsed to a count.
 
-    Unchanged credits, normally nearly all, leave at the first join and never
-    reach the second one.
+    Copies are combined before they move. Unchanged credits, normally nearly all, leave at the
+    first join and never reach the second one; where the master is in buckets of the slot, both
+    find it in place. A slot with a missing part is never known, so its credits join nothing.
     """
     known = normalised(master_credits(master))
-    unmatched = exclude(normalised(credits), known, EXACT).select(*CREDIT)
-    seen = lookup_flag(collapse_copies(unmatched, COPIES), known, SLOT, "_slot")
+    alone = collapse_copies(credits.filter(any_null(SLOT)), COPIES).withColumn("_slot", F.lit(False))
+    unmatched = exclude(normalised(collapse_copies(credits.filter(no_null(SLOT)), COPIES)), known, EXACT)
+    seen = lookup_flag(unmatched.drop(_NORM), known, SLOT, "_slot").unionByName(alone)
     flag = F.when(F.col("_slot"), CHANGED).otherwise(NEW)
     return seen.withColumn("delta_flag", flag).drop("_slot")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from authorlink.operators.keys import lookup, update_from
@@ -17,11 +17,10 @@ _ISNI = ["matched_isni"]
 def known_authors(master: DataFrame) -> DataFrame:
     """Per ISNI of the master: lowest and highest id and highest canonical name, where there is an id.
 
-    Made distinct first: an author's many books are one row per task before the shuffle.
+    An author's many books are one row a task before the shuffle.
     """
     identified = master.filter("matched_isni IS NOT NULL AND indigo_author_id IS NOT NULL")
-    distinct = identified.select("matched_isni", "indigo_author_id", "normailized_author_name").distinct()
-    return distinct.groupBy(*_ISNI).agg(
+    return identified.groupBy(*_ISNI).agg(
         F.min("indigo_author_id").alias("_low_id"),
         F.max("indigo_author_id").alias("_high_id"),
         F.max("normailized_author_name").alias("_name"),
@@ -61,19 +60,21 @@ def backfill_ids(rows: DataFrame, master: DataFrame) -> DataFrame:
 def number_densely(values: DataFrame, column: str, number: str, workspace: Workspace) -> DataFrame:
     """Number distinct values 1, 2, … in their order, without one task seeing them all.
 
-    Values are range partitioned and written with their part, so that parts stay
-    the same for both passes. The driver only adds up one count per part.
+    Values are range partitioned, sorted, and written with the number of their part and their place
+    in it, which therefore stay what they were. The driver only adds up one count per part.
     """
-    parts = workspace.stage(
-        values.repartitionByRange(F.col(column)).withColumn("_part", F.spark_partition_id()), "numbering"
+    place = F.monotonically_increasing_id()  # the part, and from bit 33 down the place in it
+    ordered = values.repartitionByRange(F.col(column)).sortWithinPartitions(column)
+    placed = ordered.withColumn("_place", place).withColumns(
+        {"_part": F.shiftright("_place", 33), "_place": F.col("_place").bitwiseAND((1 << 33) - 1)}
     )
+    parts = workspace.stage(placed, "numbering")
     counts = sorted(parts.groupBy("_part").count().collect())
-    offsets = accumulate((n for _, n in counts), initial=0)
+    offsets = accumulate((n for _, n in counts), initial=1)
     starts = [(part, start) for (part, _), start in zip(counts, offsets)]
-    before = values.sparkSession.createDataFrame(starts, "_part int, _start bigint")
-    in_part = F.row_number().over(Window.partitionBy("_part").orderBy(column))
+    before = values.sparkSession.createDataFrame(starts, "_part bigint, _start bigint")
     # One row per part, so its size is bounded by the number of shuffle partitions.
-    return parts.join(F.broadcast(before), "_part").select(column, (F.col("_start") + in_part).alias(number))
+    return parts.join(F.broadcast(before), "_part").select(column, (F.col("_start") + F.col("_place")).alias(number))
 
 
 def allocate_ids(
@@ -92,16 +93,13 @@ def allocate_ids(
     used = rows.select(F.col(id_column).alias("_used"))
     if master is not None:
         used = used.unionByName(master.select(F.col("indigo_author_id").alias("_used")))
-    highest = used.agg(F.max("_used").alias("_used"))
-    if id_floor is not None:
-        highest = highest.select(F.coalesce("_used", F.lit(id_floor)).alias("_used"))
+    highest = used.agg(F.max("_used")).first()[0]
+    highest = id_floor if highest is None else highest
 
     has_id = F.col(id_column).isNotNull()
     without = rows.filter(~has_id)
     wanted = without.select("matched_isni").filter("matched_isni IS NOT NULL").distinct()
     numbered = number_densely(wanted, "matched_isni", "_number", workspace)
-    new_ids = numbered.crossJoin(F.broadcast(highest)).select(  # one row
-        "matched_isni", (F.col("_used") + F.col("_number")).alias("_new_id")
-    )
+    new_ids = numbered.select("matched_isni", (F.lit(highest).cast("bigint") + F.col("_number")).alias("_new_id"))
     given = update_from(without, new_ids, _ISNI, {id_column: F.col("_new_id")})
     return rows.filter(has_id).unionByName(given)

@@ -1,47 +1,21 @@
 """Joins on keys that may be missing, repeated or hot.
 
-The joins are plain ones, so that one partitioning can serve several of them and
-AQE can split what is skewed: a hot key's rows, or those with a missing key part,
-on the left of a left, inner, semi or anti join (``authorlink.job.SETTINGS`` makes it
-do so in front of other steps as well). A full outer join it cannot split; for that
-the values that hold too many rows are searched for (``find_hot_keys``) and joined by
-themselves.
+The joins are plain ones, so that one partitioning can serve several of them: tables in
+buckets (``authorlink.sources.buckets``) meet without moving. The right side of a test for
+partners is made distinct, in every task before it moves, so a key that is hot there is a row a
+task. Where the left side may be hot, ``split`` lets AQE split it (``authorlink.job.SETTINGS``
+makes it do so in front of other steps as well).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from authorlink.options import Options
-
 _HIT = "_hit"
-#: Items of a frequent-item sketch. It holds every value with over 3.5 / items of the rows.
-_SKETCH_ITEMS = 32768
-_SKETCH_GROUPS = 256
-
-
-@dataclass(frozen=True)
-class HotKeys:
-    """Hashes of the hot values of one key."""
-
-    hashes: tuple[int, ...] = ()
-
-    def __bool__(self) -> bool:
-        return bool(self.hashes)
-
-    def holds(self, on: Sequence[str]) -> Column:
-        return F.xxhash64(*on).isin(*self.hashes)
-
-    def __or__(self, other: HotKeys) -> HotKeys:
-        return HotKeys(tuple(sorted({*self.hashes, *other.hashes})))
-
-
-NO_HOT_KEYS = HotKeys()
 
 
 def any_null(on: Sequence[str]) -> Column:
@@ -57,34 +31,6 @@ def nulls_last(columns: Sequence[str]) -> list[Column]:
     return [field for c in columns for field in (F.col(c).isNull(), F.col(c))]
 
 
-def find_hot_keys(df: DataFrame, on: Sequence[str], options: Options) -> HotKeys:
-    """The key values that are too frequent for one task, found in one pass over ``df``.
-
-    A value is hot with over ``hot_rows_per_task`` rows. Beyond some 10^10 rows the
-    sketch cannot tell that many from fewer; there it is the share of the rows that
-    the sketch is sure to hold, about one in 9,000. Sketches of bounded size are merged
-    in two levels, so neither a task nor the driver receives more than a few hundred.
-    """
-    hashed = df.select(
-        F.when(no_null(on), F.xxhash64(*on)).alias("key"),
-        F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("_group"),
-    )
-    # An empty table has no sketch to merge, so one row without any key joins in.
-    blank = df.sparkSession.range(1).select(F.lit(None).cast("bigint").alias("key"), F.lit(0).alias("_group"))
-    sketches = hashed.unionByName(blank).groupBy("_group").agg(
-        F.count("key").alias("rows"), F.expr(f"approx_top_k_accumulate(key, {_SKETCH_ITEMS})").alias("sketch")
-    )
-    found = sketches.agg(
-        F.sum("rows").alias("rows"),
-        F.expr(
-            f"approx_top_k_estimate(approx_top_k_combine(sketch, {_SKETCH_ITEMS}), {_SKETCH_ITEMS // 3})"
-        ).alias("top"),
-    ).first()
-    least = max(options.hot_rows_per_task, found["rows"] * 3.5 / _SKETCH_ITEMS)
-    hot = (i["item"] for i in found["top"] or [] if i["item"] is not None and i["count"] > least)
-    return HotKeys(tuple(sorted(hot)))
-
-
 def _check_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> None:
     for c in on:
         if left.schema[c].dataType != right.schema[c].dataType:
@@ -107,34 +53,35 @@ def match(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     return _join(left, right, on, "inner")
 
 
-def exclude(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` without a partner (NOT EXISTS: a missing key has none)."""
+def _partners(left: DataFrame, right: DataFrame, on: Sequence[str], split: bool) -> DataFrame:
+    """The complete keys of ``right``, each once.
+
+    One shuffle serves to make them distinct and to join them, but AQE then leaves the join
+    alone. With ``split`` the distinct keys are shuffled a second time, and it can split ``left``.
+    """
     _check_types(left, right, on)
-    return left.join(right.select(*on).filter(no_null(on)), list(on), "left_anti").select(*left.columns)
+    partners = right.filter(no_null(on)).select(*on)
+    if not split:
+        return partners.distinct()
+    part = F.pmod(F.xxhash64(*on), F.lit(1 << 20))
+    return partners.withColumn("_part", part).distinct().drop("_part")
+
+
+def exclude(left: DataFrame, right: DataFrame, on: Sequence[str], split: bool = False) -> DataFrame:
+    """Rows of ``left`` without a partner (NOT EXISTS: a missing key has none)."""
+    return left.join(_partners(left, right, on, split), list(on), "left_anti").select(*left.columns)
 
 
-def keep(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def keep(left: DataFrame, right: DataFrame, on: Sequence[str], split: bool = False) -> DataFrame:
     """Rows of ``left`` with a partner."""
-    _check_types(left, right, on)
-    return left.join(right.select(*on).filter(no_null(on)), list(on), "left_semi").select(*left.columns)
+    return left.join(_partners(left, right, on, split), list(on), "left_semi").select(*left.columns)
 
 
 def lookup_flag(
-    left: DataFrame, right: DataFrame, on: Sequence[str], flag: str, skewed: bool = False
+    left: DataFrame, right: DataFrame, on: Sequence[str], flag: str, split: bool = False
 ) -> DataFrame:
-    """Add a boolean: does the row have a partner. Never repeats rows of ``left``.
-
-    One shuffle of ``right`` serves to make its keys distinct and to join them, but AQE
-    then leaves the join alone. Where ``left`` may be ``skewed``, the distinct keys are
-    shuffled a second time, and it can split.
-    """
-    _check_types(left, right, on)
-    partners = right.filter(no_null(on)).select(*on)
-    if skewed:
-        part = F.pmod(F.xxhash64(*on), F.lit(1 << 20))
-        partners = partners.withColumn("_part", part).distinct().drop("_part").withColumn(flag, F.lit(True))
-    else:
-        partners = partners.distinct().withColumn(flag, F.lit(True))
+    """Add a boolean: does the row have a partner. Never repeats rows of ``left``."""
+    partners = _partners(left, right, on, split).withColumn(flag, F.lit(True))
     found = left.join(partners, list(on), "left")
     return found.select(*left.columns, F.col(flag).isNotNull().alias(flag))
 
@@ -179,13 +126,6 @@ def _not_in_facts(keys: DataFrame, on: Sequence[str]) -> DataFrame:
     )
 
 
-def _pass_not_in(rows: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Keep the rows that a NOT IN over incomplete keys does not reject out of hand."""
-    passed = ~F.col("_some") | (~F.col("_gap") & no_null(on))
-    facts = F.broadcast(_not_in_facts(keys, on))  # one row
-    return rows.crossJoin(facts).filter(passed).select(*rows.columns)
-
-
 def residual_after(
     rows: DataFrame,
     linked: DataFrame,
@@ -202,21 +142,32 @@ def residual_after(
         partners = linked.select(*on).distinct()
         same = reduce(Column.__and__, [rows[c].eqNullSafe(partners[c]) for c in on])
         return rows.join(partners, same, "left_anti")
-    return exclude(_pass_not_in(rows, linked.select(*on), on), linked, on)
+    passed = ~F.col("_some") | (~F.col("_gap") & no_null(on))
+    facts = F.broadcast(_not_in_facts(linked.select(*on), on))  # one row
+    left = rows.crossJoin(facts).filter(passed).select(*rows.columns)
+    return exclude(left, linked, on, split=True)
+
 
+def mark_taken(rows: DataFrame, on: Sequence[str], taken: str, mark: str = "ref_to") -> DataFrame:
+    """Add a boolean: is the row, or another one of its key, linked."""
+    of_key = Window.partitionBy(*on)
+    return rows.withColumn(taken, F.max(F.col(mark).isNotNull()).over(of_key))
 
-def residual_unlinked(
-    rows: DataFrame, on: Sequence[str], null_safe: bool = False, mark: str = "ref_to"
+
+def residual_marked(
+    rows: DataFrame, on: Sequence[str], null_safe: bool = False, taken: str | None = None, mark: str = "ref_to"
 ) -> DataFrame:
-    """``residual_after`` of a table and its own linked rows, without a join.
+    """``residual_after`` of a written table and its own linked rows, without a join.
 
-    Valid where equal keys always share their link, as when the link was looked
-    up by columns of the key. ``rows`` is read twice.
+    ``taken`` names the column of ``mark_taken``; without it equal keys must share
+    their link, as when the link was looked up by columns of the key. What the linked keys
+    look like is read in a pass of its own, of which one row reaches the driver.
     """
     unlinked = rows.filter(F.col(mark).isNull())
-    if null_safe:
-        return unlinked
-    return _pass_not_in(unlinked, rows.filter(F.col(mark).isNotNull()), on)
+    some, gap = (False, False) if null_safe else _not_in_facts(rows.filter(F.col(mark).isNotNull()), on).first()
+    if some:
+        unlinked = unlinked.filter(F.lit(False) if gap else no_null(on))
+    return unlinked.filter(~F.col(taken)).drop(taken) if taken else unlinked
 
 
 def singletons(rows: DataFrame, on: Sequence[str], copies: str | None = None) -> DataFrame:

@@ -6,17 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from authorlink.functions.hashing import change_hash
+from authorlink.operators.bitmap import BITS, bitmap_of, may_hold
 from authorlink.operators.delta import master_credits
-from authorlink.operators.keys import (
-    HotKeys,
-    any_null,
-    exclude,
-    find_hot_keys,
-    lookup_flag,
-    no_null,
-    one_per_key,
-    update_from,
-)
+from authorlink.operators.keys import any_null, lookup, lookup_flag, no_null, one_per_key, update_from
 from authorlink.options import Options
 from authorlink.schemas import (
     CHANGED,
@@ -25,12 +17,14 @@ from authorlink.schemas import (
     LINK,
     MASTER,
     MERGE_KEY,
+    MASTER_SLOT,
     NEW,
     SLOT,
 )
+from authorlink.sources.buckets import buckets_of
+from authorlink.sources.workspace import Workspace
 
 _HASH = "dmc_sync_hash_id"
-_MASTER_SLOT = [CREDIT_TO_MASTER.get(c, c) for c in SLOT]
 STAGED = [
     "isbn13",
     "indigo_author_id",
@@ -53,20 +47,44 @@ _UPDATED = [c for c in _MERGED if c not in MERGE_KEY]
 # --- changed credits ----------------------------------------------------------
 
 
-def changes_per_slot(linked: DataFrame) -> DataFrame:
-    """One CHANGED credit per slot, the lowest; in the words of the master."""
-    changed = linked.filter(F.col("delta_flag") == CHANGED).select(*LINK)
+def changes_per_slot(linked: DataFrame, buckets: int | None = None) -> DataFrame:
+    """One CHANGED credit per slot, the lowest; in the words of the master, and dealt like its ``buckets``."""
+    changed = linked.filter((F.col("delta_flag") == CHANGED) & no_null(SLOT)).select(*LINK)
+    if buckets:
+        changed = changed.repartition(buckets, *SLOT)
     order = [c for c in LINK if c not in SLOT]
-    return one_per_key(changed.filter(no_null(SLOT)), SLOT, order).withColumnsRenamed(CREDIT_TO_MASTER)
+    return one_per_key(changed, SLOT, order).withColumnsRenamed(CREDIT_TO_MASTER)
 
 
 def apply_changed(master: DataFrame, linked: DataFrame) -> DataFrame:
     """Overwrite the master rows in the slot of a CHANGED credit; their id must be found anew."""
+    return overlay_changes(master, changes_per_slot(linked))
+
+
+def overlay_changes(master: DataFrame, changes: DataFrame) -> DataFrame:
+    """The master as the changes (one per slot) leave it.
+
+    The master need not be written for that: the small table of changes is laid over it whenever
+    it is read, and where it is in buckets of the slot, only the changes move.
+    """
     overwritten = ["trade_db_contributor_id", "trade_db_author_name", "matched_isni", "id_source"]
-    changes = changes_per_slot(linked).withColumnsRenamed({c: f"_new_{c}" for c in overwritten})
+    named = changes.withColumnsRenamed({c: f"_new_{c}" for c in overwritten})
     values: dict[str, Column] = {c: F.col(f"_new_{c}") for c in overwritten}
     values |= {c: F.lit(None) for c in ("indigo_author_id", "normailized_author_name")}
-    return update_from(master, changes, _MASTER_SLOT, values)
+    return update_from(master, named, MASTER_SLOT, values)
+
+
+def overlay_ids(master: DataFrame, found: DataFrame) -> DataFrame:
+    """P29 the same way: ``found`` has the id and name of master rows without id, by slot and ISNI."""
+    on = [*MASTER_SLOT, "matched_isni"]
+    ids = {"indigo_author_id": "_found_id", "normailized_author_name": "_found_name"}
+    buckets = buckets_of(master, MASTER_SLOT)
+    found = found.repartition(buckets, *MASTER_SLOT) if buckets else found
+    of_slot = found.groupBy(*on).agg(*(F.max(c).alias(name) for c, name in ids.items()))
+    told = lookup(master, of_slot, on)
+    missing = F.col("indigo_author_id").isNull() & F.col("_found_id").isNotNull()
+    values = {c: F.when(missing, F.col(name)).otherwise(F.col(c)).alias(c) for c, name in ids.items()}
+    return told.select(*(values.get(c, F.col(c)) for c in master.columns))
 
 
 # --- staging -------------------------------------------------------------------
@@ -142,8 +160,8 @@ def stage_resolved(rows: DataFrame, options: Options = Options()) -> DataFrame:
     return as_published(rows, options).distinct()
 
 
-def as_published(rows: DataFrame, options: Options) -> DataFrame:
-    """Resolved combined rows, hashed and labelled, in the words of the master."""
+def as_published(rows: DataFrame, options: Options, *carried: str) -> DataFrame:
+    """Resolved combined rows, hashed and labelled, in the words of the master; ``carried`` columns follow."""
     rows = drop_unresolved(rows, "indigo_contr_id", "indigo_contr_nm")
     if not options.keep_placeholder_rows:
         rows = drop_isni_placeholders(rows)
@@ -162,77 +180,103 @@ def as_published(rows: DataFrame, options: Options) -> DataFrame:
             **audit,
         }
     )
-    return labelled.select(*STAGED, *audit)
+    return labelled.select(*STAGED, *audit, *carried)
 
 
 # --- merging -------------------------------------------------------------------
 
 
 def snapshot_hashes(master: DataFrame) -> DataFrame:
-    """The hashes known before a merge."""
+    """The hashes known before a merge, as a table; ``mark_new_hashes`` asks the master itself."""
     return master.select(_HASH).distinct()
 
 
-def _one_per_merge_key(stage: DataFrame, strict: bool) -> DataFrame:
+def mark_new_hashes(
+    stage: DataFrame,
+    master: DataFrame,
+    workspace: Workspace,
+    known: str | None = None,
+    bits: int = BITS,
+) -> DataFrame:
+    """P42 before the merge: ``_unseen`` tells which staged hashes no row of the old master has.
+
+    Every hash of the merged master is the row's own old one or a staged one, so nothing of
+    the merged master has to be looked up. ``known`` names a column that is true where the staged
+    row has the hash it had in the master; those rows are not looked up either. The old
+    master passes a bitmap of the hashes in question where it lies, and only hits move. ``stage`` is read
+    several times, so it should be written.
+    """
+    asked = stage.filter(~F.col(known)) if known else stage
+    bitmap = bitmap_of(asked.select(_HASH).filter(F.col(_HASH).isNotNull()), [_HASH], bits)
+    hits = may_hold(master.select(_HASH).filter(F.col(_HASH).isNotNull()), bitmap, [_HASH], bits)
+    # An author's many books have one hash.
+    told = lookup_flag(asked, hits, [_HASH], "_seen", split=True)
+    told = workspace.stage(told.withColumn("_unseen", ~F.col("_seen")).drop("_seen"), "asked")
+    return told.unionByName(stage.filter(known).withColumn("_unseen", F.lit(False))) if known else told
+
+
+def _one_per_merge_key(stage: DataFrame, strict: bool, carried: list[str]) -> DataFrame:
     order = ["trade_db_author_name", "matched_isni", "id_source"]
-    rows = stage.select(*_MERGED)
+    rows = stage.select(*_MERGED, *carried)
     if not strict:
         return one_per_key(rows, MERGE_KEY, order)
     distinct = rows.distinct()
     counts = distinct.groupBy(*MERGE_KEY).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(c) for c in _UPDATED]
+        F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(c) for c in [*_UPDATED, *carried]]
     )
     message = F.lit("several staged rows meet on one merge key")
     # The check is part of a merged column, so that it cannot be pruned away.
     checked = F.when(F.col("_n") > 1, F.raise_error(message).cast("string")).otherwise(F.col(_HASH))
-    return counts.withColumn(_HASH, checked).select(*_MERGED)
+    return counts.withColumn(_HASH, checked).select(*_MERGED, *carried)
 
 
 def merge_upsert(
-    master: DataFrame,
-    stage: DataFrame,
-    options: Options = Options(),
-    hot: HotKeys | None = None,
+    master: DataFrame, stage: DataFrame, options: Options = Options(), unseen: str | None = None
 ) -> DataFrame:
     """Update master rows that meet a staged row on the merge key, insert the other staged rows.
 
-    Incomplete keys never meet, so those rows go around the join, unless NULL counts
-    as a value. ``hot`` has the hot merge keys of both tables, searched for when None;
-    their rows meet in joins that can be split, the others in one full outer join.
+    Incomplete keys never meet, unless NULL counts as a value; master rows with an incomplete slot go
+    around the join then. ``unseen`` names the column of ``mark_new_hashes``; with it the merge does P42 as well.
     """
-    run_ts = F.lit(options.run_ts) if options.run_ts else F.current_timestamp()
-    stamp = {
-        "etl_updated_date": run_ts.cast("timestamp_ntz"),
-        "transformation_id": F.lit(options.transformation_id).cast("bigint"),
-    }
+    if options.null_safe_merge:
+        return merge_slots(master, stage, options, unseen)
+    merged = merge_slots(master.filter(no_null(MASTER_SLOT)), stage, options, unseen)
+    return merged.unionByName(flag_without_hash(master.filter(any_null(MASTER_SLOT)), unseen))
+
+
+def flag_without_hash(rows: DataFrame, unseen: str | None) -> DataFrame:
+    """P42 for master rows that meet nothing: their hash is an old one, if they have one."""
     columns = [f.name for f in MASTER]
+    synced = F.when(F.col(_HASH).isNull(), F.lit(False)).otherwise(F.col("dmc_synced"))
+    return rows.withColumn("dmc_synced", synced).select(*columns) if unseen else rows.select(*columns)
 
-    def as_insert(rows: DataFrame) -> DataFrame:
-        made = {c: F.lit(None).cast(MASTER[c].dataType) for c in columns if c not in _MERGED}
-        return rows.withColumns(made | {"transformation_id": stamp["transformation_id"]}).select(*columns)
 
-    target, source, parts = master.select(*columns), stage, []
+def merge_slots(
+    target: DataFrame, stage: DataFrame, options: Options = Options(), unseen: str | None = None
+) -> DataFrame:
+    """``merge_upsert`` without a way around for rows with an incomplete slot.
+
+    One full outer join. The key is nearly unique on either side, since the staged rows are combined
+    on it, so no side has a hot one. A master in buckets stays where it is.
+    """
+    run_ts = F.lit(options.run_ts) if options.run_ts else F.current_timestamp()
+    run_ts, run_id = run_ts.cast("timestamp_ntz"), F.lit(options.transformation_id).cast("bigint")
+    columns, carried = [f.name for f in MASTER], [unseen] if unseen else []
+    target = target.select(*columns)
+    flag = F.when(F.col(unseen), F.lit(False)) if unseen else F.lit(None).cast("boolean")
+
+    source, alone = stage, None
     if not options.null_safe_merge:
-        parts += [target.filter(any_null(MERGE_KEY)), as_insert(source.filter(any_null(MERGE_KEY)).select(*_MERGED))]
-        target, source = target.filter(no_null(MERGE_KEY)), source.filter(no_null(MERGE_KEY))
-    if hot is None:
-        hot = find_hot_keys(target, MERGE_KEY, options) | find_hot_keys(source, MERGE_KEY, options)
-    if hot:
-        is_hot = F.coalesce(hot.holds(MERGE_KEY) & no_null(MERGE_KEY), F.lit(False))
-        hot_target = target.filter(is_hot)
-        hot_source = _one_per_merge_key(source.filter(is_hot), options.strict_merge)
-        values = {c: F.col(f"_new_{c}") for c in _UPDATED} | stamp
-        new = hot_source.withColumnsRenamed({c: f"_new_{c}" for c in _UPDATED})
-        parts += [
-            update_from(hot_target, new, MERGE_KEY, values).select(*columns),
-            as_insert(exclude(hot_source, hot_target, MERGE_KEY)),
-        ]
-        target, source = target.filter(~is_hot), source.filter(~is_hot)
-
-    # Keys that are not hot are nearly unique, and combining them before the shuffle would
-    # only sort everything twice; the join goes on with the order made here.
-    source = _one_per_merge_key(source.repartition(*MERGE_KEY), options.strict_merge)
-    new = source.withColumnsRenamed({c: f"_new_{c}" for c in source.columns}).withColumn("_staged", F.lit(True))
+        made = {c: F.lit(None).cast(MASTER[c].dataType) for c in columns if c not in _MERGED}
+        inserted = stage.filter(any_null(MERGE_KEY)).select(*_MERGED, *carried)
+        alone = inserted.withColumns(made | {"transformation_id": run_id, "dmc_synced": flag}).select(*columns)
+        source = stage.filter(no_null(MERGE_KEY))
+    # Staged rows are nearly unique too, and combining them before the shuffle would only sort
+    # everything twice; the join goes on with the order made here.
+    buckets = buckets_of(target, MASTER_SLOT)
+    source = source.repartition(buckets, *MASTER_SLOT) if buckets else source.repartition(*MERGE_KEY)
+    source = _one_per_merge_key(source, options.strict_merge, carried)
+    new = source.withColumnsRenamed({c: f"_new_{c}" for c in _MERGED}).withColumn("_staged", F.lit(True))
     old = target.withColumn("_known", F.lit(True))
     on = F.lit(True)
     for c in MERGE_KEY:
@@ -242,39 +286,14 @@ def merge_upsert(
     met, fresh, staged = F.col("_known") & F.col("_staged"), F.col("_known").isNull(), F.col("_staged")
     values = {c: F.when(staged, F.col(f"_new_{c}")).otherwise(F.col(c)) for c in _UPDATED}
     values |= {c: F.when(fresh, F.col(f"_new_{c}")).otherwise(F.col(c)) for c in MERGE_KEY}
-    values |= {"etl_updated_date": F.when(met, stamp["etl_updated_date"]).otherwise(F.col("etl_updated_date"))}
-    values |= {
-        "transformation_id": F.when(staged, stamp["transformation_id"]).otherwise(F.col("transformation_id"))
-    }
+    values |= {"etl_updated_date": F.when(met, run_ts).otherwise(F.col("etl_updated_date"))}
+    values |= {"transformation_id": F.when(staged, run_id).otherwise(F.col("transformation_id"))}
+    if unseen:
+        # A row that meets nothing keeps its hash, which is an old one unless it is NULL.
+        stale = F.when(staged, F.col(unseen)).otherwise(F.col(_HASH).isNull())
+        values |= {"dmc_synced": F.when(stale, F.lit(False)).otherwise(F.col("dmc_synced"))}
     merged = joined.withColumns(values).select(*columns)
-    for part in parts:
-        merged = merged.unionByName(part)
-    return merged
-
-
-def flag_unsynced(master: DataFrame, old_hashes: DataFrame) -> DataFrame:
-    """Rows whose hash was not known before the merge must be synchronised again."""
-    seen = lookup_flag(master, old_hashes, [_HASH], "_seen", skewed=True)
-    return _unsync(seen, ~F.col("_seen"), master.columns)
-
-
-def flag_unsynced_by_stage(
-    merged: DataFrame, stage: DataFrame, old_master: DataFrame
-) -> DataFrame:
-    """P42 right after P41: every hash in the merged master is an old one or a staged one.
-
-    A hash does not depend on the book, so the staged hashes that are not old
-    are about one per new author; they are found first, and the master is only
-    compared with those.
-    """
-    staged = stage.select(_HASH).filter(F.col(_HASH).isNotNull()).distinct()
-    unseen = exclude(staged, old_master, [_HASH])
-    found = lookup_flag(merged, unseen, [_HASH], "_unseen", skewed=True)
-    return _unsync(found, F.col("_unseen") | F.col(_HASH).isNull(), merged.columns)
-
-
-def _unsync(rows: DataFrame, stale: Column, columns: list[str]) -> DataFrame:
-    return rows.withColumn("dmc_synced", F.when(stale, F.lit(False)).otherwise(F.col("dmc_synced"))).select(*columns)
+    return merged if alone is None else merged.unionByName(alone)
 
 
 # --- first load ------------------------------------------------------------------

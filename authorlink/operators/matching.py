@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from authorlink.functions.names import full_name_guarded, full_name_or_unidentified, full_name_strict
 from authorlink.operators.delta import master_credits
-from authorlink.operators.keys import keep, lookup, match, singletons
+from authorlink.operators.keys import lookup, mark_taken, match, no_null, singletons
 from authorlink.schemas import (
     AMBIGUOUS_FLAG,
     BY_CONTRIBUTOR,
@@ -130,26 +130,40 @@ def bucket_prefilled(status: DataFrame) -> DataFrame:
 
 
 def confirmed_names(
-    isni_isbns: DataFrame, full_names: DataFrame, ambiguous: DataFrame
+    isni_isbns: DataFrame, isni_authors: DataFrame, ambiguous: DataFrame
 ) -> DataFrame:
-    """Book, name and ISNI wherever a book confirms a proposal of the matcher.
+    """Book and name wherever a book confirms a proposal of the matcher, and the ISNI if there is one alone.
 
-    P14 and the proposals of P15, joined the other way round: holders that were
-    not proposed drop out before their books are read.
+    P13, P14 and the proposals of P15, joined the other way round: holders that were
+    not proposed drop out before their books are read. All tables meet by ISNI. ``single``
+    is NULL where several proposals are confirmed, be they equal ones.
     """
-    proposed = ambiguous.select("author_nm", F.col("matched_isni").alias("isni"))
-    holders = full_names.withColumnRenamed("full_name", "author_nm")
-    holders = match(proposed, holders, ["author_nm", "isni"])
-    books = keep(isni_isbns.select("isbn13", "isni"), holders, ["isni"]).distinct()
-    return match(books, holders, ["isni"]).select(*BOOK_AND_NAME, F.col("isni").alias("final_isni"))
+    proposed = ambiguous.select("author_nm", F.col("matched_isni").alias("isni")).repartition("isni")
+    proposed = proposed.groupBy("author_nm", "isni").agg(F.count(F.lit(1)).alias("_times"))
+    holders = isni_full_names(isni_authors.repartition("isni")).withColumnRenamed("full_name", "author_nm")
+    books = match(isni_isbns.select("isbn13", "isni"), match(proposed, holders, ["author_nm", "isni"]), ["isni"])
+    of_name = books.groupBy(*BOOK_AND_NAME).agg(
+        F.min("isni").alias("_least"), F.max("isni").alias("_greatest"), F.max("_times").alias("_times")
+    )
+    alone = (F.col("_least") == F.col("_greatest")) & (F.col("_times") == 1)
+    return of_name.select(*BOOK_AND_NAME, F.lit(True).alias("confirmed"), F.when(alone, F.col("_least")).alias("single"))
 
 
-def prefilled_candidates(
-    residual: DataFrame, confirmed: DataFrame
+def mark_prefilled(
+    residual: DataFrame, confirmed: DataFrame, key: list[str], copies: str, taken: str
 ) -> DataFrame:
-    """P15 and P16 in one: only pairs that end as a unique match are ever joined."""
-    found = lookup(residual, confirmed, BOOK_AND_NAME).filter(F.col("final_isni").isNotNull())
-    return found.withColumn("ref_to", F.lit(BY_NAME_AND_ISBN))
+    """P15 to P18 in one pass: the links by book and name, and whether a row's key has one.
+
+    The rows meet the confirmed names once, and the partitioning of that join, on book
+    and name, serves to tell single candidates and to mark keys. ``residual`` has
+    distinct credits, and ``copies`` how often each occurs.
+    """
+    found = lookup(residual, confirmed, BOOK_AND_NAME)
+    candidates = F.sum(F.when(F.col("confirmed"), F.col(copies))).over(Window.partitionBy(*SINGLE))
+    is_single = (candidates == 1) & no_null(SINGLE)
+    told = found.withColumn("matched_isni", F.when(is_single, F.col("single")))
+    told = told.withColumn("ref_to", _label("matched_isni", BY_NAME_AND_ISBN)).drop("confirmed", "single")
+    return mark_taken(told, key, taken)
 
 
 def single_candidates(candidates: DataFrame, copies: str | None = None) -> DataFrame:
@@ -176,14 +190,13 @@ def known_isni_pairs(linked: DataFrame, master: DataFrame, sources: tuple[str, .
 def unique_isni_per_contributor(pairs: DataFrame) -> DataFrame:
     """Contributors known under exactly one ISNI.
 
-    Pairs are made distinct first, so a busy contributor is one row per task
-    before anything is shuffled.
+    The least ISNI is the greatest if there is only one, and both combine before the
+    shuffle, so a busy contributor is one row a task.
     """
-    distinct = pairs.select("trade_db_contributor_id", "matched_isni").distinct()
-    grouped = distinct.groupBy("trade_db_contributor_id").agg(
-        F.max("matched_isni").alias("matched_isni"), F.count("matched_isni").alias("_n")
+    grouped = pairs.groupBy("trade_db_contributor_id").agg(
+        F.max("matched_isni").alias("matched_isni"), F.min("matched_isni").alias("_least")
     )
-    return grouped.filter(F.col("_n") == 1).drop("_n")
+    return grouped.filter(F.col("matched_isni") == F.col("_least")).drop("_least")
 
 
 def bucket_tradedb_isni(residual: DataFrame, unique: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ class Options:
     """Run parameters.
 
     The first group labels the output, the second changes results on purpose
-    (all off by default), the third steers the physical plan only.
+    (all off by default).
     """
 
     transformation_id: int = TRANSFORMATION_ID
@@ -32,6 +32,3 @@ class Options:
     """Fail when two staged rows meet on one merge key; otherwise the lowest name wins."""
     null_safe_merge: bool = False
     """Let NULL equal NULL in the merge key, so such rows are not inserted again."""
-
-    hot_rows_per_task: int = 2_000_000
-    """A merge key with more rows than this is joined apart from the others."""

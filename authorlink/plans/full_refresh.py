@@ -21,7 +21,7 @@ from authorlink.operators.load import (
     as_staged,
     clear_isni_placeholders,
     drop_unresolved,
-    flag_unsynced_by_stage,
+    mark_new_hashes,
     merge_upsert,
 )
 from authorlink.operators.matching import BOOK_AND_NAME
@@ -38,7 +38,7 @@ _PAIR = ["trade_db_contributor_id", "matched_isni"]
 def unseen_credits(inputs: Inputs) -> DataFrame:
     """The work set: credits that the master does not have."""
     credits = guarded_credits(blank_name_parts(inputs.trade_contributors))
-    return exclude(credits, master_credits(inputs.matched_author_isbn13), SEEN_CREDIT)
+    return exclude(credits, master_credits(inputs.matched_author_isbn13), SEEN_CREDIT, split=True)
 
 
 def run_full_refresh(
@@ -83,6 +83,6 @@ def run_full_refresh(
     resolved = resolved.select(*STAGED, *(options.audit or {}))
     stage = publish_stage(resolved, stage_path) if stage_path else workspace.stage(resolved, "stage")
 
-    merged = merge_upsert(master, stage, options)
-    flagged = flag_unsynced_by_stage(merged, stage, master)
-    return Result(conform(flagged, MASTER), stage)
+    flagged = mark_new_hashes(stage, master, workspace)
+    merged = merge_upsert(master, flagged, options, "_unseen")
+    return Result(conform(merged, MASTER), stage)

@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 from authorlink.operators.canonical import add_canonical_name, canonical_names, null_placeholder_names
 from authorlink.operators.delta import delta_work, feed_credits, master_credits
 from authorlink.operators.ids import allocate_ids, known_authors
-from authorlink.operators.keys import exclude, lookup
+from authorlink.operators.keys import any_null, lookup, no_null
 from authorlink.operators.load import (
-    apply_changed,
+    STAGED,
     as_published,
     changes_per_slot,
     drop_isni_placeholders,
-    flag_unsynced_by_stage,
-    merge_upsert,
+    flag_without_hash,
+    mark_new_hashes,
+    merge_slots,
+    overlay_changes,
+    overlay_ids,
 )
 from authorlink.options import Options
 from authorlink.plans.linking import link_credits
@@ -28,13 +31,15 @@ from authorlink.schemas import (
     CREDIT_TO_MASTER,
     LINK,
     MASTER,
+    MASTER_SLOT,
     NEW,
-    SLOT,
 )
+from authorlink.sources.buckets import buckets_of
 from authorlink.sources.tables import Inputs, conform, publish_stage
 from authorlink.sources.workspace import Workspace
 
 _PAIR = ["trade_db_contributor_id", "matched_isni"]
+_OLD_HASH, _KNOWN = "_old_hash", "_known_hash"
 _HAS_ID, _NO_ID = "indigo_author_id IS NOT NULL", "indigo_author_id IS NULL"
 
 
@@ -47,26 +52,30 @@ def run_incremental(
 ) -> Result:
     """Link new and changed credits, carry the changes into the master, and merge.
 
+    The master is read where it is wanted, with what the run changes laid over it, and written once, by the
+    caller. A master in buckets of the slot (``MasterStore``) stays in place throughout.
     The staged rows are written to ``stage_path``, or else into the workspace.
     ``work`` is the work set that ``prepare_matching`` wrote, if it did.
     """
     master = inputs.matched_author_isbn13
+    buckets = buckets_of(master, MASTER_SLOT)
     if work is None:
         work = delta_work(feed_credits(inputs.trade_contributors), master)
 
     def pairs_known(linked: DataFrame) -> DataFrame:
         # The pairs the master has once the CHANGED links are applied: those of the
         # slots left alone, and those of the links that overwrite the others.
-        changes = changes_per_slot(linked).withColumnsRenamed(
-            {CREDIT_TO_MASTER[c]: c for c in SLOT if c in CREDIT_TO_MASTER}
-        )
-        known = master_credits(master).filter(
-            F.col("ref_to").isin(BY_NAME, BY_NAME_AND_ISBN, BY_CONTRIBUTOR)
+        known = master.filter(
+            F.col("id_source").isin(BY_NAME, BY_NAME_AND_ISBN, BY_CONTRIBUTOR)
             & F.col("matched_isni").isNotNull()
         )
-        kept = exclude(known.select(*SLOT, *_PAIR), changes, SLOT)
+        new = {c: F.col(c).alias(f"_new_{c}") for c in _PAIR}
+        changes = changes_per_slot(linked, buckets).select(*MASTER_SLOT, *new.values(), F.lit(True).alias("_changed"))
+        # Every change comes out of this join, and so does what no change meets.
+        both = known.select(*MASTER_SLOT, *_PAIR).join(changes, MASTER_SLOT, "full_outer")
+        pairs = [F.when(F.col("_changed"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in _PAIR]
         fresh = linked.filter(F.col("delta_flag") == NEW)
-        return kept.select(*_PAIR).unionByName(changes.select(*_PAIR)).unionByName(fresh.select(*_PAIR))
+        return both.select(*pairs).unionByName(fresh.select(*_PAIR))
 
     linked = link_credits(
         work,
@@ -80,22 +89,36 @@ def run_incremental(
 
     # The early changes touch a part of these slots with a part of these columns' values,
     # so applying the final changes alone gives the same master.
-    changed = workspace.stage(apply_changed(master, linked), "master")
-    pending = workspace.stage(_backfill(changed, linked), "pending")
-    known_master = changed.filter(_HAS_ID).unionByName(pending.filter(~F.col("_new")).drop("_new"))
-
-    identified = workspace.stage(
-        null_placeholder_names(_identify(changed, pending, workspace, options)), "identified"
-    )
-    stage = _published(identified, options)
-    stage = publish_stage(stage, stage_path) if stage_path else workspace.stage(stage, "stage")
-
-    merged = merge_upsert(known_master, stage, options)
-    flagged = flag_unsynced_by_stage(merged, stage, inputs.matched_author_isbn13)
-    return Result(conform(flagged, MASTER), stage)
-
-
-def _backfill(changed: DataFrame, linked: DataFrame) -> DataFrame:
+    changes = changes_per_slot(linked, buckets)
+    if buckets:
+        changes = workspace.stage_in_buckets(changes, "changes", MASTER_SLOT, buckets)
+    else:
+        changes = workspace.stage(changes, "changes")
+    current = overlay_changes(master, changes)
+    pending = workspace.stage(_backfill(current, linked), "pending")
+    identified = workspace.stage(_identify(current, pending, workspace, options), "identified")
+
+    pool = null_placeholder_names(_as_credits(current.filter(_HAS_ID)).unionByName(identified))
+    published = workspace.stage(_published(pool, options, workspace), "stage")
+    stage = published.drop(_KNOWN)
+    if stage_path:
+        stage = publish_stage(stage, stage_path)
+
+    flagged = mark_new_hashes(published, master, workspace, _KNOWN)
+    own = pending.filter(~F.col("_new")).drop("_new")
+    found = own.filter(_HAS_ID)
+    target = overlay_ids(overlay_changes(master.filter(no_null(MASTER_SLOT)), changes), found)
+    # No change ever meets a row with an incomplete slot.
+    gap = any_null(MASTER_SLOT)
+    beside = master.filter(gap & F.col("indigo_author_id").isNotNull()).unionByName(own.filter(gap))
+    if options.null_safe_merge:
+        merged = merge_slots(target.unionByName(beside), flagged, options, "_unseen")
+    else:
+        merged = merge_slots(target, flagged, options, "_unseen").unionByName(flag_without_hash(beside, "_unseen"))
+    return Result(conform(merged, MASTER), stage)
+
+
+def _backfill(current: DataFrame, linked: DataFrame) -> DataFrame:
     """Ids the master knows, for its own rows without one and for NEW credits, in one join.
 
     Own rows take the highest id of the ISNI and the highest name, NEW credits the
@@ -104,7 +127,7 @@ def _backfill(changed: DataFrame, linked: DataFrame) -> DataFrame:
     """
     fresh = linked.filter(F.col("delta_flag") == NEW).select(*LINK)
     waiting = (
-        changed.filter(_NO_ID)
+        current.filter(_NO_ID)
         .withColumn("_new", F.lit(False))
         .unionByName(
             fresh.withColumnsRenamed(CREDIT_TO_MASTER)
@@ -112,7 +135,7 @@ def _backfill(changed: DataFrame, linked: DataFrame) -> DataFrame:
             allowMissingColumns=True,
         )
     )
-    found = lookup(waiting, known_authors(changed), ["matched_isni"])
+    found = lookup(waiting, known_authors(current), ["matched_isni"])
     own_hit = ~F.col("_new") & F.col("_high_id").isNotNull()
     return found.withColumns(
         {
@@ -124,28 +147,36 @@ def _backfill(changed: DataFrame, linked: DataFrame) -> DataFrame:
     ).drop("_low_id", "_high_id", "_name")
 
 
-def _identify(changed: DataFrame, pending: DataFrame, workspace: Workspace, options: Options) -> DataFrame:
-    """Master and NEW credits together, with new ids where the master knows none."""
-    columns = [*LINK, "indigo_contr_id"]
+def _as_credits(rows: DataFrame) -> DataFrame:
+    """Master rows in the words of a credit, with the hash they had."""
+    named = master_credits(rows).withColumnsRenamed({"indigo_author_id": "indigo_contr_id", "dmc_sync_hash_id": _OLD_HASH})
+    return named.select(*LINK, "indigo_contr_id", _OLD_HASH)
 
-    def as_credits(rows: DataFrame) -> DataFrame:
-        return master_credits(rows).withColumnRenamed("indigo_author_id", "indigo_contr_id").select(*columns)
 
-    pool = as_credits(changed.filter(_HAS_ID)).unionByName(as_credits(pending))
-    return allocate_ids(pool, None, workspace, "indigo_contr_id", options.id_floor)
+def _identify(current: DataFrame, pending: DataFrame, workspace: Workspace, options: Options) -> DataFrame:
+    """The credits that had no id, with new ids where the master knows none."""
+    return allocate_ids(_as_credits(pending), current, workspace, "indigo_contr_id", options.id_floor)
 
 
-def _published(identified: DataFrame, options: Options) -> DataFrame:
-    """Resolved rows with their canonical name.
+def _published(pool: DataFrame, options: Options, workspace: Workspace) -> DataFrame:
+    """Resolved rows with their canonical name, and whether their hash is one they had.
 
     Names are counted over all rows. Rows are made distinct on the few columns
     that decide all others, before those are joined and hashed.
     """
-    names = canonical_names(identified, "indigo_contr_id", "author_nm")
-    rows = identified.filter(F.col("indigo_contr_id").isNotNull())
+    # Read from a table, so that AQE can split the rows of a busy author.
+    names = workspace.stage(canonical_names(pool, "indigo_contr_id", "author_nm"), "names")
+    rows = pool.filter(F.col("indigo_contr_id").isNotNull())
     if not options.keep_placeholder_rows:
         rows = drop_isni_placeholders(rows)
-    named = add_canonical_name(rows.distinct(), names, "indigo_contr_id", "indigo_contr_nm")
-    published = as_published(named, options)
-    # A cleared placeholder can make two rows equal.
-    return published.distinct() if options.keep_placeholder_rows else published
+    hashes = [F.min(_OLD_HASH).alias("_least"), F.max(_OLD_HASH).alias("_greatest")]
+    distinct = rows.groupBy(*LINK, "indigo_contr_id").agg(*hashes)
+    named = add_canonical_name(distinct, names, "indigo_contr_id", "indigo_contr_nm")
+    published = as_published(named, options, "_least", "_greatest")
+    had = F.col("dmc_sync_hash_id").isin(F.col("_least"), F.col("_greatest"))
+    published = published.withColumn(_KNOWN, F.coalesce(had, F.lit(False))).drop("_least", "_greatest")
+    if options.keep_placeholder_rows:
+        # A cleared placeholder can make two rows equal.
+        columns = [*STAGED, *(options.audit or {})]
+        published = published.groupBy(*columns).agg(F.bool_or(_KNOWN).alias(_KNOWN))
+    return published

@@ -7,16 +7,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 
 from authorlink.operators.delta import COPIES
-from authorlink.operators.keys import residual_after, residual_unlinked
+from authorlink.operators.keys import mark_taken, residual_marked
 from authorlink.operators.matching import (
     ambiguous_matches,
     bucket_isni,
     bucket_tradedb,
     bucket_tradedb_isni,
     confirmed_names,
-    isni_full_names,
-    prefilled_candidates,
-    single_candidates,
+    mark_prefilled,
     unique_isni_per_contributor,
     unique_matches,
 )
@@ -24,7 +22,7 @@ from authorlink.options import Options
 from authorlink.sources.tables import Inputs
 from authorlink.sources.workspace import Workspace
 
-_LINKED, _UNLINKED = "ref_to IS NOT NULL", "ref_to IS NULL"
+_LINKED, _TAKEN = "ref_to IS NOT NULL", "_taken"
 
 
 def link_credits(
@@ -39,40 +37,28 @@ def link_credits(
     """Buckets by name, by name and book, by contributor, and the rest.
 
     ``work`` has distinct credits and how many copies each stands for. ``key``
-    tells which credits a link takes out of the later buckets. ``pairs_known``
+    tells which credits a link takes out of the later buckets; every bucket marks them as it
+    is filled, so that no bucket is joined with another. ``pairs_known``
     gets the links of the first two buckets and returns all known pairs of
     contributor and ISNI. The rows returned are distinct.
     """
-    engine = inputs.engine_output
-    unique = unique_matches(engine).filter("matched_isni IS NOT NULL").distinct()
+    engine, safe, evidence = inputs.engine_output, options.null_safe_keys, ["matched_isni", "ref_to"]
+    # The matcher returns few equal rows; one shuffle makes them distinct and joins them.
+    unique = unique_matches(engine).filter("matched_isni IS NOT NULL").repartition("author_nm").distinct()
     named = workspace.stage(bucket_isni(work, unique), "named")
-    safe = options.null_safe_keys
 
     # A name is linked or not as a whole, and it is part of every key.
-    unnamed = residual_unlinked(named, key, safe).drop("matched_isni", "ref_to")
-    confirmed = confirmed_names(
-        inputs.isni_isbns, isni_full_names(inputs.isni_authors), ambiguous_matches(engine)
-    )
-    candidates = prefilled_candidates(unnamed, confirmed)
-    prefilled = single_candidates(candidates, COPIES).withColumnRenamed("final_isni", "matched_isni")
-    prefilled = workspace.stage(prefilled, "prefilled")  # read three times below
-    residual = residual_after(unnamed, prefilled, key, safe)
-    by_isni = workspace.stage(
-        named.filter(_LINKED).unionByName(prefilled).unionByName(residual, allowMissingColumns=True),
-        "by_isni",
-    )
+    unnamed = residual_marked(named, key, safe).drop(*evidence)
+    confirmed = confirmed_names(inputs.isni_isbns, inputs.isni_authors, ambiguous_matches(engine))
+    prefilled = workspace.stage(mark_prefilled(unnamed, confirmed, key, COPIES, _TAKEN), "prefilled")
 
-    linked = by_isni.filter(_LINKED)
-    residual = by_isni.filter(_UNLINKED).drop("matched_isni", "ref_to")
-    known = unique_isni_per_contributor(pairs_known(linked))
-    by_contributor = workspace.stage(
-        bucket_tradedb_isni(residual, known), "by_contributor"
-    )
-    if key_has_contributor:
-        rest = residual_unlinked(by_contributor, key, safe)
-    else:
-        rest = residual_after(
-            by_contributor.filter(_UNLINKED), by_contributor.filter(_LINKED), key, safe
-        )
-    rest = bucket_tradedb(rest.drop("matched_isni", "ref_to"))
-    return linked.unionByName(by_contributor.filter(_LINKED)).unionByName(rest).drop(COPIES)
+    linked = named.filter(_LINKED).unionByName(prefilled.filter(_LINKED).drop(_TAKEN))
+    rest = residual_marked(prefilled, key, safe, _TAKEN).drop(*evidence)
+    found = bucket_tradedb_isni(rest, unique_isni_per_contributor(pairs_known(linked)))
+    # A contributor is linked or not as a whole, which decides only a key that the contributor is part of.
+    found = found if key_has_contributor else mark_taken(found, key, _TAKEN)
+    by_contributor = workspace.stage(found, "by_contributor")
+    rest = residual_marked(by_contributor, key, safe, None if key_has_contributor else _TAKEN)
+    rest = bucket_tradedb(rest.drop(*evidence, _TAKEN))
+    linked = linked.unionByName(by_contributor.filter(_LINKED).drop(_TAKEN))
+    return linked.unionByName(rest).drop(COPIES)

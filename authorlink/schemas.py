@@ -93,3 +93,4 @@ CREDIT_TO_MASTER = {
     "ref_to": "id_source",
 }
 MASTER_TO_CREDIT = {master: credit for credit, master in CREDIT_TO_MASTER.items()}
+MASTER_SLOT = [CREDIT_TO_MASTER.get(c, c) for c in SLOT]

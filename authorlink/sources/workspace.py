@@ -5,9 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections import Counter
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from authorlink.sources.buckets import Buckets, write_buckets
+
 _SETTING = "spark.checkpoint.dir"
 
 
@@ -23,17 +26,29 @@ class Workspace:
     def __init__(self, spark: SparkSession):
         self._spark = spark
         self._seen: Counter[str] = Counter()
+        self._tables = Buckets(spark)
         self.path = f"{_shared_folder(spark)}/authorlink-{uuid.uuid4().hex}"
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and return the written table."""
-        self._seen[name] += 1
-        path = f"{self.path}/{name}-{self._seen[name]}"
+        path = self._next(name)
         df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
+    def stage_in_buckets(self, df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> DataFrame:
+        """``stage`` for a table that meets another one in the same buckets."""
+        path = self._next(name)
+        write_buckets(df, path, keys, buckets)
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+        return self._tables.open(path, columns, keys, buckets)
+
+    def _next(self, name: str) -> str:
+        self._seen[name] += 1
+        return f"{self.path}/{name}-{self._seen[name]}"
+
     def drop(self) -> None:
         """Delete the tables of this run."""
+        self._tables.close()
         jvm = self._spark.sparkContext._jvm
         folder = jvm.org.apache.hadoop.fs.Path(self.path)
         folder.getFileSystem(self._spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

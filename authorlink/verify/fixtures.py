@@ -18,6 +18,7 @@ from authorlink.functions.names import full_name_or_unidentified
 from authorlink.sources.tables import Inputs, conform
 from authorlink.sources.workspace import Workspace
 
+
 def _first_name() -> Column:
     k = F.col("k")
     return (
@@ -87,9 +88,9 @@ class Fixtures:
         )
 
     @cached_property
-    def _earlier(self) -> DataFrame:
+    def _known(self) -> DataFrame:
+        """Every line as an author known earlier."""
         k, order = F.col("k"), F.col("l_orderkey")
-        earlier = self._lines.filter((order % 10 < 7) & (F.col("position") <= 5))
         moved = (k % 12 == 0) & (order % 50 == 0)
         variant = (
             F.when(order % 10 == 1, F.concat(F.upper("nm"), F.lit(" ")))
@@ -99,7 +100,7 @@ class Fixtures:
         source = (
             F.when(k % 9 == 0, S.BY_CONTRIBUTOR).when(k % 3 == 0, S.BY_NAME).otherwise(F.lit(S.FALLBACK))
         )
-        return earlier.select(
+        return self._lines.select(
             "l_orderkey",
             "isbn13",
             (k + F.when((k % 15 == 0) & (order % 7 == 3), 5000).otherwise(1000)).alias("author_id"),
@@ -116,7 +117,9 @@ class Fixtures:
     def matched_author_isbn13(self) -> DataFrame:
         k, order = F.col("k"), F.col("l_orderkey")
         row_hash = change_hash(k, F.col("author_id"), F.col("nm"), F.col("isni"))
-        rows = self._earlier.select(
+        # The master lacks a part of the books and the later positions, so that credits are new.
+        earlier = self._known.filter((order % 10 < 7) & (F.col("position") <= 5))
+        rows = earlier.select(
             "isbn13",
             F.col("author_id").alias("indigo_author_id"),
             k.alias("trade_db_contributor_id"),
@@ -137,7 +140,7 @@ class Fixtures:
     def book_ref_prior(self) -> DataFrame:
         """The delivery before the master: placeholders still in place, some rows unresolved, not distinct."""
         k, order = F.col("k"), F.col("l_orderkey")
-        return self._earlier.select(
+        return self._known.select(
             "isbn13",
             F.when(order % 10 != 6, F.col("author_id")).alias("indigo_contr_id"),
             k.alias("trade_db_contributor_id"),

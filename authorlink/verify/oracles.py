@@ -179,19 +179,19 @@ _PARTS: dict[str, str] = {
     "feed": """SELECT k AS trade_db_contributor_id, isbn13, role AS contributor_role, pos AS contributor_order,
         CASE WHEN p % 101 <> 0 THEN fn END AS contributor_first_name,
         CASE WHEN p % 101 <> 0 THEN ln END AS contributor_last_name FROM line""",
-    "earlier": f"""SELECT o, isbn13, k, role, pos, nm,
+    "known": f"""SELECT o, isbn13, k, role, pos, nm,
         k + CASE WHEN k % 15 = 0 AND o % 7 = 3 THEN 5000 ELSE 1000 END AS id,
         CASE WHEN k % 3 <> 0 THEN NULL WHEN k % 12 = 0 AND o % 50 = 0 THEN {_isni("(k + 1)")} ELSE {_isni("k")} END AS isni,
         CASE o % 10 WHEN 1 THEN upper(nm) || ' ' WHEN 2 THEN nm || ' Jr' ELSE nm END AS variant,
         CASE WHEN k % 9 = 0 THEN 'TRADEDBID&ISNI' WHEN k % 3 = 0 THEN 'ISNI' ELSE 'TRADEDBID' END AS source
-      FROM line WHERE o % 10 < 7 AND pos <= 5""",
+      FROM line""",
     "master": f"""SELECT DISTINCT isbn13, id AS indigo_author_id, k AS trade_db_contributor_id,
         role AS trade_db_contributor_role, pos AS trade_db_contributor_order, isni AS matched_isni,
         nm AS normailized_author_name, variant AS trade_db_author_name, source AS id_source,
         CASE WHEN o % 10 <> 5 THEN {_md5("k", "id", "nm", "isni")} END AS dmc_sync_hash_id,
-        true AS dmc_synced, CAST(42 AS BIGINT) AS transformation_id FROM earlier""",
+        true AS dmc_synced, CAST(42 AS BIGINT) AS transformation_id FROM known WHERE o % 10 < 7 AND pos <= 5""",
     "prior": """SELECT isbn13, CASE WHEN o % 10 <> 6 THEN id END AS author_id, k, role, pos,
-        coalesce(isni, 'trdb' || k) AS isni, nullif(nm, 'UNIDENTIFIED') AS canonical, variant, source FROM earlier""",
+        coalesce(isni, 'trdb' || k) AS isni, nullif(nm, 'UNIDENTIFIED') AS canonical, variant, source FROM known""",
     "holder": f"""SELECT k, {_isni("k")} AS isni, fn, ln, {_joined("fn", "ln")} AS nm FROM (
         SELECT k, {_NAME_PARTS} FROM (SELECT s_suppkey AS k FROM supplier)) WHERE k % 2 = 0""",
     "books": f"SELECT DISTINCT isbn13, {_isni('k')} AS isni FROM line WHERE k % 2 = 0 AND o % 3 = 0",
@@ -319,8 +319,8 @@ _PARTS: dict[str, str] = {
     # --- results that no other part needs
     "names": "SELECT DISTINCT author_nm FROM work WHERE upper(author_nm) NOT IN ('UNIDENTIFIED', 'UNKNOWN')",
     "f_names": "SELECT DISTINCT author_nm FROM f_work",
-    "norms": f"""SELECT isbn13, trade_db_author_name AS author_nm, {_norm("trade_db_author_name")} AS author_nm_norm
-      FROM master""",
+    "norms": f"""SELECT isbn13, author_nm, {_norm("author_nm")} AS author_nm_norm FROM (
+        SELECT isbn13, author_nm FROM credit UNION ALL SELECT isbn13, trade_db_author_name FROM master)""",
     "holder_names": f"SELECT isni, {_joined('fn', 'ln')} AS full_name FROM holder",
     "full_names": "SELECT DISTINCT * FROM holder_names",
     "f_match_input": f"""SELECT DISTINCT isni, fn AS first_name, ln AS last_name, {_guarded("fn", "ln")} AS author

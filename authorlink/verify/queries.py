@@ -66,12 +66,11 @@ def _isni_names(fixtures: Fixtures) -> DataFrame:
 
 
 def _normalised_names(fixtures: Fixtures) -> DataFrame:
-    name = F.col("trade_db_author_name")
-    return fixtures.matched_author_isbn13.select(
-        "isbn13",
-        name.alias("author_nm"),
-        normalise_name(name).alias("author_nm_norm"),
-    )
+    """The names of all credits, of the feed and of the master."""
+    credits = feed_credits(fixtures.trade_contributors)
+    known = fixtures.matched_author_isbn13.select("isbn13", F.col("trade_db_author_name").alias("author_nm"))
+    names = credits.select("isbn13", "author_nm").unionByName(known)
+    return names.withColumn("author_nm_norm", normalise_name(F.col("author_nm")))
 
 
 FULL_STEPS = {

@@ -205,7 +205,8 @@ class IncrementalSteps(_Steps):
 
     @cached_property
     def flagged(self) -> DataFrame:
-        return load.flag_unsynced(self.merged, self.old_hashes)
+        marked = load.mark_new_hashes(self.stage, self.master_3, self._workspace)
+        return conform(load.merge_upsert(self.master_3, marked, self._options, "_unseen"), S.MASTER)
 
 
 class FullRefreshSteps(_Steps):
@@ -271,4 +272,6 @@ class FullRefreshSteps(_Steps):
 
     @cached_property
     def flagged(self) -> DataFrame:
-        return load.flag_unsynced(self.merged, self.old_hashes)
+        stage = self._workspace.stage(self.resolved, "resolved")
+        marked = load.mark_new_hashes(stage, self.master, self._workspace)
+        return conform(load.merge_upsert(self.master, marked, self._options, "_unseen"), S.MASTER)

@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")

@@ -8,11 +8,8 @@ from pyspark.sql import functions as F
 from authorlink.job import SETTINGS
 from authorlink.operators import keys
 from authorlink.operators.ids import number_densely
-from authorlink.options import Options
 from tests.helpers import bag
 
-_FEW = Options(hot_rows_per_task=500)
-
 
 @pytest.fixture(scope="module")
 def skewed(spark):
@@ -30,26 +27,6 @@ def partners(spark):
     )
 
 
-def test_hot_keys_are_found(spark, skewed):
-    hot = keys.find_hot_keys(skewed, ["k"], _FEW)
-    assert hot.hashes == (spark.range(1).select(F.xxhash64(F.lit(7).cast("bigint"))).first()[0],)
-    assert len(keys.find_hot_keys(skewed, ["k", "r"], _FEW).hashes) == 1
-    assert not keys.find_hot_keys(skewed, ["v"], _FEW)
-    assert not keys.find_hot_keys(skewed.limit(0), ["k"], _FEW)
-
-
-def test_a_hot_key_of_a_small_file_is_found(spark, workspace):
-    table = workspace.stage(spark.range(20_000_000).select(F.lit(7).cast("bigint").alias("k")), "one-key")
-    assert len(keys.find_hot_keys(table, ["k"], Options()).hashes) == 1
-
-
-def test_thousands_of_hot_keys_are_all_found(spark):
-    rows = spark.range(2_400_000).select(
-        F.when(F.col("id") < 1_200_000, F.col("id") % 2000).otherwise(F.col("id")).alias("k")
-    )
-    assert len(keys.find_hot_keys(rows, ["k"], _FEW).hashes) == 2000
-
-
 @pytest.mark.parametrize("on", [["k"], ["k", "r"]])
 def test_joins_equal_plain_joins(skewed, partners, on):
     right = partners if len(on) == 2 else partners.drop("r")
@@ -87,14 +64,27 @@ def small_tasks(spark):
 def test_hot_and_missing_keys_are_split(spark, small_tasks, partners, how, key):
     k = F.when(F.col("id") % 3 == 0, F.lit(key)).otherwise(F.col("id")).cast("bigint")
     rows = spark.range(0, 60_000, 1, 12).select(k.alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
-    extra = ["f", True] if how == "lookup_flag" else []
-    joined = getattr(keys, how)(rows, partners.drop("r"), ["k"], *extra)
+    extra = {"lookup": {}, "exclude": {"split": True}, "lookup_flag": {"flag": "f", "split": True}}[how]
+    joined = getattr(keys, how)(rows, partners.drop("r"), ["k"], **extra)
     joined = joined.groupBy("v").count()  # a step behind the join doesn't hinder it
     joined.collect()
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin(skew=true)" in plan and "_salt" not in plan
 
 
+@pytest.mark.parametrize("how", ["exclude", "keep", "lookup_flag"])
+@pytest.mark.parametrize("split", [False, True])
+def test_a_hot_key_on_the_right_is_combined_before_it_moves(spark, small_tasks, skewed, how, split):
+    right = spark.range(0, 60_000, 1, 12).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"))
+    extra = ["f"] if how == "lookup_flag" else []
+    joined = getattr(keys, how)(skewed, right, ["k"], *extra, split=split)
+    met = skewed.filter("k = 7 OR k % 3 = 0").count()
+    assert joined.filter("f" if extra else "true").count() == (15000 - met if how == "exclude" else met)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    right_side = plan[plan.index("SortMergeJoin") :].split("+- Sort")[-1]
+    assert "partial" in right_side or "keys=[k" in right_side[right_side.index("Exchange") :]
+
+
 def test_key_types_must_agree(skewed, partners):
     with pytest.raises(TypeError):
         keys.lookup(skewed, partners.withColumn("k", F.col("k").cast("int")), ["k"])
@@ -154,7 +144,12 @@ def test_residual_of_own_links_equals_the_general_one(spark, rows):
     df = spark.createDataFrame(rows, "a string, b int, ref_to string")
     linked = df.filter("ref_to IS NOT NULL")
     general = keys.residual_after(df.filter("ref_to IS NULL"), linked, ["a", "b"])
-    assert bag(keys.residual_unlinked(df, ["a", "b"])) == bag(general)
+    assert bag(keys.residual_marked(df, ["a", "b"])) == bag(general)
+    marked = keys.mark_taken(df, ["a"], "t")
+    by_a = keys.residual_after(df.filter("ref_to IS NULL"), linked, ["a"])
+    assert bag(keys.residual_marked(marked, ["a"], taken="t")) == bag(by_a)
+    safe = keys.residual_after(df.filter("ref_to IS NULL"), linked, ["a"], null_safe=True)
+    assert bag(keys.residual_marked(marked, ["a"], null_safe=True, taken="t")) == bag(safe)
 
 
 def test_singletons(spark):

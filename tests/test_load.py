@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from authorlink import schemas as S
 from authorlink.functions.hashing import change_hash
-from authorlink.operators import canonical, ids, keys, load, matching
+from authorlink.operators import bitmap, canonical, ids, load, matching
 from authorlink.options import Options
 from tests.helpers import bag, master_row, table
 
@@ -170,25 +170,33 @@ _EXPECTED_MERGE = {
 _MERGE_COLUMNS = ("isbn13", "indigo_author_id", "trade_db_author_name", "dmc_sync_hash_id", "dmc_synced")
 
 
-def _all_hot(df):
-    hashes = [r[0] for r in df.select(F.xxhash64(*S.MERGE_KEY)).distinct().collect()]
-    return keys.HotKeys(tuple(hashes))
+_PLANS = {
+    "coalescing": {},
+    "uncoalesced": {"spark.sql.adaptive.coalescePartitions.enabled": "false"},
+    "fixed": {"spark.sql.adaptive.enabled": "false"},
+    "sorted": {"spark.sql.autoBroadcastJoinThreshold": "-1"},
+}
+
 
+@pytest.fixture(params=_PLANS)
+def plans(spark, request):
+    old = {name: spark.conf.get(name, None) for name in _PLANS[request.param]}
+    for name, value in _PLANS[request.param].items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in old.items():
+        spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
 
-@pytest.mark.parametrize("which", ["none", "all", "some"])
-def test_merge(spark, which):
+
+def test_merge(spark, plans):
     master, stage = _merge_tables(spark)
-    hot = {
-        "none": keys.NO_HOT_KEYS,
-        "all": _all_hot(master.unionByName(stage, allowMissingColumns=True)),
-        "some": _all_hot(master.limit(1)),
-    }[which]
-    found = load.merge_upsert(master, stage, hot=hot)
+    found = load.merge_upsert(master, stage)
     # A missing key part never meets anything, so such rows are not even compared with each other.
-    expected = dict(_EXPECTED_MERGE)
-    assert bag(found, *_MERGE_COLUMNS) == expected
+    assert bag(found, *_MERGE_COLUMNS) == _EXPECTED_MERGE
     stamped = found.filter("etl_updated_date IS NOT NULL")
     assert set(bag(stamped, "trade_db_author_name")) == {("A",)}
+    assert load.merge_upsert(master.limit(0), stage).count() == 4
+    assert load.merge_upsert(master, stage.limit(0)).count() == 4
 
 
 def test_merge_strict(spark):
@@ -208,12 +216,16 @@ def test_merge_null_safe(spark):
     assert set(bag(found, "trade_db_author_name")) == {("New",), ("More",)}
 
 
-def test_flagging(spark):
+@pytest.mark.parametrize("bits", [1 << 26, 1 << 15])
+def test_flagging(spark, workspace, plans, bits):
     master, stage = _merge_tables(spark)
-    master = master.unionByName(table(spark, S.MASTER, master_row("z", 8, 8, name="No hash")))
-    merged = load.merge_upsert(master, stage, Options(run_ts=datetime(2026, 1, 25)))
-    plain = load.flag_unsynced(merged, load.snapshot_hashes(master))
-    assert bag(plain, "trade_db_author_name", "dmc_synced") == {
+    master = master.unionByName(
+        table(spark, S.MASTER, master_row("z", 8, 8, name="No hash"), master_row(None, 9, 9, name="No book"), master_row(None, 9, 8, name="No book 2", hash_="h3"))
+    )
+    stage = workspace.stage(stage, "staged")
+    marked = load.mark_new_hashes(stage, master, workspace, bits=bits)
+    merged = load.merge_upsert(master, marked, Options(run_ts=datetime(2026, 1, 25)), "_unseen")
+    assert bag(merged, "trade_db_author_name", "dmc_synced") == {
         ("A", False): 2,
         ("Alone", True): 1,
         ("No id", True): 1,
@@ -221,8 +233,25 @@ def test_flagging(spark):
         ("No order", None): 1,
         ("No order 2", None): 1,
         ("No hash", False): 1,
+        ("No book", False): 1,
+        ("No book 2", True): 1,
     }
-    assert bag(load.flag_unsynced_by_stage(merged, stage, master)) == bag(plain)
+    # Rows known to have kept their hash are not asked for; the result is the same.
+    kept = workspace.stage(stage.withColumn("_known", F.col("dmc_sync_hash_id") == "h3"), "kept")
+    marked = load.mark_new_hashes(kept, master, workspace, "_known", bits=bits)
+    assert bag(load.merge_upsert(master, marked, unseen="_unseen"), "trade_db_author_name", "dmc_synced") == bag(
+        merged, "trade_db_author_name", "dmc_synced"
+    )
+
+
+def test_no_master_moves_by_its_hash(spark, workspace):
+    hashes = spark.range(200_000).select(F.md5(F.col("id").cast("string")).alias("dmc_sync_hash_id"))
+    stage = workspace.stage(hashes.filter("dmc_sync_hash_id < '001'"), "staged")
+    hits = bitmap.may_hold(hashes, bitmap.bitmap_of(stage, ["dmc_sync_hash_id"]), ["dmc_sync_hash_id"])
+    assert stage.count() <= hits.count() <= stage.count() + 50
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    # Only the bits move, to be put together and broadcast.
+    assert plan.count("Exchange hashpartitioning") == plan.count("hashpartitioning(_bucket") == 1
 
 
 def test_bootstrap(spark):
