@@ -1,7 +1,8 @@
 """Timings of both runs and of their heaviest operators; prints one JSON line.
 
 The derived input tables are written first, outside the timings, as a real run
-would find them. Each query runs twice; the faster time counts.
+would find them: the master in buckets, as the delivery before left it. Each query runs twice;
+the faster time counts.
 """
 
 from __future__ import annotations
@@ -10,10 +11,11 @@ import json
 import os
 import time
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from authorlink import Workspace, run_full_refresh, run_incremental
+from authorlink import MasterStore, Workspace, run_full_refresh, run_incremental
 from authorlink.job import SETTINGS
 from authorlink.verify.fixtures import Fixtures
 from authorlink.verify.steps import IncrementalSteps
@@ -50,6 +52,9 @@ def main() -> None:
     spark = _session()
     workspace = Workspace(spark)
     inputs = Fixtures(spark, SF_DIR).inputs(workspace)
+    store = MasterStore(spark, f"{workspace.path}/store")
+    store.publish(inputs.matched_author_isbn13, buckets=int(CPUS))
+    inputs = replace(inputs, matched_author_isbn13=store.master())
     steps = IncrementalSteps(inputs, workspace)
 
     def again(name: str) -> Callable[[], DataFrame]:
@@ -72,6 +77,7 @@ def main() -> None:
     for name in ("work", "by_name", "combined_known", "stage"):
         getattr(steps, name)
     times = {name: _seconds(query) for name, query in queries.items()}
+    store.close()
     workspace.drop()
     spark.stop()
     print(
