@@ -3,20 +3,33 @@
     spark-submit --py-files authorlink.zip authorlink/job.py prepare --mode incremental --folder IN --out MATCH
     spark-submit --py-files authorlink.zip authorlink/job.py incremental --folder IN --work MATCH/work --master-out V2
 
+    spark-submit --py-files authorlink.zip authorlink/job.py incremental --folder IN --store ROOT
+
 ``prepare`` writes what the matcher reads. The runs need the matcher's output among
 their inputs: the five tables, as parquet under a folder or in a catalog schema. The
-new master goes to a new path; the staging table is replaced after that.
+new master goes to a new path; the staging table is replaced after that. With a store
+(``MasterStore``) the master is read from it, and master and staging table are published together.
 """
 
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from authorlink import Inputs, Options, Workspace, prepare_matching, run_bootstrap, run_full_refresh, run_incremental
+from authorlink import (
+    Inputs,
+    MasterStore,
+    Options,
+    Workspace,
+    prepare_matching,
+    run_bootstrap,
+    run_full_refresh,
+    run_incremental,
+)
 from authorlink.sources.tables import publish_stage, write_snapshot
 
 _RUNS = {"full-refresh": run_full_refresh, "incremental": run_incremental}
@@ -46,6 +59,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--work", help="work set that prepare wrote")
     parser.add_argument("--master-out", help="new path for the next master")
     parser.add_argument("--stage-out", help="path of the staging table")
+    parser.add_argument("--store", help="root of a store of versions, in place of --master-out and --stage-out")
+    parser.add_argument("--buckets", type=int, help="buckets of the master in a new store")
     parser.add_argument("--id-floor", type=int, help="highest id taken to be in use when there is none")
     parser.add_argument("--transformation-id", type=int, default=Options.transformation_id)
     parser.add_argument("--run-ts", type=datetime.fromisoformat, help="time stamped on rows")
@@ -53,9 +68,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     for flag in ("null-safe-keys", "keep-placeholder-rows", "strict-merge", "null-safe-merge"):
         parser.add_argument(f"--{flag}", action="store_true")
     args = parser.parse_args(argv)
-    wanted = "out" if args.run == "prepare" else "master_out"
-    if not getattr(args, wanted):
-        parser.error(f"{args.run} needs --{wanted.replace('_', '-')}")
+    if args.run == "prepare" and not args.out:
+        parser.error("prepare needs --out")
+    if args.run != "prepare" and bool(args.store) == bool(args.master_out):
+        parser.error(f"{args.run} needs either --master-out or --store")
     return args
 
 
@@ -72,39 +88,53 @@ def _options(args: argparse.Namespace) -> Options:
     )
 
 
-def _run(spark: SparkSession, args: argparse.Namespace, workspace: Workspace) -> None:
+def _run(spark: SparkSession, args: argparse.Namespace, workspace: Workspace, store: MasterStore | None) -> None:
     options, matched = _options(args), args.run != "prepare"
     if args.schema:
         inputs = Inputs.from_catalog(spark, args.schema, matched)
     else:
         inputs = Inputs.from_folder(spark, args.folder, matched)
+    before = store.current() if store else None
+    if before:
+        inputs = replace(inputs, matched_author_isbn13=store.master(before))
     if not matched:
         for name, table in prepare_matching(inputs, workspace, args.mode == "incremental")._asdict().items():
             table.write.mode("errorifexists").parquet(f"{args.out}/{name}")
         return
     work = spark.read.parquet(args.work) if args.work else None
     result = _RUNS[args.run](inputs, workspace, options, work=work)
+    if store:
+        store.publish(result.master, _inserted(result.stage, options), args.buckets, before)
+        return
     write_snapshot(result.master, args.master_out)
     if args.stage_out:
         # Last, so that a failed run leaves the staging table of the one before.
-        inserted = F.lit(options.run_ts) if options.run_ts else F.current_timestamp()
-        publish_stage(result.stage.withColumn("etl_date_inserted", inserted.cast("timestamp_ntz")), args.stage_out)
+        publish_stage(_inserted(result.stage, options), args.stage_out)
+
+
+def _inserted(stage: DataFrame, options: Options) -> DataFrame:
+    inserted = F.lit(options.run_ts) if options.run_ts else F.current_timestamp()
+    return stage.withColumn("etl_date_inserted", inserted.cast("timestamp_ntz"))
 
 
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     spark = SparkSession.builder.config(map=SETTINGS).getOrCreate()
+    store = MasterStore(spark, args.store) if args.store else None
     if args.run == "bootstrap":
         if args.schema:
             prior = spark.table(f"{args.schema}.book_ref_prior")
         else:
             prior = spark.read.parquet(args.folder)
-        write_snapshot(run_bootstrap(prior, _options(args)), args.master_out)
+        master = run_bootstrap(prior, _options(args))
+        store.publish(master, buckets=args.buckets) if store else write_snapshot(master, args.master_out)
         return
     workspace = Workspace(spark)
     try:
-        _run(spark, args, workspace)
+        _run(spark, args, workspace, store)
     finally:
+        if store:
+            store.close()
         workspace.drop()
 
 

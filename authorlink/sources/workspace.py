@@ -18,16 +18,16 @@ class Workspace:
     """A folder for tables that several steps of one run read.
 
     Writing them cuts the lineage and survives the loss of executors. The folder
-    lies in the shared one the session names in ``spark.checkpoint.dir``; only a
-    session in local mode may go without that setting. Results of a run read
+    lies in ``folder``, or else in the shared one the session names in ``spark.checkpoint.dir``; only a
+    session in local mode may go without either. Results of a run read
     these tables, so keep them until the results are written, then ``drop`` them.
     """
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, folder: str | None = None):
         self._spark = spark
         self._seen: Counter[str] = Counter()
         self._tables = Buckets(spark)
-        self.path = f"{_shared_folder(spark)}/authorlink-{uuid.uuid4().hex}"
+        self.path = f"{(folder or _shared_folder(spark)).rstrip('/')}/authorlink-{uuid.uuid4().hex}"
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and return the written table."""

@@ -2,7 +2,9 @@
 
 Every line item is a credit of the feed. The master is an earlier, smaller
 delivery of the same credits with other ids, evidence and name variants, so
-that new, changed and unchanged credits all occur.
+that new, changed and unchanged credits all occur. The ``odd`` tables add what is rare: names
+with white space, names that stand for nobody, incomplete slots, placeholders in capitals and
+several names on one merge key.
 """
 
 from __future__ import annotations
@@ -19,24 +21,27 @@ from authorlink.sources.tables import Inputs, conform
 from authorlink.sources.workspace import Workspace
 
 
-def _first_name() -> Column:
+def _first_name(odd: bool) -> Column:
     k = F.col("k")
-    return (
-        F.when(k % 17 == 0, "Unknown")
-        .when(k % 19 == 0, "(Not Supplied)")
-        .when(k % 23 == 0, None)
-        .otherwise(F.concat(F.lit("F"), (k % 2).cast("string")))
-    )
+    rare = [(k % 31 == 0, F.lit("\tMary  Ann ")), (k % 41 == 0, F.lit("Anonymous")), (k % 43 == 0, F.lit(None))]
+    usual = [(k % 17 == 0, F.lit("Unknown")), (k % 19 == 0, F.lit("(Not Supplied)")), (k % 23 == 0, F.lit(None))]
+    return _first_case([*(rare if odd else []), *usual], F.concat(F.lit("F"), (k % 2).cast("string")))
 
 
-def _last_name() -> Column:
+def _last_name(odd: bool) -> Column:
     k = F.col("k")
-    return (
-        F.when(k % 17 == 0, "Author")
-        .when(k % 29 == 0, None)
-        .when(k % 7 == 0, F.concat(F.lit("F"), (k % 2).cast("string")))
-        .otherwise(F.concat(F.lit("L"), (k % F.col("m")).cast("string")))
-    )
+    same = F.concat(F.lit("F"), (k % 2).cast("string"))
+    rare = [(k % 31 == 0, F.lit("O'Neil \r\n Jr")), (k % 41 == 0, F.lit(None)), (k % 43 == 0, F.lit("unknown"))]
+    usual = [(k % 17 == 0, F.lit("Author")), (k % 29 == 0, F.lit(None)), (k % 7 == 0, same)]
+    return _first_case([*(rare if odd else []), *usual], F.concat(F.lit("L"), (k % F.col("m")).cast("string")))
+
+
+def _first_case(cases: list[tuple[Column, Column]], otherwise: Column) -> Column:
+    (condition, value), *rest = cases
+    chosen = F.when(condition, value)
+    for condition, value in rest:
+        chosen = chosen.when(condition, value)
+    return chosen.otherwise(otherwise)
 
 
 def _isni(k: Column) -> Column:
@@ -46,9 +51,10 @@ def _isni(k: Column) -> Column:
 class Fixtures:
     """The derived tables for one scale folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, odd: bool = False):
         self._spark = spark
         self._dir = sf_dir
+        self._odd = odd
 
     def _read(self, table: str) -> DataFrame:
         return self._spark.read.parquet(f"{self._dir}/{table}.parquet")
@@ -60,7 +66,7 @@ class Fixtures:
     def _named(self, rows: DataFrame) -> DataFrame:
         """Add the name parts and full name of contributor ``k``."""
         size = self._suppliers.agg(F.expr("greatest(2, count(*) * 18 div 25)").alias("m"))
-        named = rows.crossJoin(F.broadcast(size)).withColumns({"fn": _first_name(), "ln": _last_name()})
+        named = rows.crossJoin(F.broadcast(size)).withColumns({"fn": _first_name(self._odd), "ln": _last_name(self._odd)})
         return named.withColumn("nm", full_name_or_unidentified(F.col("fn"), F.col("ln"))).drop("m")
 
     @cached_property
@@ -73,6 +79,11 @@ class Fixtures:
             F.col("l_returnflag").alias("role"),
             F.col("l_linenumber").cast("bigint").alias("position"),
         )
+        if self._odd:
+            # Of contributors that nothing links: else the later buckets would be empty by the rules of NOT IN.
+            loose, part = (F.col("k") % 2 == 1) & (F.col("k") % 3 != 0), F.col("l_partkey")
+            gaps = {"isbn13": 83, "role": 89, "position": 97}
+            lines = lines.withColumns({c: F.when(~(loose & (part % n == 0)), F.col(c)) for c, n in gaps.items()})
         return self._named(lines)
 
     @cached_property
@@ -97,6 +108,11 @@ class Fixtures:
             .when(order % 10 == 2, F.concat("nm", F.lit(" Jr")))
             .otherwise(F.col("nm"))
         )
+        isni = F.when(k % 3 == 0, F.when(moved, _isni(k + 1)).otherwise(_isni(k)))
+        if self._odd:
+            variant = F.when(F.col("l_partkey") % 5 == 0, F.concat("nm", F.lit(" II"))).otherwise(variant)
+            capital = F.concat(F.lit(S.ISNI_PLACEHOLDER_PREFIX.upper()), k.cast("string"))
+            isni = F.when(k % 47 == 0, capital).otherwise(isni)
         source = (
             F.when(k % 9 == 0, S.BY_CONTRIBUTOR).when(k % 3 == 0, S.BY_NAME).otherwise(F.lit(S.FALLBACK))
         )
@@ -107,7 +123,7 @@ class Fixtures:
             "k",
             "role",
             "position",
-            F.when(k % 3 == 0, F.when(moved, _isni(k + 1)).otherwise(_isni(k))).alias("isni"),
+            isni.alias("isni"),
             "nm",
             variant.alias("variant"),
             source.alias("source"),

@@ -154,7 +154,8 @@ def _merged(master: str, stage: str) -> str:
     same = " AND ".join(f"m.{c} = s.{c}" for c in key)
     taken = ("matched_isni", "normailized_author_name", "trade_db_author_name", "id_source", "dmc_sync_hash_id")
     replaced = ", ".join(f"CASE WHEN s.isbn13 IS NULL THEN m.{c} ELSE s.{c} END AS {c}" for c in taken)
-    chosen = f"""SELECT * FROM {stage} QUALIFY row_number() OVER (
+    gap = " OR ".join(f"{c} IS NULL" for c in key)
+    chosen = f"""SELECT * FROM {stage} QUALIFY {gap} OR row_number() OVER (
         PARTITION BY {', '.join(key)} ORDER BY trade_db_author_name, matched_isni, id_source) = 1"""
     inserted = _MASTER.replace("dmc_synced", "CAST(NULL AS BOOLEAN)").replace("transformation_id", "42")
     return f"""SELECT m.* REPLACE ({replaced}) FROM {master} m LEFT JOIN ({chosen}) s ON {same}
@@ -311,7 +312,7 @@ _PARTS: dict[str, str] = {
     # --- first load
     "loaded": f"""SELECT DISTINCT isbn13, author_id AS indigo_author_id, k AS trade_db_contributor_id,
         role AS trade_db_contributor_role, pos AS trade_db_contributor_order,
-        CASE WHEN isni LIKE 'trdb%' THEN NULL ELSE isni END AS matched_isni, canonical AS normailized_author_name,
+        CASE WHEN lower(isni) LIKE 'trdb%' THEN NULL ELSE isni END AS matched_isni, canonical AS normailized_author_name,
         variant AS trade_db_author_name, source AS id_source,
         {_md5("k", "author_id", "canonical", "isni")} AS dmc_sync_hash_id,
         true AS dmc_synced, CAST(42 AS BIGINT) AS transformation_id FROM prior
@@ -328,18 +329,44 @@ _PARTS: dict[str, str] = {
     "match_input": "SELECT DISTINCT isni, fn || ' ' || ln AS author FROM holder",
     "engine_unique": "SELECT * FROM engine WHERE dup_name_flag IS NULL",
     "engine_ambiguous": "SELECT * FROM engine WHERE dup_name_flag = 'Y'",
+    "collapsed": f"SELECT {_CREDIT}, count(*) AS _copies, delta_flag FROM work GROUP BY ALL",
+    "authors": """SELECT matched_isni, min(indigo_author_id) AS _low_id, max(indigo_author_id) AS _high_id,
+        max(normailized_author_name) AS _name FROM master_2
+      WHERE matched_isni IS NOT NULL AND indigo_author_id IS NOT NULL GROUP BY matched_isni""",
+    "marked": "SELECT *, dmc_sync_hash_id NOT IN (SELECT h FROM old) AS _unseen FROM stage",
     "hashes": "SELECT DISTINCT dmc_sync_hash_id FROM master",
 }
 
+_ODD_NAME_PARTS = _NAME_PARTS.replace(
+    "CASE WHEN k % 17 = 0 THEN 'Unknown'",
+    "CASE WHEN k % 31 = 0 THEN chr(9) || 'Mary  Ann ' WHEN k % 41 = 0 THEN 'Anonymous' WHEN k % 43 = 0 THEN NULL WHEN k % 17 = 0 THEN 'Unknown'",
+).replace(
+    "CASE WHEN k % 17 = 0 THEN 'Author'",
+    "CASE WHEN k % 31 = 0 THEN 'O''Neil ' || chr(13) || chr(10) || ' Jr' WHEN k % 41 = 0 THEN NULL WHEN k % 43 = 0 THEN 'unknown' WHEN k % 17 = 0 THEN 'Author'",
+)
+_GAP = "k % 2 = 1 AND k % 3 <> 0 AND p"
+# The same tables with rare cases.
+_ODD_PARTS = {
+    name: sql.replace(_NAME_PARTS, _ODD_NAME_PARTS) for name, sql in _PARTS.items() if _NAME_PARTS in sql
+}
+_ODD_PARTS["line"] = f"""SELECT * REPLACE (CASE WHEN {_GAP} % 83 = 0 THEN NULL ELSE isbn13 END AS isbn13,
+    CASE WHEN {_GAP} % 89 = 0 THEN NULL ELSE role END AS role, CASE WHEN {_GAP} % 97 = 0 THEN NULL ELSE pos END AS pos)
+  FROM ({_ODD_PARTS["line"]})"""
+_ODD_PARTS["known"] = f"""SELECT * EXCLUDE (p) REPLACE (CASE WHEN p % 5 = 0 THEN nm || ' II' ELSE variant END AS variant,
+    CASE WHEN k % 47 = 0 THEN 'TRDB' || k ELSE isni END AS isni)
+  FROM ({_PARTS["known"].replace("SELECT o,", "SELECT o, p,")})"""
+
 _RESULTS = {
     "p01_cleanse_name_parts": "f_clean",
     "p02_full_name_guarded": "f_credit",
     "p03_full_name_feed": "credit",
     "p03_full_name_isni": "holder_names",
     "p04_normalise_name": "norms",
+    "p04_normalise_name_odd": "norms",
     "p05_detect_new_by_existence": "f_work",
     "p06_delta_classify": "delta",
     "p07_delta_filter": "work",
+    "p07_delta_work": "collapsed",
     "p08_match_input_names": "names",
     "p08_match_input_names_full": "f_names",
     "p09_isni_match_input": "match_input",
@@ -370,6 +397,7 @@ _RESULTS = {
     "p27_combine_3": "linked_3",
     "p28_apply_changed_final": "master_2",
     "p29_backfill_master_ids": "master_3",
+    "p29_known_authors": "authors",
     "p30_stage_rows_full": "f_staged",
     "p30_stage_rows_new": "fresh",
     "p31_backfill_combined_ids": "pool_known",
@@ -391,28 +419,34 @@ _RESULTS = {
     "p41_merge_upsert_full": "f_merged",
     "p42_flag_unsynced": "flagged",
     "p42_flag_unsynced_full": "f_flagged",
+    "p42_mark_new_hashes": "marked",
     "p43_bootstrap_load": "loaded",
     "p43_run_bootstrap": "loaded",
+    "p43_run_bootstrap_odd": "loaded",
     "p44_run_full_refresh_base": "f_flagged",
+    "p44_run_full_refresh_odd_base": "f_flagged",
+    "p44_run_full_refresh_odd_stage": "f_stage",
+    "p44_run_full_refresh_published": "f_flagged",
     "p44_run_full_refresh_stage": "f_stage",
     "p45_run_incremental_base": "flagged",
+    "p45_run_incremental_odd_base": "flagged",
+    "p45_run_incremental_odd_stage": "stage",
+    "p45_run_incremental_published": "flagged",
     "p45_run_incremental_stage": "stage",
 }
 
 
-def _needs(part: str) -> set[str]:
-    return {word for word in re.findall(r"\w+", _PARTS[part]) if word in _PARTS and word != part}
-
-
-def _statement(result: str) -> str:
+def _statement(result: str, parts: dict[str, str]) -> str:
     needed, waiting = {result}, [result]
     while waiting:
-        more = _needs(waiting.pop()) - needed
+        part = waiting.pop()
+        more = {word for word in re.findall(r"\w+", parts[part]) if word in parts and word != part} - needed
         needed |= more
         waiting += more
-    parts = [f"{name} AS MATERIALIZED ({sql})" for name, sql in _PARTS.items() if name in needed]
-    return f"WITH {', '.join(parts)} SELECT * FROM {result}"
+    chosen = [f"{name} AS MATERIALIZED ({sql})" for name, sql in parts.items() if name in needed]
+    return f"WITH {', '.join(chosen)} SELECT * FROM {result}"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {key: _statement(part) for key, part in _RESULTS.items()}
+    odd = _PARTS | _ODD_PARTS
+    return {key: _statement(part, odd if "_odd" in key else _PARTS) for key, part in _RESULTS.items()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from authorlink.plans.bootstrap import run_bootstrap
 from authorlink.plans.full_refresh import run_full_refresh
 from authorlink.plans.incremental import run_incremental
 from authorlink.plans.prepare import prepare_matching
+from authorlink.sources.store import MasterStore
 from authorlink.sources.workspace import Workspace
 from authorlink.verify.fixtures import Fixtures
 from authorlink.verify.steps import FullRefreshSteps, IncrementalSteps
@@ -38,19 +40,34 @@ def _step(kind: type, key: str, name: str) -> Query:
     return run
 
 
-def _source(build: Callable[[Fixtures], DataFrame]) -> Query:
-    return lambda spark, sf_dir: _untimed(build(Fixtures(spark, sf_dir)))
+def _source(build: Callable[[Fixtures], DataFrame], odd: bool = False) -> Query:
+    return lambda spark, sf_dir: _untimed(build(Fixtures(spark, sf_dir, odd)))
 
 
-def _whole(run: Callable, part: str) -> Query:
+def _whole(run: Callable, part: str, odd: bool = False) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         workspace = Workspace(spark)
-        result = run(Fixtures(spark, sf_dir).inputs(workspace), workspace)
+        result = run(Fixtures(spark, sf_dir, odd).inputs(workspace), workspace)
         return _untimed(getattr(result, part))
 
     return query
 
 
+def _published(run: Callable) -> Query:
+    """The master as the next run finds it: read from a store in buckets, and published there."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        workspace = Workspace(spark)
+        inputs = Fixtures(spark, sf_dir).inputs(workspace)
+        store = MasterStore(spark, f"{workspace.path}/store")
+        store.publish(inputs.matched_author_isbn13, buckets=8)
+        result = run(replace(inputs, matched_author_isbn13=store.master()), workspace)
+        store.publish(result.master, result.stage)
+        return _untimed(store.master())
+
+    return query
+
+
 def _prepared(incremental: bool, part: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         workspace = Workspace(spark)
@@ -95,6 +112,7 @@ FULL_STEPS = {
 INCREMENTAL_STEPS = {
     "p06_delta_classify": "classified",
     "p07_delta_filter": "work",
+    "p07_delta_work": "collapsed",
     "p10_split_unique": "unique",
     "p10_split_ambiguous": "ambiguous",
     "p11_bucket_isni": "by_name",
@@ -116,6 +134,7 @@ INCREMENTAL_STEPS = {
     "p27_combine_3": "combined_3",
     "p28_apply_changed_final": "master_2",
     "p29_backfill_master_ids": "master_3",
+    "p29_known_authors": "authors",
     "p30_stage_rows_new": "fresh",
     "p31_backfill_new_ids": "fresh_known",
     "p31_backfill_combined_ids": "combined_known",
@@ -127,6 +146,7 @@ INCREMENTAL_STEPS = {
     "p40_snapshot_hashes": "old_hashes",
     "p41_merge_upsert": "merged",
     "p42_flag_unsynced": "flagged",
+    "p42_mark_new_hashes": "marked",
 }
 
 
@@ -140,6 +160,7 @@ def queries() -> dict[str, Query]:
         "p03_full_name_feed": _source(lambda f: feed_credits(f.trade_contributors)),
         "p03_full_name_isni": _source(_isni_names),
         "p04_normalise_name": _source(_normalised_names),
+        "p04_normalise_name_odd": _source(_normalised_names, odd=True),
         "p08_match_input_names_full": _prepared(False, "names"),
         "p08_match_input_names": _prepared(True, "names"),
         "p09_isni_match_input_full": _prepared(False, "holders"),
@@ -149,6 +170,13 @@ def queries() -> dict[str, Query]:
         "p43_run_bootstrap": _source(lambda f: run_bootstrap(f.book_ref_prior)),
         "p44_run_full_refresh_base": _whole(run_full_refresh, "master"),
         "p44_run_full_refresh_stage": _whole(run_full_refresh, "stage"),
+        "p43_run_bootstrap_odd": _source(lambda f: run_bootstrap(f.book_ref_prior), odd=True),
+        "p44_run_full_refresh_odd_base": _whole(run_full_refresh, "master", odd=True),
+        "p44_run_full_refresh_odd_stage": _whole(run_full_refresh, "stage", odd=True),
+        "p45_run_incremental_odd_base": _whole(run_incremental, "master", odd=True),
+        "p45_run_incremental_odd_stage": _whole(run_incremental, "stage", odd=True),
+        "p44_run_full_refresh_published": _published(run_full_refresh),
+        "p45_run_incremental_published": _published(run_incremental),
         "p45_run_incremental_base": _whole(run_incremental, "master"),
         "p45_run_incremental_stage": _whole(run_incremental, "stage"),
     }

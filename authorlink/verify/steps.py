@@ -142,6 +142,11 @@ class IncrementalSteps(_Steps):
     def work(self) -> DataFrame:
         return self._workspace.stage(delta.delta_filter(self.classified), "work")
 
+    @cached_property
+    def collapsed(self) -> DataFrame:
+        """What the run starts with, in place of the last two."""
+        return delta.delta_work(delta.feed_credits(self.inputs.trade_contributors), self.master)
+
     @cached_property
     def master_1(self) -> DataFrame:
         return load.apply_changed(self.master, self.combined_1)
@@ -154,6 +159,10 @@ class IncrementalSteps(_Steps):
     def master_2(self) -> DataFrame:
         return load.apply_changed(self.master_1, self.combined_3)
 
+    @cached_property
+    def authors(self) -> DataFrame:
+        return ids.known_authors(self.master_2)
+
     @cached_property
     def master_3(self) -> DataFrame:
         return self._workspace.stage(ids.backfill_master_ids(self.master_2), "master_3")
@@ -203,10 +212,13 @@ class IncrementalSteps(_Steps):
     def merged(self) -> DataFrame:
         return conform(load.merge_upsert(self.master_3, self.stage, self._options), S.MASTER)
 
+    @cached_property
+    def marked(self) -> DataFrame:
+        return load.mark_new_hashes(self.stage, self.master_3, self._workspace)
+
     @cached_property
     def flagged(self) -> DataFrame:
-        marked = load.mark_new_hashes(self.stage, self.master_3, self._workspace)
-        return conform(load.merge_upsert(self.master_3, marked, self._options, "_unseen"), S.MASTER)
+        return conform(load.merge_upsert(self.master_3, self.marked, self._options, "_unseen"), S.MASTER)
 
 
 class FullRefreshSteps(_Steps):

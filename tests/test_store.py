@@ -8,7 +8,7 @@ from dataclasses import replace
 
 import pytest
 
-from authorlink import MasterStore, Options, run_full_refresh, run_incremental
+from authorlink import Inputs, MasterStore, Options, job, run_full_refresh, run_incremental
 from authorlink import schemas as S
 from authorlink.operators.load import merge_upsert
 from authorlink.sources import workspace as workspaces
@@ -76,6 +76,24 @@ def test_a_release_is_plain_data():
     assert Release(**{"number": 1, "master": "m", "buckets": 2}) == Release(1, "m", 2, None)
 
 
+def test_job_with_a_store(spark, workspace):
+    made = inputs(spark, [credit(1, "b1", "A", 1, "Ann", "Bee")], (), [], [], [{"author_nm": "Ann Bee", "matched_isni": "I1"}])
+    for name in Inputs.__dataclass_fields__:
+        getattr(made, name).write.parquet(f"{workspace.path}/in/{name}")
+    prior = {"isbn13": "b0", "indigo_contr_id": 9, "indigo_contr_nm": "Old", "matched_isni": "I9", "author_nm": "Old", "ref_to": "ISNI"}
+    table(spark, S.PRIOR_DELIVERY, {**prior, "contributor_role": "A", "contributor_order": 1}).write.parquet(f"{workspace.path}/prior")
+    root = ["--store", f"{workspace.path}/store"]
+    job.main(["bootstrap", "--folder", f"{workspace.path}/prior", "--buckets", "3", *root])
+    job.main(["incremental", "--folder", f"{workspace.path}/in", *root])
+    store = MasterStore(spark, root[1])
+    assert [(r.number, r.buckets) for r in store.releases()] == [(1, 3), (2, 3)]
+    assert bag(store.master(), "isbn13", "indigo_author_id", "matched_isni") == {("b0", 9, "I9"): 1, ("b1", 10, "I1"): 1}
+    assert "etl_date_inserted" in store.stage().columns and store.stage().count() == 2
+    store.close()
+    with pytest.raises(SystemExit):
+        job.main(["incremental", "--folder", "x", "--master-out", "y", *root])
+
+
 # --- plans
 
 
