@@ -80,7 +80,7 @@ def test_job_with_a_store(spark, workspace):
     made = inputs(spark, [credit(1, "b1", "A", 1, "Ann", "Bee")], (), [], [], [{"author_nm": "Ann Bee", "matched_isni": "I1"}])
     for name in Inputs.__dataclass_fields__:
         getattr(made, name).write.parquet(f"{workspace.path}/in/{name}")
-    prior = {"isbn13": "b0", "indigo_contr_id": 9, "indigo_contr_nm": "Old", "matched_isni": "I9", "author_nm": "Old", "ref_to": "ISNI"}
+    prior = {"isbn13": "b0", "trade_db_contributor_id": 5, "indigo_contr_id": 9, "indigo_contr_nm": "Old", "matched_isni": "I9", "author_nm": "Old", "ref_to": "ISNI"}
     table(spark, S.PRIOR_DELIVERY, {**prior, "contributor_role": "A", "contributor_order": 1}).write.parquet(f"{workspace.path}/prior")
     root = ["--store", f"{workspace.path}/store"]
     job.main(["bootstrap", "--folder", f"{workspace.path}/prior", "--buckets", "3", *root])
