@@ -433,8 +433,10 @@ def near_duplicates(docs: DataFrame, words: int = NEAR_WORDS, share: float = NEA
     dealt out to tiles, each pair of which is compared in a group of its own; pairs that are
     connected already are not compared. Texts without words are one group.
     Ids come before null ones; of equal ids the row with the lowest hash stays, and of
-    equal rows one.
+    equal rows one. Further columns, of any name, are returned as they are.
     """
+    names = docs.columns
+    docs = docs.withColumnsRenamed({c: f"_of_{i}_{c}" for i, c in enumerate(names) if c not in ("doc_id", "text")})
     columns = docs.columns
     row = F.xxhash64(*(F.col(c) for c in columns))
     numbered = docs.select("doc_id", row.alias("row"), "text")
@@ -452,7 +454,9 @@ def near_duplicates(docs: DataFrame, words: int = NEAR_WORDS, share: float = NEA
     kept = docs.withColumn("row", row).join(chosen, same)
     # Rows that are there more than once, in all columns, are rare: only those are made distinct.
     single = kept.where("_n = 1").select(*columns)
-    return single.unionByName(kept.where("_n > 1").select(*columns).distinct()) if chosen.where("_n > 1").limit(1).count() else single
+    if chosen.where("_n > 1").limit(1).count():
+        single = single.unionByName(kept.where("_n > 1").select(*columns).distinct())
+    return single.toDF(*names)
 
 
 def op6_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:

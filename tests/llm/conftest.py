@@ -8,7 +8,7 @@ DOCUMENTS = pa.schema(
     [("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64())]
 )
 #: Names that operators use for columns of their own.
-CLASHING = ("size", "target", "row", "fp", "bucket", "pii", "bytes", "start", "length", "gram", "score", "copies", "place", "guest")
+CLASHING = ("size", "target", "row", "fp", "bucket", "pii", "bytes", "start", "length", "gram", "score", "copies", "place", "guest", "source_size", "_id", "_row", "_n", "_copy", "_place", "key", "root")
 
 
 @pytest.fixture()

@@ -2,21 +2,23 @@ from __future__ import annotations
 
 import corpus_pipeline
 from authorlink.llm import common, packing
-from tests.llm.conftest import rows_of
+from tests.llm.conftest import CLASHING, rows_of
 from tests.llm.texts import documents, prose
 
 
 def test_stages_keep_columns_and_clean_documents(spark, folder):
     docs = [*documents(), *((1000 + i, prose(80, 700 + i) + f" mail me{i}@host.org", "en", "abc"[i % 3]) for i in range(40))]
-    sf = folder(docs)
+    sf = folder(docs, extra=True)
     read = spark.read.parquet(f"{sf}/documents.parquet")
     columns = read.columns
+    assert {"row", "size", "_id", "copies"} <= set(columns)
     now = {}
     for name, stage in corpus_pipeline.STAGES:
         read = common.written(stage(spark, read, sf), f"test-{name}")
         now[name] = read
         if name != "packing":
             assert read.columns == columns
+            assert {tuple(r) for r in read.select(*CLASHING).collect()} <= {("x",) * len(CLASHING)}
     clean = {1000 + i for i in range(40)}
     kept = {r.doc_id for r in now["language_id"].collect()}
     assert clean <= kept and not {4, 5, 6, 13} & kept
