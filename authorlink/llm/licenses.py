@@ -1,8 +1,9 @@
 """Licence notices, found by a trained paragraph classifier and confirmed by templates.
 
 Built from DataFrame and SQL functions and Spark's own logistic regression. Paragraphs
-are lines, and for notices that are wrapped also runs of two to ``WIDEST`` lines, none of
-them blank, in texts with a pair of words from a template. Their word 1- to 3-grams, lower-cased and with digits as 0, are the features.
+are lines, and for notices that are wrapped also runs of lines, none of
+them blank. Their word 1- to 3-grams, lower-cased and with digits as 0, are the features; in a run they
+reach over the line ends.
 
 Training. The known families' notices (``TEMPLATES``, with a few ways to open and close
 them) and, as the class ``unknown``, about ``SAMPLE`` paragraphs of the corpus, drawn by a
@@ -10,14 +11,20 @@ hash, that don't resemble a template. Elastic-net multinomial regression leaves
 n-grams with a weight. Every fifth paragraph is held back; on these one temperature
 is fitted, which calibrates the probabilities, that of ``unknown`` included.
 
-Scanning. N-grams of all paragraphs meet the weights in a broadcast join (at most one
-row for each n-gram and family of the templates and of the sample), and their sums
-per paragraph are the logits. Sums are taken in every task first; only paragraphs with a weighted
-n-gram move. A paragraph is a notice if a family's probability is at least ``LEAST`` and the
+Scanning. A paragraph is a notice if a family's probability is at least ``LEAST`` and the
 share of the n-grams of the family's most similar template that it holds is at least
-``CONFIRMED``. Of those that overlap the one of fewest lines is kept, then the most
-similar, then the first; ``paragraph`` is the number of its first line. A template
-spread over more than ``WIDEST`` lines is not found. Comment marks are no words, and
+``CONFIRMED``. So only these have to be looked at:
+
+* Texts with one of a few words of each template, chosen such that without all of them the
+  share is out of reach. All others are left after one look.
+* The n-grams of these texts that have a weight or stand in a template, found by a broadcast join (at
+  most one row for each n-gram of the templates and of the sample).
+* Runs of lines, of any length, that hold the share of a template. They are found in one pass over the
+  n-grams of a text and template: the last place of each n-gram tells, at any line, the shortest run that ends
+  there. Longer ones count where their first line adds two words of the template or more.
+
+Weights are summed for these runs alone. Of runs that overlap the one of fewest lines is kept, then the most
+similar, then the first; ``paragraph`` is the number of its first line. Comment marks are no words, and
 so don't count.
 
 Defined cases. Null and empty texts have no paragraphs that count. Repeated rows are
@@ -28,7 +35,8 @@ without ``unknown`` paragraphs to train on. Extra columns are not carried along.
 
 from __future__ import annotations
 
-import re
+import json
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
@@ -83,16 +91,16 @@ CLOSINGS = ("", ".", " (see LICENSE).", ". All rights reserved.")
 UNKNOWN = "unknown"
 SAMPLE = 4000
 LEAST, CONFIRMED = 0.5, 0.6
-#: Most lines of a wrapped notice.
-WIDEST = 6
 #: Words of templates that are usual elsewhere too.
 USUAL = frozenset("a and any are as by can code file form forms free in is it of or source subject terms the this to under use using with without work you your".split())
 
 
+_WORD = r"[\p{L}0]+(?:[.+-][\p{L}0]+)*"
+
+
 def grams(text: Column) -> Column:
     """Word 1- to 3-grams of a paragraph, each once."""
-    plain = F.regexp_replace(F.lower(text), "[0-9]+", "0")
-    words = F.regexp_extract_all(plain, F.lit(r"[\p{L}0]+(?:[.+-][\p{L}0]+)*"), F.lit(0))
+    words = _words(F.regexp_replace(F.lower(text), "[0-9]+", "0"))
     pairs = F.zip_with(words, F.slice(words, 2, 2**30), lambda a, b: F.concat_ws(" ", a, b))
     triples = F.zip_with(pairs, F.slice(words, 3, 2**30), lambda a, b: F.concat_ws(" ", a, b))
     n = F.size(words)
@@ -114,40 +122,113 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return lines.where("trim(text) <> ''")
 
 
-def wrapped(docs: DataFrame, pairs: str) -> DataFrame:
-    """``(row, doc_id, paragraph, n_lines, text)`` of the runs of lines in which the pattern ``pairs`` is found."""
-    numbered = docs.select("doc_id", common.text_or_empty().alias("_text")).where(F.rlike("_text", F.lit(pairs)) & F.contains("_text", F.lit("\n")))
-    lines = numbered.select(F.xxhash64("doc_id", "_text").alias("row"), "doc_id", F.split("_text", "\n").alias("_lines"))
-    starts = lines.select("*", F.explode(F.sequence(F.lit(0), F.size("_lines") - 1)).alias("paragraph"))
-    # Those lines alone, so that the whole text is not copied for each width.
-    starts = starts.select("row", "doc_id", "paragraph", F.slice("_lines", F.col("paragraph") + 1, F.lit(WIDEST)).alias("_lines"))
-    starts = starts.where(F.rlike(F.concat_ws(" ", "_lines"), F.lit(pairs)))
-    runs = starts.select("*", F.explode(F.sequence(F.lit(2), F.lit(WIDEST))).alias("n_lines")).where(F.col("n_lines") <= F.size("_lines"))
-    runs = runs.withColumn("_lines", F.slice("_lines", F.lit(1), F.col("n_lines")))
-    runs = runs.where(F.forall("_lines", lambda line: F.rlike(line, F.lit(r"[\p{L}0-9]"))))
-    text = runs.select("row", "doc_id", "paragraph", "n_lines", F.concat_ws(" ", "_lines").alias("text"))
-    return text.where(F.rlike("text", F.lit(pairs)))
+def _constant(value: list, kind: str) -> Column:
+    """A list as one literal."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
 
 
-def _pairs(templates: list[list[str]]) -> str:
-    """A pattern that is found wherever ``CONFIRMED`` of the n-grams of a template are.
+def _needed(template: list[str], confirmed: float) -> int:
+    """How many of a template's n-grams a paragraph must hold."""
+    return max(1, -int(-(confirmed * len(template) - 1e-9) // 1))
 
-    ``k`` pairs of words hold at most ``k - 1`` triples, so a least number of pairs
-    follows from the share. One less of the usual pairs may be left out.
-    """
+
+def _signs(templates: list[list[str]], confirmed: float) -> list[str]:
+    """Words of which every text with a notice holds one: without them too few n-grams of any template are left."""
     found: set[str] = set()
     for template in templates:
-        of_size = [[g for g in template if g.count(" ") == k] for k in range(3)]
-        need = max(1, -int(-(CONFIRMED * len(template) - len(of_size[0]) + 1) // 2))
-        usual = [g for g in of_size[1] if USUAL.issuperset(g.split())][: need - 1]
-        found.update(g for g in of_size[1] if g not in usual)
-    words = (r"[^\p{L}0-9]+".join(re.escape(w).replace("0", "[0-9]+") for w in g.split()) for g in sorted(found))
-    return rf"(?iu)(?<![\p{{L}}0-9])(?:{'|'.join(words)})(?![\p{{L}}0-9])"
+        words = {w for g in template for w in g.split() if "0" not in w}
+        left, signs = list(template), set()
+        while len(left) >= _needed(template, confirmed) and words - signs:
+            # Those of other templates first, then unusual and long ones, which few texts hold.
+            best = max(words - signs, key=lambda w: (w in found, w not in USUAL and len(w) > 1, len(w), w))
+            signs.add(best)
+            left = [g for g in left if best not in g.split()]
+        # A template of numbers alone would be found by any of its words.
+        found |= signs if len(left) < _needed(template, confirmed) else {w[: w.find("0")] for g in template for w in g.split()}
+    return sorted(found)
+
+
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(_WORD), F.lit(0))
+
+
+def _grams_by_line(docs: DataFrame, signs: list[str]) -> DataFrame:
+    """``(row, doc_id, first, last, gram)`` of the texts with a sign: all n-grams, also over line ends.
+
+    A line without words is a gram of its own, empty, and no other reaches over it.
+    """
+    lowered = F.lower(common.text_or_empty())
+    texts = docs.select(F.xxhash64("doc_id", common.text_or_empty()).alias("row"), "doc_id", lowered.alias("_text"))
+    lines = F.split(F.regexp_replace("_text", "[0-9]+", "0"), "\n")
+    has_sign = reduce(Column.__or__, [F.contains("_text", F.lit(sign)) for sign in signs])
+    texts = texts.where(has_sign).select("row", "doc_id", F.transform(lines, _words).alias("_lines"))
+
+    def placed(words: Column, line: Column) -> Column:
+        blank = F.array(F.struct(F.lit("").alias("w"), line.alias("l")))
+        return F.when(F.size(words) == 0, blank).otherwise(F.transform(words, lambda w: F.struct(w.alias("w"), line.alias("l"))))
+
+    texts = texts.select("row", "doc_id", F.flatten(F.transform("_lines", placed)).alias("_all"))
+    following = [F.slice("_all", k, 2**31 - 1 - k) for k in (2, 3)]
+    texts = texts.select("row", "doc_id", F.arrays_zip(F.col("_all").alias("a"), following[0].alias("b"), following[1].alias("c")).alias("_all"))
+    rows = texts.select("row", "doc_id", F.explode("_all").alias("_at"))
+    a, b, c = ((F.col(f"_at.{k}.w"), F.col(f"_at.{k}.l")) for k in "abc")
+    two, three = (a[0] != "") & (b[0] != ""), (a[0] != "") & (b[0] != "") & (c[0] != "")
+    nothing = F.lit(None).cast("struct<gram:string,first:int,last:int>")
+
+    def gram(there: Column, *parts: tuple[Column, Column]) -> Column:
+        made = F.struct(F.concat_ws(" ", *(w for w, _ in parts)).alias("gram"), a[1].alias("first"), parts[-1][1].alias("last"))
+        return F.when(there, made).otherwise(nothing)
+
+    each = F.array(gram(F.lit(True), a), gram(two, a, b), gram(three, a, b, c))
+    return rows.select("row", "doc_id", F.inline(F.filter(each, lambda g: g.isNotNull()))).select("row", "doc_id", "first", "last", "gram")
+
+
+def _lines_alone(hits: DataFrame, members: DataFrame, needs: Column) -> DataFrame:
+    """``(row, doc_id, first, last)`` of single lines that hold the share of a template."""
+    held = hits.where("first = last").join(F.broadcast(members), "id").groupBy("row", "doc_id", "first", "template")
+    return held.agg(F.size(F.collect_set("place")).alias("n")).where(F.col("n") >= F.get(needs, F.col("template"))).select(
+        "row", "doc_id", "first", F.col("first").alias("last")
+    )
+
+
+def _runs(hits: DataFrame, members: DataFrame, needs: Column, several: Column) -> DataFrame:
+    """``(row, doc_id, first, last)`` of runs of several lines that hold the share of a template.
+
+    ``several`` tells which n-grams of each template have more than one word.
+    """
+    told = hits.join(F.broadcast(members), "id")
+    likely = told.groupBy("row", "doc_id", "template").agg(F.size(F.collect_set("place")).alias("n"))
+    likely = likely.where(F.col("n") >= F.get(needs, F.col("template"))).drop("n")
+    breaks = hits.where("id < 0").select("row", "doc_id", "first", "last")
+    breaks = breaks.join(likely, ["row", "doc_id"]).withColumn("place", F.lit(-1))
+    columns = ["row", "doc_id", "template", "last", "first", "place"]
+    placed = told.join(likely, ["row", "doc_id", "template"], "left_semi").select(*columns).unionByName(breaks.select(*columns))
+    listed = placed.groupBy("row", "doc_id", "template").agg(F.array_sort(F.collect_list(F.struct("last", "first", "place"))).alias("all"))
+    need, long = F.get(needs, F.col("template")), F.get(several, F.col("template"))
+    none = F.array_repeat(F.lit(-1), F.size(long))
+    listed = listed.select("row", "doc_id", "all", need.alias("need"), long.alias("long"), none.alias("none"))
+
+    def step(state: Column, hit: Column) -> Column:
+        place = hit["place"]
+        at = F.when(place < 0, F.col("none")).otherwise(
+            F.transform(state["at"], lambda x, i: F.when(i == place, F.greatest(x, hit["first"])).otherwise(x))
+        )
+        start, before = F.get(F.sort_array(at, False), F.col("need") - 1), F.get(state["at"], place)
+        # A run is new where its last line brings in an n-gram that it didn't hold, and so does its first.
+        useful = F.transform(at, lambda x, i: F.when((x == start) | ((x < start) & F.get(F.col("long"), i)), x))
+        firsts = F.array_distinct(F.filter(useful, lambda x: (x >= 0) & (x < hit["last"]) & (x > before)))
+        runs = F.transform(firsts, lambda x: F.struct(x.alias("first"), hit["last"].alias("last")))
+        out = F.when((place >= 0) & (start >= 0) & (F.size(runs) > 0), F.concat(state["out"], runs)).otherwise(state["out"])
+        return F.struct(at.alias("at"), out.alias("out"))
+
+    begin = F.struct(F.col("none").alias("at"), F.array().cast("array<struct<first:int,last:int>>").alias("out"))
+    found = listed.select("row", "doc_id", F.inline(F.aggregate("all", begin, step, lambda state: state["out"])))
+    return found.select("row", "doc_id", "first", "last").distinct()
 
 
 def _apart(found: DataFrame) -> DataFrame:
     """Notices that don't overlap: of fewest lines first, then the most similar, then the first."""
-    order = F.struct("n_lines", (-F.col("similarity")).alias("far"), "paragraph", "family", "score", "similarity", "copies")
+    order = F.struct("n_lines", (-F.col("similarity")).alias("far"), "paragraph", "family", "score", "similarity")
     listed = found.groupBy("row", "doc_id").agg(F.array_sort(F.collect_list(order)).alias("all"))
     kind = listed.schema["all"].dataType.simpleString()
 
@@ -157,7 +238,7 @@ def _apart(found: DataFrame) -> DataFrame:
         return F.when((one["n_lines"] > 1) & met, kept).otherwise(F.concat(kept, F.array(one)))
 
     kept = F.aggregate("all", F.array().cast(kind), step)
-    return listed.select("doc_id", F.explode(kept).alias("_one")).select("doc_id", "_one.*")
+    return listed.select("row", "doc_id", F.explode(kept).alias("_one")).select("row", "doc_id", "_one.*")
 
 
 def _templates(spark: SparkSession) -> DataFrame:
@@ -178,7 +259,7 @@ def _training(docs: DataFrame, sample: int) -> DataFrame:
     lines = paragraphs(few).select("text").distinct()
     drawn = lines.orderBy(F.xxhash64("text"), "text").limit(sample).select(grams(F.col("text")).alias("grams"))
     of_templates = [g for family in _template_grams(spark).values() for g in family]
-    lists = F.array(*(F.array(*map(F.lit, g)) for g in of_templates))
+    lists = _constant(of_templates, "array<array<string>>")
     alike = F.exists(lists, lambda g: F.size(F.array_intersect(F.col("grams"), g)) * 2 >= F.size(g))
     others = drawn.where(~alike).select(F.lit(UNKNOWN).alias("label"), "grams")
     return known.unionByName(others).withColumn("drawn", F.pmod(F.xxhash64("grams"), F.lit(5)))
@@ -234,44 +315,58 @@ def notices(docs: DataFrame, sample: int = SAMPLE, least: float = LEAST, confirm
     by_gram: dict[str, list[float]] = {}
     for gram, k, weight in weights:
         by_gram.setdefault(gram, [0.0] * len(labels))[k] = weight
-    for templates in _template_grams(spark).values():
+    all_grams = _template_grams(spark)
+    for templates in all_grams.values():
         for gram in (g for template in templates for g in template if " " in g):
             by_gram.setdefault(gram, [0.0] * len(labels))  # needed to compare with templates
-    table = F.array(*(F.struct(F.lit(g).alias("gram"), F.array(*map(F.lit, w)).alias("w")) for g, w in by_gram.items()))
-    known = spark.range(1).select(F.inline(table)) if by_gram else spark.range(0).selectExpr("'' AS gram", "array(0D) AS w")
-    of_templates = [[g for g in t if g in by_gram] for family in _template_grams(spark).values() for t in family]
-    runs = paragraphs(docs).withColumn("n_lines", F.lit(1)).unionByName(wrapped(docs, _pairs(of_templates)))
-    lines = runs.withColumn("gram", F.explode(grams(F.col("text")))).select("row", "doc_id", "paragraph", "n_lines", "gram")
-    hits = lines.join(F.broadcast(known), "gram")
+    of_templates = {f: [[g for g in t if g in by_gram] for t in texts] for f, texts in all_grams.items()}
+    flat = [t for texts in of_templates.values() for t in texts]
+    number = {gram: i for i, gram in enumerate(by_gram)}
+    rows = [{"gram": g, "id": i, "w": by_gram[g]} for g, i in number.items()]
+    # As tables, so that plans don't carry the lists along.
+    known = spark.range(1).select(F.inline(_constant(rows, "array<struct<gram:string,id:int,w:array<double>>>")))
+    known = common.written(known, "licence-weights")
+    # A line without words is told by an id of its own.
+    told = known.select("gram", "id").unionByName(spark.range(1).select(F.lit("").alias("gram"), F.lit(-1).alias("id")))
+    hits = _grams_by_line(docs, _signs(flat, confirmed)).join(F.broadcast(told), "gram").select("row", "doc_id", "first", "last", "id")
+    hits = common.written(hits, "licence-grams")
+
+    places = [{"id": number[g], "template": t, "place": k} for t, of in enumerate(flat) for k, g in enumerate(of)]
+    members = spark.range(1).select(F.inline(_constant(places, "array<struct<id:int,template:int,place:int>>")))
+    members = common.written(members, "licence-templates")
+    needs = _constant([_needed(t, confirmed) for t in flat], "array<int>")
+    several = _constant([[" " in g for g in t] for t in flat], "array<array<boolean>>")
+    runs = _lines_alone(hits, members, needs).unionByName(_runs(hits, members, needs, several))
+    runs = common.written(runs.distinct().withColumnsRenamed({"first": "paragraph", "last": "end"}), "licence-runs")
+
+    inside = runs.join(hits.where("id >= 0"), ["row", "doc_id"]).where("first >= paragraph AND last <= end")
+    run = ["row", "doc_id", "paragraph", "end"]
+    held = inside.select(*run, "id").distinct().join(F.broadcast(known.select("id", "w")), "id")
     sums = [F.sum(F.get("w", F.lit(k))).alias(f"_{k}") for k in range(len(labels))]
-    counted = [*sums, F.collect_set("gram").alias("held"), F.count(F.lit(1)).alias("_hits")]
-    of_paragraph = hits.groupBy("row", "doc_id", "paragraph", "n_lines").agg(*counted)
-    # A paragraph has each n-gram once, so equal rows have added theirs so many times.
-    of_paragraph = of_paragraph.withColumn("copies", (F.col("_hits") / F.size("held")).cast("int"))
-    logit = F.array(*((F.col(f"_{k}") / F.col("copies") + F.lit(bias[k])) / F.lit(temperature) for k in range(len(labels))))
-    scored = of_paragraph.withColumn("logit", logit).withColumn("top", F.array_max("logit"))
+    of_run = held.groupBy(*run).agg(*sums, F.collect_set("id").alias("held"))
+    logit = F.array(*((F.col(f"_{k}") + F.lit(bias[k])) / F.lit(temperature) for k in range(len(labels))))
+    scored = of_run.withColumn("logit", logit).withColumn("top", F.array_max("logit"))
     norm = F.aggregate("logit", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("top")))
     best = F.array_position("logit", F.col("top")).cast("int") - 1
-    told = scored.select(
-        "row", "doc_id", "paragraph", "n_lines", "held", "copies", F.get(F.array(*map(F.lit, labels)), best).alias("family"), (F.lit(1.0) / norm).alias("score")
-    )
+    family = F.get(F.array(*map(F.lit, labels)), best).alias("family")
+    n_lines = (F.col("end") - F.col("paragraph") + 1).alias("n_lines")
+    told = scored.select("row", "doc_id", "paragraph", n_lines, "held", family, (F.lit(1.0) / norm).alias("score"))
     told = told.where((F.col("family") != UNKNOWN) & (F.col("score") >= least))
-    shares = F.lit(0.0)
-    for family, texts in _template_grams(spark).items():
-        alike = F.greatest(F.lit(0.0), *(_share(F.col("held"), g, by_gram) for g in texts))
-        shares = F.when(F.col("family") == family, alike).otherwise(shares)
-    checked = told.withColumn("similarity", shares).where(F.col("similarity") >= confirmed)
-    each = _apart(checked).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    # The share of each template of the family, of the n-grams that were counted; the greatest counts.
+    families = _constant([f for f, texts in of_templates.items() for _ in texts], "array<string>")
+    lengths = _constant([len(t) for t in flat], "array<int>")
+    listed = told.select("row", "doc_id", "paragraph", "n_lines", "family", "score", F.explode("held").alias("id"))
+    of_template = listed.join(F.broadcast(members), "id").where(F.get(families, F.col("template")) == F.col("family"))
+    of_template = of_template.groupBy("row", "doc_id", "paragraph", "n_lines", "family", "score", "template").agg(F.count(F.lit(1)).alias("n"))
+    alike = F.max(F.col("n") / F.get(lengths, F.col("template")).cast("double")).alias("similarity")
+    similar = of_template.groupBy("row", "doc_id", "paragraph", "n_lines", "family", "score").agg(alike)
+    found = common.written(_apart(similar.where(F.col("similarity") >= confirmed)), "licence-notices")
+    # Equal rows have equal n-grams, which were counted once.
+    rows = docs.select(F.xxhash64("doc_id", common.text_or_empty()).alias("row"))
+    copies = rows.join(found.select("row").distinct(), "row", "left_semi").groupBy("row").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    each = found.join(copies, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return each.select("doc_id", "paragraph", "family", "score", "similarity")
 
 
-def _share(held: Column, template: list[str], weighted: dict) -> Column:
-    """The share of a template's n-grams that a paragraph holds, of those that were counted in it."""
-    counted = [g for g in template if g in weighted]
-    if not counted:
-        return F.lit(0.0)
-    return F.size(F.array_intersect(held, F.array(*map(F.lit, counted)))) / F.lit(float(len(counted)))
-
-
 def op7_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return notices(common.read(spark, sf_dir, "documents").select("doc_id", "text"))

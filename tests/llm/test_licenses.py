@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import random
+
+import regex as re
+
 from authorlink.llm import licenses
 from tests.llm.conftest import rows_of
 from tests.llm.texts import documents, prose
@@ -58,6 +62,75 @@ def test_wrapped_headers_are_found_once(spark, folder):
     assert all(similarity >= 0.6 and score >= 0.5 for *_, score, similarity in out)
 
 
+_LONG = "Redistribution and use in source and binary forms, with or without modification, are permitted"
+
+
+def test_notices_of_any_number_of_lines(spark, folder):
+    docs = [*documents(), *((1000 + i, prose(60, 500 + i)) for i in range(150))]
+    words = _LONG.split()
+    docs.append((6000, "first\n\n" + "\n".join(words) + "\n\nlast"))  # a word a line
+    docs.append((6001, "first\n\n" + "\n\n".join(words)))  # blank lines part them
+    docs.append((6002, "\n".join(f"{_LONG}\nof the river" for _ in range(40))))
+    out = rows_of(licenses.op7_license_notices(spark, folder(docs)))
+    assert [r[2] for r in out if r[0] == 6000] == ["BSD"]
+    assert not [r for r in out if r[0] == 6001]
+    assert sorted(r[1] for r in out if r[0] == 6002) == list(range(0, 80, 2))
+
+
+def _held(lines, template):
+    words = [re.findall(licenses._WORD, re.sub("[0-9]+", "0", line.lower())) for line in lines]
+    if any(not w for w in words):
+        return 0
+    flat = [w for line in words for w in line]
+    found = {" ".join(flat[i : i + k]) for k in (1, 2, 3) for i in range(len(flat) - k + 1)}
+    return len(found & set(template))
+
+
+def test_shortest_runs_against_brute_force(spark):
+    """Every run of lines that holds the share of a template, and no shorter one with the same last line, is a candidate."""
+    r = random.Random(6)
+    templates = [["a", "b", "c", "a b", "b c", "a b c"], ["c", "d", "c d", "d e", "c d e", "e"]]
+    texts = ["\n".join(" ".join(r.choice("abcdex") for _ in range(r.randrange(4))) for _ in range(r.randrange(1, 14))) for _ in range(120)]
+    number = {g: i for i, g in enumerate(sorted({g for t in templates for g in t}))}
+    needs = [licenses._needed(t, 0.6) for t in templates]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    told = spark.createDataFrame([*number.items(), ("", -1)], "gram string, id int")
+    hits = licenses._grams_by_line(docs, [""]).join(told, "gram").drop("gram")
+    members = spark.createDataFrame([(number[g], t, k) for t, of in enumerate(templates) for k, g in enumerate(of)], "id int, template int, place int")
+    several = [[" " in g for g in t] for t in templates]
+    constants = [licenses._constant(needs, "array<int>"), licenses._constant(several, "array<array<boolean>>")]
+    found = {(d, f, e) for _, d, f, e in rows_of(licenses._runs(hits, members, *constants))}
+    found |= {(d, f, e) for _, d, f, e in rows_of(licenses._lines_alone(hits, members, constants[0]))}
+    shortest, holding = set(), set()
+    for d, text in enumerate(texts):
+        lines = text.split("\n")
+        for end in range(len(lines)):
+            for first in range(end, -1, -1):
+                for t, template in enumerate(templates):
+                    if _held(lines[first : end + 1], template) >= needs[t]:
+                        holding.add((d, first, end))
+                        # The last line belongs to it, and so does the first.
+                        if (first == end or _held(lines[first:end], template) < needs[t]) and (
+                            first == end or _held(lines[first + 1 : end + 1], template) < needs[t]
+                        ):
+                            shortest.add((t, d, first, end))
+    least = {x[1:] for x in shortest if not any(x[:2] == y[:2] and x[3] == y[3] and x[2] < y[2] for y in shortest)}
+    assert least <= found <= holding and len(least) > 50
+
+
+def test_signs_are_in_every_text_that_can_hold_a_notice(spark):
+    of_family = licenses._template_grams(spark)
+    templates = [t for texts in of_family.values() for t in texts]
+    signs = licenses._signs(templates, licenses.CONFIRMED)
+    r = random.Random(2)
+    for template in templates:
+        words = [g for g in template if " " not in g]
+        for _ in range(200):
+            some = " ".join(w for w in words if r.random() < 0.8)
+            if _held([some], template) >= licenses._needed(template, licenses.CONFIRMED):
+                assert any(sign in some for sign in signs)
+
+
 def test_ngrams(spark):
     df = spark.createDataFrame([("A B-C 12 a",), ("one",), ("",)], "t string")
     assert [r[0] for r in df.select(licenses.grams(df.t)).collect()] == [
