@@ -10,8 +10,8 @@ a tree for everything, sent to every query, would grow with the data and still b
 searched nearly whole. Instead fingerprints are cut into blocks of 16 bits and the
 shards are those that agree in one block; a fingerprint goes, by a shuffle, to the
 tree of each of its blocks. With more blocks than ``radius`` no link is missed
-(``radius`` differing bits leave one block untouched). ``near_duplicates`` doesn't
-use fingerprints: it compares sets of shingles.
+(``radius`` differing bits leave one block untouched). ``near_duplicates`` links the
+fingerprints of its sets of shingles in the same trees, and compares the sets of what is linked.
 
 A shard above ``TILE`` fingerprints is dealt out to tiles; each pair of tiles is a
 tree of one and the queries of the other, in its own group. Equal fingerprints are
@@ -29,7 +29,7 @@ texts are hashed in parts. Extra columns are not carried along by ``linked``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -93,8 +93,13 @@ def _lanes(hashes: np.ndarray, lanes: int) -> np.ndarray:
 
 def fingerprint(text: str | None, words: int, lanes: int = 1) -> bytes:
     """``8 * lanes`` bytes, the highest bit of a lane first."""
+    return _majority(_hashes(text, words), lanes)
+
+
+def _majority(parts: Iterable[np.ndarray], lanes: int = 1) -> bytes:
+    """The bits set in over half of the hashes of all parts."""
     set_in, n = np.zeros(64 * lanes, np.int64), 0
-    for hashes in _hashes(text, words):
+    for hashes in parts:
         for at in range(0, len(hashes), 8192):
             some = _lanes(hashes[at : at + 8192], lanes).astype(">u8")
             bits = np.unpackbits(some.view(np.uint8).reshape(len(some), -1), axis=1)
@@ -283,6 +288,8 @@ def linked(docs: DataFrame, words: int, radius: int, lanes: int = 1, tile: int =
 
 #: Near-duplicates: words of a shingle, and the least similarity of a link.
 NEAR_WORDS, NEAR_SHARE = 5, 0.8
+#: Differing bits of fingerprints whose sets are compared.
+NEAR_RADIUS = 3
 #: Bands of a text and least hashes in each; the texts and the characters that are compared in one group at most.
 BANDS, IN_BAND, NEAR_TILE, NEAR_CHARS = 30, 5, 2048, 16_000_000
 _MIX = np.random.default_rng(SEED).integers(0, 2**64, (2, BANDS * IN_BAND), np.uint64) | np.array([[1], [0]], np.uint64)
@@ -314,24 +321,29 @@ def bands(hashes: np.ndarray) -> list[int]:
 
 
 def _shingled(docs: DataFrame, words: int) -> DataFrame:
-    """``(doc_id, row, key, chars, bands)`` of ``(doc_id, row, text)``; equal sets of shingles have the same key."""
+    """``(doc_id, row, key, fp, chars, bands)`` of ``(doc_id, row, text)``; equal sets of shingles have the same key.
+
+    The fingerprint is that of the set: a shingle counts once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, chars, of_text = [], [], []
+            keys, prints, chars, of_text = [], [], [], []
             for text in batch.column("text"):
                 text = text.as_py()
                 hashes = shingle_set(text, words)
                 keys.append(xxhash.xxh3_128_digest(hashes.tobytes()))
+                prints.append(_majority([hashes]))
                 chars.append(len(text or ""))
                 of_text.append(bands(hashes))
-            columns = [pa.array(keys, pa.binary()), pa.array(chars, pa.int64()), pa.array(of_text, pa.list_(pa.int64()))]
+            columns = [pa.array(keys, pa.binary()), pa.array(prints, pa.binary())]
+            columns += [pa.array(chars, pa.int64()), pa.array(of_text, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row"), *columns], ["doc_id", "row", "key", "chars", "bands"]
+                [batch.column("doc_id"), batch.column("row"), *columns], ["doc_id", "row", "key", "fp", "chars", "bands"]
             )
 
     columns = docs.select(F.col("doc_id").cast("long"), "row", "text")
-    return columns.mapInArrow(run, "doc_id long, row long, key binary, chars long, bands array<long>")
+    return columns.mapInArrow(run, "doc_id long, row long, key binary, fp binary, chars long, bands array<long>")
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,30 +359,39 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
 
-def _similar(sets: list[np.ndarray], of_text: list[list[int]], tile: np.ndarray, across: bool, share: float) -> list[tuple[int, int]]:
-    """Links, as places, that connect all sets connected by pairs with a band in common and a Jaccard similarity of ``share``."""
+def _similar(
+    sets: list[np.ndarray], of_text: list[list[int]], prints: np.ndarray, tile: np.ndarray, across: bool, share: float
+) -> list[tuple[int, int]]:
+    """Links, as places, that connect all sets connected by pairs with a Jaccard similarity of ``share``.
+
+    Of the pairs with a band in common or with fingerprints within ``NEAR_RADIUS``.
+    """
     n, found = len(sets), []
     size = np.array([len(s) for s in sets])
     label, tried = np.arange(n), np.zeros((n, n), bool)
     place = np.repeat(np.arange(n), [len(b) for b in of_text])
     band = np.array([x for b in of_text for x in b], np.int64)
     order = np.argsort(band, kind="stable")
-    for members in np.split(place[order], np.flatnonzero(np.diff(band[order])) + 1):
-        for at in range(1, len(members)):
+
+    def met() -> Iterator[tuple[int, np.ndarray]]:
+        for members in np.split(place[order], np.flatnonzero(np.diff(band[order])) + 1):
             # What is connected needs no comparison.
-            if at == 1 and (label[members] == label[members[0]]).all():
-                break
-            x, near = members[at], members[:at]
-            near = near[(label[near] != label[x]) & ~tried[x, near]]
-            near = near[np.minimum(size[near], size[x]) >= share * np.maximum(size[near], size[x]) - 1e-6]
-            for y in (near[tile[near] != tile[x]] if across else near).tolist():
-                if label[y] == label[x]:
-                    continue
-                tried[x, y] = True
-                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-                if both / (size[x] + size[y] - both) >= share:
-                    found.append((y, int(x)))
-                    label[label == label[x]] = label[y]
+            if len(members) and (label[members] != label[members[0]]).any():
+                yield from ((members[at], members[:at]) for at in range(1, len(members)))
+        for x in range(1, n):
+            yield x, np.flatnonzero(np.bitwise_count(prints[:x] ^ prints[x]) <= NEAR_RADIUS)
+
+    for x, near in met():
+        near = near[(label[near] != label[x]) & ~tried[x, near]]
+        near = near[np.minimum(size[near], size[x]) >= share * np.maximum(size[near], size[x]) - 1e-6]
+        for y in (near[tile[near] != tile[x]] if across else near).tolist():
+            if label[y] == label[x]:
+                continue
+            tried[x, y] = True
+            both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+            if both / (size[x] + size[y] - both) >= share:
+                found.append((y, int(x)))
+                label[label == label[x]] = label[y]
     return found
 
 
@@ -378,42 +399,53 @@ def _verifier(words: int, share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, rows = None, []
         for batch in batches:
-            columns = [batch.column(c) for c in ("root", "low", "high", "tile", "key", "bands", "text")]
+            columns = [batch.column(c) for c in ("root", "low", "high", "tile", "key", "fp", "bands", "text")]
             for i in range(batch.num_rows):
-                *group, tile, key, of_text, text = (c[i].as_py() for c in columns)
+                *group, tile, key, fp, of_text, text = (c[i].as_py() for c in columns)
                 if group != of:
                     yield from linked(of, rows)
                     of, rows = group, []
-                rows.append((tile, key, of_text, shingle_set(text, words)))
+                rows.append((tile, key, fp, of_text, shingle_set(text, words)))
         yield from linked(of, rows)
 
     def linked(of: list | None, rows: list) -> Iterator[pa.RecordBatch]:
         if len(rows) > 1:
-            tile, key, of_text, sets = zip(*rows)
-            found = _similar(list(sets), list(of_text), np.array(tile), of[1] != of[2], share)
+            tile, key, fp, of_text, sets = zip(*rows)
+            prints = np.frombuffer(b"".join(fp), np.uint64)
+            found = _similar(list(sets), list(of_text), prints, np.array(tile), of[1] != of[2], share)
             columns = [pa.array([key[pair[k]] for pair in found], pa.binary()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
     return run
 
 
+def _near_prints(distinct: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` of keys that connect all whose fingerprints the BK-trees link, equal ones included."""
+    firsts = common.written(distinct.groupBy("fp").agg(F.min("key").alias("first_key")), "near-prints")
+    one, other = (firsts.withColumnsRenamed({"fp": c, "first_key": f"{c}_key"}) for c in "ab")
+    across = links(firsts.select("fp"), NEAR_RADIUS).join(one, "a").join(other, "b")
+    equal = distinct.select("fp", "key").join(firsts, "fp").where("key <> first_key")
+    across = across.select(F.col("a_key").alias("a"), F.col("b_key").alias("b"))
+    return across.unionByName(equal.select(F.col("first_key").alias("a"), F.col("key").alias("b")))
+
+
 def _similar_keys(docs: DataFrame, distinct: DataFrame, words: int, share: float, tile: int) -> DataFrame:
     """Links ``(a, b)`` of keys, all of them confirmed, that reach all that can be reached."""
     banded = distinct.select("key", F.explode("bands").alias("band"))
     chained = banded.repartition("band").sortWithinPartitions("band", "key").mapInArrow(_neighbours, "a binary, b binary")
-    near = components(chained.distinct(), "a", "b")
+    near = components(chained.unionByName(_near_prints(distinct)).distinct(), "a", "b")
     near = common.written(distinct.join(near, F.col("key") == F.col("node")).drop("node"), "candidates")
     parts = F.greatest(F.ceil(F.count(F.lit(1)) / tile), F.ceil(F.sum("chars") / NEAR_CHARS)).cast("int")
     tiled = near.join(near.groupBy("root").agg(parts.alias("tiles")), "root")
     tiled = tiled.withColumn("tile", F.pmod(F.xxhash64("key"), "tiles").cast("int"))
-    tiled = tiled.select("root", "tiles", "tile", "key", "bands", F.col("first.doc_id").alias("_id"), F.col("first.row").alias("_row"))
+    tiled = tiled.select("root", "tiles", "tile", "key", "fp", "bands", F.col("first.doc_id").alias("_id"), F.col("first.row").alias("_row"))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row"))
     # A row may be there more than once.
     with_text = docs.select("doc_id", "row", "text").join(tiled, same).groupBy("key").agg(
-        *(F.first(c).alias(c) for c in ("root", "tiles", "tile", "bands", "text"))
+        *(F.first(c).alias(c) for c in ("root", "tiles", "tile", "fp", "bands", "text"))
     )
     paired = with_text.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
-        "root", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "key", "bands", "text"
+        "root", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "key", "fp", "bands", "text"
     )
     group = ["root", "low", "high"]
     return paired.repartition(*group).sortWithinPartitions(*group, "key").mapInArrow(_verifier(words, share), "a binary, b binary")
@@ -424,12 +456,12 @@ def near_duplicates(docs: DataFrame, words: int = NEAR_WORDS, share: float = NEA
 
     Groups are the components of links between texts whose sets of shingles have a
     Jaccard similarity of ``share`` or more; each link is confirmed by the sets
-    themselves. Pairs are compared if they agree in one of ``BANDS`` bands of ``IN_BAND``
-    least hashes, which misses an isolated pair of similarity 0.8 with a probability of
-    ``(1 - 0.8**5)**30``, 7 in a million, and one of 0.85 with 5 in 10^8. SimHash bits don't decide
-    here: those of pairs at 0.8 spread too far around their mean.
+    themselves. Pairs are compared if their fingerprints, linked through the BK-trees, differ in at most
+    ``NEAR_RADIUS`` bits, or if they agree in one of ``BANDS`` bands of ``IN_BAND`` least hashes, which misses an isolated pair of similarity 0.8 with a probability of
+    ``(1 - 0.8**5)**30``, 7 in a million, and one of 0.85 with 5 in 10^8. The bands are there because
+    bits of pairs at 0.8 spread too far around their mean for any radius to find them.
 
-    Texts that share bands form candidate groups, and only their texts move. Large groups are
+    Texts so connected form candidate groups, and only their texts move. Large groups are
     dealt out to tiles, each pair of which is compared in a group of its own; pairs that are
     connected already are not compared. Texts without words are one group.
     Ids come before null ones; of equal ids the row with the lowest hash stays, and of
@@ -442,7 +474,7 @@ def near_duplicates(docs: DataFrame, words: int = NEAR_WORDS, share: float = NEA
     numbered = docs.select("doc_id", row.alias("row"), "text")
     printed = common.written(_shingled(numbered, words), "shingled")
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    distinct = printed.groupBy("key").agg(F.min(key).alias("first"), F.first("chars").alias("chars"), F.first("bands").alias("bands"))
+    distinct = printed.groupBy("key").agg(F.min(key).alias("first"), *(F.first(c).alias(c) for c in ("fp", "chars", "bands")))
     distinct = common.written(distinct, "distinct-sets")
     found = components(_similar_keys(numbered, distinct, words, share, tile), "a", "b")
     member = distinct.join(found, distinct["key"] == found["node"], "left").select("first", F.coalesce("root", "key").alias("root"))

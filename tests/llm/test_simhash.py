@@ -160,3 +160,23 @@ def test_empty_table(spark, folder):
     sf = folder([])
     assert simhash.op6_simhash_components(spark, sf).count() == 0
     assert simhash.near_duplicates(spark.read.parquet(f"{sf}/documents.parquet")).count() == 0
+
+
+def test_fingerprints_near_each_other_are_compared_without_a_common_band(spark):
+    rng = np.random.default_rng(5)
+    base, other = (np.unique(rng.integers(0, 2**64, 500, np.uint64)) for _ in range(2))
+    sets = [base, base[3:], other]
+    prints = np.array([7, 7 ^ 0b101, 7 ^ 0b111], np.uint64)
+    # All three are near each other, but only two sets are alike.
+    assert simhash._similar(sets, [[], [], []], prints, np.zeros(3, int), False, 0.8) == [(0, 1)]
+    far = np.array([7, 7 ^ 0xF0, 7], np.uint64)
+    assert simhash._similar(sets, [[], [], []], far, np.zeros(3, int), False, 0.8) == []
+
+
+def test_near_prints_connect_keys_through_the_trees(spark):
+    prints = {b"a": 5, b"b": 5, b"c": 5 ^ 0b11, b"d": 5 ^ 0b11111, b"e": 5 ^ 0xFFFF00}
+    rows = [(bytearray(key), bytearray(fp.to_bytes(8, "big"))) for key, fp in prints.items()]
+    found = simhash._near_prints(spark.createDataFrame(rows, "key binary, fp binary"))
+    # d is within three bits of c alone, and e of none.
+    of = {bytes(r.node): bytes(r.root) for r in components(found, "a", "b").collect()}
+    assert of == dict.fromkeys([b"a", b"b", b"c", b"d"], b"a")
