@@ -12,7 +12,7 @@ from authorlink import Inputs, MasterStore, Options, job, run_full_refresh, run_
 from authorlink import schemas as S
 from authorlink.operators.load import merge_upsert
 from authorlink.sources import workspace as workspaces
-from authorlink.sources.buckets import buckets_of
+from authorlink.sources.buckets import buckets_for, buckets_of
 from authorlink.sources.store import Release, StaleRelease
 from authorlink.sources.workspace import Workspace
 from authorlink.verify.fixtures import Fixtures
@@ -187,3 +187,36 @@ def test_deliveries_one_after_another_are_the_same_with_and_without_a_store(spar
         columns = [f.name for f in S.MASTER if f.name != "etl_updated_date"]
         assert bag(store.master(), *columns) == bag(plain, *columns)
         assert bag(store.stage()) == bag(one.stage)
+
+
+def test_the_number_of_buckets_grows_with_the_rows(spark, workspace):
+    assert buckets_for(0) == buckets_for(4_000_000) == 8 and buckets_for(108_000_000) == 216
+    copy = workspace.in_buckets(_rows(spark, 40), "rows", S.MASTER_SLOT)
+    assert buckets_of(copy, S.MASTER_SLOT) == 8 and bag(copy) == bag(_rows(spark, 40))
+    assert workspace.in_buckets(copy, "rows", S.MASTER_SLOT) is copy
+
+
+def test_a_run_without_a_store_moves_its_master_once(spark, workspace, derived, sorted_joins, monkeypatch):
+    plain, _ = derived
+    plans, stage, write_buckets = [], Workspace.stage, workspaces.write_buckets
+    monkeypatch.setattr(Workspace, "stage", lambda self, df, name: (plans.append((name, _moved(df))), stage(self, df, name))[1])
+    monkeypatch.setattr(
+        workspaces, "write_buckets", lambda df, path, *args: (plans.append((path, _moved(df))), write_buckets(df, path, *args))[1]
+    )
+    run_incremental(plain, workspace)
+    assert sum("/master-" in name for name, _ in plans) == 1
+    assert len([line for _, found in plans for line, _ in found if "hashpartitioning(_bucket" not in line]) <= 30
+
+
+def test_copies_leave_the_derived_master_before_names_are_made(spark):
+    plan = Fixtures(spark, SF_DIR).matched_author_isbn13._jdf.queryExecution().executedPlan().toString()
+    keys = [line for line in plan.splitlines() if "HashAggregate" in line and "isbn13" in line]
+    assert keys and not any("author_name" in line or "hash_id" in line for line in keys)
+    assert "partial_" not in "".join(keys)
+
+
+def test_a_stage_in_the_buckets_of_the_master_is_not_moved_by_the_merge(spark, workspace, sorted_joins):
+    master = workspace.in_buckets(_rows(spark, 60), "master", S.MASTER_SLOT)
+    stage = workspace.in_buckets(_rows(spark, 90).drop("etl_updated_date"), "stage", S.MASTER_SLOT)
+    merged = merge_upsert(master, stage)
+    assert _moved(merged) == [] and bag(merged, "isbn13") == bag(_rows(spark, 90), "isbn13")
