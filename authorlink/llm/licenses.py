@@ -8,7 +8,7 @@ reach over the line ends.
 Training. The known families' notices (``TEMPLATES``, with a few ways to open and close
 them) and, as the class ``unknown``, about ``SAMPLE`` paragraphs of the corpus, drawn by a
 hash, that don't resemble a template. Elastic-net multinomial regression leaves few
-n-grams with a weight. Every fifth paragraph is held back; on these one temperature
+n-grams with a weight; those that it leaves without one stay out of the learner (``_regression``). Every fifth paragraph is held back; on these one temperature
 is fitted, which calibrates the probabilities, that of ``unknown`` included.
 
 Scanning. A paragraph is a notice if a family's probability is at least ``LEAST`` and the
@@ -38,8 +38,8 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -273,26 +273,55 @@ def _template_grams(spark: SparkSession) -> dict[str, list[list[str]]]:
     return found
 
 
+def _vectors(rows: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """Rows with their n-grams as ``features``; in one part, since it is a bounded sample and read dozens of times."""
+    return CountVectorizerModel.from_vocabulary(vocabulary, "grams", "features", binary=True).transform(rows).coalesce(1)
+
+
+def _regression(rows: DataFrame, vocabulary: list[str]) -> tuple[list[str], LogisticRegressionModel]:
+    """The elastic-net regression over all of ``vocabulary``, and the n-grams it was learnt on.
+
+    Most n-grams end without a weight, but in the learner each costs the driver dozens of numbers a class. So
+    it begins with those of the notices, and takes in the others whose gradient exceeds the L1 penalty, until there is none: then
+    the weight of every other is zero where the objective over all is least.
+    """
+    learner = LogisticRegression(
+        labelCol="place", featuresCol="features", family="multinomial", regParam=0.0005, elasticNetParam=0.7, maxIter=50, standardization=False
+    )
+    penalty = learner.getRegParam() * learner.getElasticNetParam() * rows.count()
+    of_notices = rows.where(F.col("label") != UNKNOWN).select(F.explode("grams").alias("gram")).distinct()
+    first = {r["gram"] for r in of_notices.collect()}  # as many as TEMPLATES has
+    used = [g for g in vocabulary if g in first]
+    while True:
+        model = learner.fit(_vectors(rows, used))
+        taken = set(used)
+        others = [(g,) for g in vocabulary if g not in taken]
+        if not others:
+            return used, model
+        others = rows.sparkSession.createDataFrame(others, "gram string")
+        told = model.transform(_vectors(rows, used)).select("grams", "place", vector_to_array("probability").alias("p"))
+        off = [F.get("p", F.lit(k)) - (F.col("place") == k).cast("double") for k in range(model.numClasses)]
+        told = told.select(F.explode("grams").alias("gram"), *(c.alias(f"_{k}") for k, c in enumerate(off)))
+        slope = F.greatest(*(F.abs(F.sum(f"_{k}")) for k in range(model.numClasses)), F.lit(0.0))
+        slopes = told.join(F.broadcast(others), "gram").groupBy("gram").agg(slope.alias("slope"))
+        steep = {r["gram"] for r in slopes.where(F.col("slope") > penalty).select("gram").collect()}
+        if not steep:
+            return used, model
+        used = [g for g in vocabulary if g in taken or g in steep]
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], list[tuple[str, int, float]], list[float], float]:
     """Labels, weights ``(gram, label, weight)``, biases and the temperature."""
     rows = common.written(_training(docs, sample), "notices")
     labels = [r["label"] for r in rows.select("label").distinct().orderBy("label").collect()]  # the families
     place = F.array_position(F.array(*map(F.lit, labels)), F.col("label")).cast("double") - 1
-    vectors = CountVectorizer(inputCol="grams", outputCol="features", vocabSize=1 << 16, minDF=2, binary=True).fit(rows)
-    prepared = vectors.transform(rows.withColumn("place", place)).coalesce(1)  # a bounded sample, read dozens of times
-    learner = LogisticRegression(
-        labelCol="place", featuresCol="features", family="multinomial", regParam=0.0005, elasticNetParam=0.7, maxIter=50, standardization=False
-    )
-    model = learner.fit(prepared.where("drawn <> 4"))
+    vocabulary = CountVectorizer(inputCol="grams", outputCol="features", vocabSize=1 << 16, minDF=2, binary=True).fit(rows).vocabulary
+    placed = rows.withColumn("place", place)
+    used, model = _regression(placed.where("drawn <> 4"), vocabulary)
     matrix = model.coefficientMatrix.toArray()
-    weights = [
-        (gram, k, float(matrix[k, i]))
-        for i, gram in enumerate(vectors.vocabulary)
-        for k in range(matrix.shape[0])
-        if abs(matrix[k, i]) > 1e-9
-    ]
+    weights = [(gram, k, float(matrix[k, i])) for i, gram in enumerate(used) for k in range(matrix.shape[0]) if abs(matrix[k, i]) > 1e-9]
     bias = [float(x) for x in model.interceptVector.toArray()]
-    held = model.transform(prepared.where("drawn = 4")).select(
+    held = model.transform(_vectors(placed.where("drawn = 4"), used)).select(
         F.col("place").cast("int").alias("place"), vector_to_array("rawPrediction").alias("raw")
     )
     grid = [0.05 * 1.15**i for i in range(44)]

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import regex as re
+from pyspark.ml.classification import LogisticRegression
 
 from authorlink.llm import licenses
 from tests.llm.conftest import rows_of
@@ -142,3 +143,30 @@ def test_ngrams(spark):
 
 def test_empty_table(spark, folder):
     assert licenses.op7_license_notices(spark, folder([])).count() == 0
+
+
+def test_learner_holds_few_ngrams_and_is_as_good_as_on_all(spark, folder, monkeypatch):
+    learnt, fit = [], LogisticRegression.fit
+
+    def recorded(self, rows):
+        learnt.append((fit(self, rows), rows, self))
+        return learnt[-1][0]
+
+    monkeypatch.setattr(LogisticRegression, "fit", recorded)
+    draw = random.Random(7)
+    words = ["".join(draw.choices("bcdfghjklmn", k=5)) for _ in range(60)]
+    # One word that is in many paragraphs without being one of a template, so that it has to be taken in.
+    lines = [" ".join(draw.choices(words, k=12)) + (" of the license quorzel" if i % 3 else "") for i in range(600)]
+    path = folder([(i, line) for i, line in enumerate(lines)])
+    _, weights, _, _ = licenses.fit(spark.read.parquet(f"{path}/documents.parquet"), sample=4000)
+    model, _, learner = learnt[-1]
+    assert model.numFeatures <= 1000 and weights
+    # The same rows with all n-grams: the objective is not lower.
+    rows = licenses._training(spark.read.parquet(f"{path}/documents.parquet"), 4000).where("drawn <> 4")
+    labels = sorted({r["label"] for r in rows.select("label").distinct().collect()})
+    rows = rows.select("grams", licenses.F.array_position(licenses.F.array(*map(licenses.F.lit, labels)), licenses.F.col("label")).cast("double").alias("place"))
+    rows = rows.withColumn("place", licenses.F.col("place") - 1)
+    counted = licenses.CountVectorizer(inputCol="grams", outputCol="features", minDF=2, binary=True).fit(rows)
+    assert len(counted.vocabulary) > 2 * model.numFeatures
+    whole = fit(learner, counted.transform(rows).coalesce(1))
+    assert model.summary.objectiveHistory[-1] <= whole.summary.objectiveHistory[-1] * 1.01
