@@ -85,6 +85,22 @@ def test_a_hot_key_on_the_right_is_combined_before_it_moves(spark, small_tasks,
     assert "partial" in right_side or "keys=[k" in right_side[right_side.index("Exchange") :]
 
 
+@pytest.mark.parametrize("on", [["k"], ["k", "r"]])
+def test_hashed_joins_equal_sorted_ones_and_sort_nothing(skewed, partners, on):
+    right = partners.select(*on).union(partners.select(*on))
+    joins = [
+        lambda hashed: keys.exclude(skewed, right, on, hashed=hashed),
+        lambda hashed: keys.lookup_flag(skewed, right, on, "known", hashed=hashed),
+        lambda hashed: keys.update_from(skewed, right.distinct(), on, {"v": F.lit(None)}, hashed),
+        lambda hashed: keys.residual_after(skewed, right, on, split=False, hashed=hashed),
+    ]
+    for join in joins:
+        hashed = join(True)
+        assert bag(hashed) == bag(join(False))
+        plan = hashed._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and "Sort [" not in plan
+
+
 def test_key_types_must_agree(skewed, partners):
     with pytest.raises(TypeError):
         keys.lookup(skewed, partners.withColumn("k", F.col("k").cast("int")), ["k"])

@@ -38,6 +38,14 @@ def test_full_names(spark, function, expected):
     assert _apply(spark, function, _PAIRS) == expected
 
 
+def test_normalise_name_equals_replacing_everywhere(spark):
+    texts = [f"{a}{b} {c}{a}z" for a in ("", " ", "\t", "\u00a0") for b in ("x", "\r\n", "\u00df ") for c in ("", " ", "\n\t")]
+    rows = [(i, text, None) for i, text in enumerate(texts)]
+    every = lambda n: F.regexp_replace(F.trim(F.upper(F.translate(n, "\r\n\t", "   "))), " +", " ")
+    plain = _apply(spark, lambda a, b: names.normalise_name(a), rows)
+    assert plain == _apply(spark, lambda a, b: every(a), rows) and len(set(plain)) > 5
+
+
 def test_normalise_name(spark):
     rows = [(0, "  a\t\nb   c ", None), (1, "\tx\r", None), (2, None, None), (3, "é  É", None)]
     assert _apply(spark, lambda a, b: names.normalise_name(a), rows) == ["A B C", "X", None, "É É"]

@@ -7,13 +7,16 @@ import re
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from authorlink import Inputs, MasterStore, Options, job, run_full_refresh, run_incremental
 from authorlink import schemas as S
+from authorlink.operators.delta import delta_classify, feed_credits
 from authorlink.operators.keys import stacked
-from authorlink.operators.load import mark_new_hashes, merge_upsert
+from authorlink.operators.load import mark_new_hashes, merge_upsert, overlay_changes
+from authorlink.operators.matching import combine_linked
 from authorlink.sources import workspace as workspaces
-from authorlink.sources.buckets import buckets_for, buckets_of
+from authorlink.sources.buckets import WRITERS, buckets_for, buckets_of
 from authorlink.sources.store import Release, StaleRelease
 from authorlink.sources.workspace import Workspace
 from authorlink.verify.fixtures import Fixtures
@@ -276,3 +279,37 @@ def test_a_stack_of_tables_in_the_same_buckets_lies_in_them(spark, workspace):
     one = workspace.in_buckets(_rows(spark, 30), "one", S.MASTER_SLOT)
     both = stacked(one.filter("isbn13 IS NOT NULL").select("trade_db_author_name", *S.MASTER_SLOT), one.select("trade_db_author_name", *S.MASTER_SLOT))
     assert _moved(both.distinct()) == [] and both.count() == 60
+
+
+def test_credits_and_changes_meet_a_master_in_buckets_without_sorting(spark, workspace, sorted_joins):
+    master = workspace.in_buckets(_rows(spark, 60), "master", S.MASTER_SLOT)
+    feed = table(spark, S.FEED, *[credit(i, f"b{i}", "A", i % 3, f"n{i + i // 50}", None) for i in range(40, 70)])
+    classified = delta_classify(feed_credits(feed), master)
+    changes = master.filter("trade_db_contributor_id < 7").select(
+        *S.MASTER_SLOT, "trade_db_contributor_id", F.lit("new").alias("trade_db_author_name"), "matched_isni", "id_source"
+    )
+    changed = overlay_changes(master, changes)
+    for rows in (classified, changed):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "Sort [" not in plan
+    assert bag(classified, "delta_flag") == {("SAME",): 10, ("CHANGED",): 10, ("NEW",): 10}
+    assert changed.filter("trade_db_author_name = 'new' AND indigo_author_id IS NULL").count() == 7 and changed.count() == 60
+
+
+def test_writing_buckets_leaves_the_session_as_it_was(spark, workspace):
+    before = spark.conf.get(WRITERS[0], None)
+    kept = workspace.in_buckets(_rows(spark, 60), "master", S.MASTER_SLOT)
+    assert spark.conf.get(WRITERS[0], None) == before and bag(kept) == bag(_rows(spark, 60))
+    # Rows of all buckets in one task are more than its writers.
+    mixed = workspace.stage_in_buckets(_rows(spark, 60).coalesce(1), "mixed", S.MASTER_SLOT, 8, dealt=True)
+    assert bag(mixed) == bag(_rows(spark, 60)) and bag(mixed.join(kept, S.MASTER_SLOT, "left_semi")) == bag(kept)
+
+
+def test_only_the_links_of_the_further_bucket_are_made_distinct(spark):
+    link = {"trade_db_contributor_id": 1, "isbn13": "b", "contributor_role": "A", "contributor_order": 1, "author_nm": "n", "matched_isni": "i"}
+    layout = "trade_db_contributor_id bigint, isbn13 string, contributor_role string, contributor_order bigint, author_nm string, matched_isni string, ref_to string"
+    linked = table(spark, layout, {**link, "ref_to": S.BY_NAME})
+    more = table(spark, layout, *[{**link, "ref_to": S.BY_CONTRIBUTOR}] * 3, {**link, "ref_to": None})
+    both = combine_linked(linked, more)
+    assert bag(both, "ref_to") == {(S.BY_NAME,): 1, (S.BY_CONTRIBUTOR,): 1}
+    assert both._jdf.queryExecution().optimizedPlan().nodeName() == "Union"
