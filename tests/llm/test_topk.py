@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 import duckdb
 import numpy as np
@@ -68,3 +69,28 @@ def test_any_number_of_lists(spark, lists):
 
 def test_empty_table(spark, tmp_path):
     assert topk.op9_exact_topk(spark, _write(tmp_path, [])).count() == 0
+
+
+def test_blocks_are_never_broadcast(spark):
+    # What a copy for each block of the other side takes grows with the square of the data: at 6 GB it was over 2 GB.
+    df = spark.createDataFrame([(i, [i, 1]) for i in range(50)], "vec_id long, v array<long>")
+    plan = topk.top_k(df, df, k=3)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[q#\d+, ", plan) and not re.search(r"Broadcast\w*Join \[q#\d+, ", plan)
+
+
+@pytest.mark.parametrize("span", [1, 3, 100])
+def test_spans_of_blocks_of_any_width(spark, monkeypatch, span):
+    for name, value in (("ROW_BLOCK", 20), ("QUERY_BLOCK", 10), ("SPAN", span), ("PAIRS", 1)):
+        monkeypatch.setattr(topk, name, value)
+    r = np.random.default_rng(6)
+    rows = [(i, [int(x) for x in r.integers(-4, 4, 6) * 10 ** int(r.integers(0, 9))]) for i in range(300)]
+    # Ties, and a query that nothing but its own row would suit.
+    rows += [(300 + i, [1, 0, 0, 0, 0, 0]) for i in range(40)] + [(400, [3 * 10**9] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    got = sorted(rows_of(topk.top_k(df.where("vec_id % 10 = 0"), df, k=4)))
+    want = []
+    for q, a in rows:
+        if q % 10 == 0:
+            best = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in rows if i != q)[:4]
+            want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert got == sorted(want)
