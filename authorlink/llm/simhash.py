@@ -29,12 +29,14 @@ texts are hashed in parts. Extra columns are not carried along by ``linked``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from authorlink.llm import common
@@ -290,9 +292,12 @@ def linked(docs: DataFrame, words: int, radius: int, lanes: int = 1, tile: int =
 NEAR_WORDS, NEAR_SHARE = 5, 0.8
 #: Differing bits of fingerprints whose sets are compared.
 NEAR_RADIUS = 3
-#: Bands of a text and least hashes in each; the texts and the characters that are compared in one group at most.
-BANDS, IN_BAND, NEAR_TILE, NEAR_CHARS = 30, 5, 2048, 16_000_000
-_MIX = np.random.default_rng(SEED).integers(0, 2**64, (2, BANDS * IN_BAND), np.uint64) | np.array([[1], [0]], np.uint64)
+#: The texts and the characters that are compared in one group at most.
+NEAR_TILE, NEAR_CHARS = 2048, 16_000_000
+#: Hashes of texts that are held at a time, or those of one text.
+AT_ONCE = 50_000
+#: Share of a set's hashes that are looked up beyond what a similar set may lack; more of them let fewer sets pass.
+NEAR_SLACK = 0.1
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
@@ -307,55 +312,127 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(np.concatenate([kept, *parts])) if parts else kept
 
 
-def bands(hashes: np.ndarray) -> list[int]:
-    """A number for each band: two sets share one if they have the same least hashes in it."""
-    if not len(hashes):
-        return []
-    least = np.full(BANDS * IN_BAND, 2**64 - 1, np.uint64)
-    for at in range(0, len(hashes), 2048):
-        mixed = hashes[at : at + 2048, None] * _MIX[0]
-        mixed += _MIX[1]
-        np.minimum(least, mixed.min(0), out=least)
-    rows = least.reshape(BANDS, IN_BAND)
-    return [xxhash.xxh64_intdigest(row.tobytes(), band) - 2**63 for band, row in enumerate(rows)]
+def _sets(texts: pa.Array, words: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """The sets of shingles of all texts, some at a time, with the place of the first."""
+    at, sets, waiting = 0, [], 0
+    for i, text in enumerate(texts):
+        sets.append(shingle_set(text.as_py(), words))
+        waiting += len(sets[-1])
+        if i + 1 == len(texts) or waiting >= AT_ONCE:
+            yield at, sets
+            at, sets, waiting = i + 1, [], 0
 
 
-def _shingled(docs: DataFrame, words: int) -> DataFrame:
-    """``(doc_id, row, key, fp, chars, bands)`` of ``(doc_id, row, text)``; equal sets of shingles have the same key.
+def _shared(size: int, share: float) -> int:
+    """Hashes that a set of ``size`` shares at least with any that has a Jaccard similarity of ``share`` to it."""
+    return math.ceil(share * size - 1e-6)
 
-    The fingerprint is that of the set: a shingle counts once.
+
+def _lookup(size: int, share: float) -> tuple[int, int]:
+    """How many of a set's least hashes are looked up, and how many of them it shares with any similar set's.
+
+    A similar set lacks ``size - _shared`` hashes at most, so of as many and ``more`` it has ``more``. What two sets share
+    stands in the same order in both; so they have the lesser of their two numbers in common, and
+    the smallest set that may be similar has ``_shared`` hashes.
+    """
+
+    def more(n: int) -> int:
+        return min(_shared(n, share), max(1, math.ceil(NEAR_SLACK * n)))
+
+    return size - _shared(size, share) + more(size), more(_shared(size, share))
+
+
+def _shingled(docs: DataFrame, words: int, share: float) -> DataFrame:
+    """``(doc_id, row, key, fp, chars, enough, least)`` of ``(doc_id, row, text)``; equal sets of shingles have the same key.
+
+    The fingerprint is that of the set: a shingle counts once. ``least`` has the hashes that are looked up, and ``enough``
+    is how many of them have to be found.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, prints, chars, of_text = [], [], [], []
-            for text in batch.column("text"):
-                text = text.as_py()
-                hashes = shingle_set(text, words)
-                keys.append(xxhash.xxh3_128_digest(hashes.tobytes()))
-                prints.append(_majority([hashes]))
-                chars.append(len(text or ""))
-                of_text.append(bands(hashes))
-            columns = [pa.array(keys, pa.binary()), pa.array(prints, pa.binary())]
-            columns += [pa.array(chars, pa.int64()), pa.array(of_text, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row"), *columns], ["doc_id", "row", "key", "fp", "chars", "bands"]
-            )
+            for at, sets in _sets(batch.column("text"), words):
+                some = batch.slice(at, len(sets))
+                lookups = [_lookup(len(hashes), share) for hashes in sets]
+                least = [hashes[:n].view(np.int64) for hashes, (n, _) in zip(sets, lookups)]
+                columns = {
+                    "doc_id": some.column("doc_id"),
+                    "row": some.column("row"),
+                    "key": pa.array([xxhash.xxh3_128_digest(hashes.tobytes()) for hashes in sets], pa.binary()),
+                    "fp": pa.array([_majority([hashes]) for hashes in sets], pa.binary()),
+                    "chars": pc.fill_null(pc.utf8_length(some.column("text")), 0).cast(pa.int64()),
+                    "enough": pa.array([enough for _, enough in lookups], pa.int64()),
+                    "least": pa.ListArray.from_arrays(np.cumsum([0, *map(len, least)], dtype=np.int32), np.concatenate(least)),
+                }
+                yield pa.RecordBatch.from_pydict(columns)
 
     columns = docs.select(F.col("doc_id").cast("long"), "row", "text")
-    return columns.mapInArrow(run, "doc_id long, row long, key binary, fp binary, chars long, bands array<long>")
+    return columns.mapInArrow(run, "doc_id long, row long, key binary, fp binary, chars long, enough long, least array<long>")
+
+
+def _found_elsewhere(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(of, n)``: how often a set had a hash that another one has too, of distinct rows ``(hash, of)`` in order."""
+    last = None
+    for batch in batches:
+        hashes, of = batch.column("hash").to_numpy(), batch.column("of").to_numpy()
+        if last is not None:
+            # The last row before is told of only once its successor is known.
+            hashes, of = np.append(last[0], hashes), np.append(last[1], of)
+        new = np.ones(len(of), bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
+        hashes, of = hashes[new], of[new]
+        same = hashes[1:] == hashes[:-1]
+        met = np.append(last is not None and last[2], same)
+        met[:-1] |= same
+        if len(of):
+            last = hashes[-1], of[-1], met[-1]
+            sets, n = np.unique(of[:-1][met[:-1]], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(sets, pa.int64()), pa.array(n, pa.int64())], ["of", "n"])
+    if last is not None and last[2]:
+        yield pa.RecordBatch.from_arrays([pa.array([last[1]], pa.int64()), pa.array([1], pa.int64())], ["of", "n"])
+
+
+def _maybe_similar(printed: DataFrame, distinct: DataFrame) -> DataFrame:
+    """The keys of sets that share enough of their least hashes with others. No other set is similar to one."""
+    looked_up = printed.select(F.explode("least").alias("hash"), F.xxhash64("key").alias("of"))
+    found = looked_up.repartition("hash").sortWithinPartitions("hash", "of").mapInArrow(_found_elsewhere, "of long, n long")
+    found = found.groupBy("of").agg(F.sum("n").alias("n"))
+    return distinct.join(found, F.xxhash64("key") == F.col("of")).where("n >= enough").select("key")
+
+
+def _rarest(suspects: DataFrame, words: int, share: float) -> DataFrame:
+    """``(key, rare)``: hashes of which similar sets have one in common.
+
+    Of a set's hashes, the rarest first, a similar one lacks ``size - _shared`` at most, and they share the first of those they share.
+    Hashes that no other suspect has come first, and need no mention.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, sets in _sets(batch.column("text"), words):
+                sizes = [len(hashes) for hashes in sets]
+                keys = batch.column("key").take(pa.array(np.repeat(np.arange(at, at + len(sets)), sizes)))
+                shared = np.repeat(np.array([_shared(n, share) for n in sizes], np.int64), sizes)
+                columns = [keys, pa.array(np.concatenate(sets).view(np.int64)), pa.array(shared)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "hash", "shared"])
+
+    held = suspects.select("key", "text").mapInArrow(run, "key binary, hash long, shared long")
+    counted = held.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("hash"))).where("n > 1")
+    of_set = counted.groupBy("key").agg(F.first("shared").alias("shared"), F.sort_array(F.collect_list(F.struct("n", "hash"))).alias("held"))
+    rare = F.slice("held", F.lit(1), (F.size("held") - F.col("shared") + 1).cast("int"))
+    return of_set.where(F.size("held") >= F.col("shared")).select("key", rare["hash"].alias("rare"))
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every key with the one before it, where both have the band, of rows in the order of bands."""
-    last_band, last_key = None, None
+    """Every key with the one before it, where both have the hash, of rows in the order of hashes."""
+    last_hash, last_key = None, None
     for batch in batches:
         a, b = [], []
-        for band, key in zip(batch.column("band").to_pylist(), batch.column("key").to_pylist()):
-            if band == last_band:
+        for hash_, key in zip(batch.column("hash").to_pylist(), batch.column("key").to_pylist()):
+            if hash_ == last_hash:
                 a.append(last_key)
                 b.append(key)
-            last_band, last_key = band, key
+            last_hash, last_key = hash_, key
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
 
@@ -364,17 +441,17 @@ def _similar(
 ) -> list[tuple[int, int]]:
     """Links, as places, that connect all sets connected by pairs with a Jaccard similarity of ``share``.
 
-    Of the pairs with a band in common or with fingerprints within ``NEAR_RADIUS``.
+    Of the pairs with a rare hash in common or with fingerprints within ``NEAR_RADIUS``.
     """
     n, found = len(sets), []
     size = np.array([len(s) for s in sets])
     label, tried = np.arange(n), np.zeros((n, n), bool)
-    place = np.repeat(np.arange(n), [len(b) for b in of_text])
-    band = np.array([x for b in of_text for x in b], np.int64)
-    order = np.argsort(band, kind="stable")
+    place = np.repeat(np.arange(n), [len(rare) for rare in of_text])
+    rare = np.array([x for hashes in of_text for x in hashes], np.int64)
+    order = np.argsort(rare, kind="stable")
 
     def met() -> Iterator[tuple[int, np.ndarray]]:
-        for members in np.split(place[order], np.flatnonzero(np.diff(band[order])) + 1):
+        for members in np.split(place[order], np.flatnonzero(np.diff(rare[order])) + 1):
             # What is connected needs no comparison.
             if len(members) and (label[members] != label[members[0]]).any():
                 yield from ((members[at], members[:at]) for at in range(1, len(members)))
@@ -399,7 +476,7 @@ def _verifier(words: int, share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, rows = None, []
         for batch in batches:
-            columns = [batch.column(c) for c in ("root", "low", "high", "tile", "key", "fp", "bands", "text")]
+            columns = [batch.column(c) for c in ("root", "low", "high", "tile", "key", "fp", "rare", "text")]
             for i in range(batch.num_rows):
                 *group, tile, key, fp, of_text, text = (c[i].as_py() for c in columns)
                 if group != of:
@@ -429,23 +506,26 @@ def _near_prints(distinct: DataFrame) -> DataFrame:
     return across.unionByName(equal.select(F.col("first_key").alias("a"), F.col("key").alias("b")))
 
 
-def _similar_keys(docs: DataFrame, distinct: DataFrame, words: int, share: float, tile: int) -> DataFrame:
+def _similar_keys(docs: DataFrame, printed: DataFrame, distinct: DataFrame, words: int, share: float, tile: int) -> DataFrame:
     """Links ``(a, b)`` of keys, all of them confirmed, that reach all that can be reached."""
-    banded = distinct.select("key", F.explode("bands").alias("band"))
-    chained = banded.repartition("band").sortWithinPartitions("band", "key").mapInArrow(_neighbours, "a binary, b binary")
-    near = components(chained.unionByName(_near_prints(distinct)).distinct(), "a", "b")
-    near = common.written(distinct.join(near, F.col("key") == F.col("node")).drop("node"), "candidates")
-    parts = F.greatest(F.ceil(F.count(F.lit(1)) / tile), F.ceil(F.sum("chars") / NEAR_CHARS)).cast("int")
-    tiled = near.join(near.groupBy("root").agg(parts.alias("tiles")), "root")
-    tiled = tiled.withColumn("tile", F.pmod(F.xxhash64("key"), "tiles").cast("int"))
-    tiled = tiled.select("root", "tiles", "tile", "key", "fp", "bands", F.col("first.doc_id").alias("_id"), F.col("first.row").alias("_row"))
+    near = common.written(_near_prints(distinct), "near-links")
+    asked = near.select(F.col("a").alias("key")).unionByName(near.select(F.col("b").alias("key"))).unionByName(_maybe_similar(printed, distinct)).distinct()
+    known = distinct.join(asked, "key").select("key", "fp", "chars", F.col("first.doc_id").alias("_id"), F.col("first.row").alias("_row"))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row"))
     # A row may be there more than once.
-    with_text = docs.select("doc_id", "row", "text").join(tiled, same).groupBy("key").agg(
-        *(F.first(c).alias(c) for c in ("root", "tiles", "tile", "fp", "bands", "text"))
-    )
+    suspects = docs.select("doc_id", "row", "text").join(known, same).groupBy("key").agg(*(F.first(c).alias(c) for c in ("fp", "chars", "text")))
+    suspects = common.written(suspects, "suspects")
+    rare = common.written(_rarest(suspects, words, share), "rare-hashes")
+    held = rare.select("key", F.explode("rare").alias("hash"))
+    chained = held.repartition("hash").sortWithinPartitions("hash", "key").mapInArrow(_neighbours, "a binary, b binary")
+    member = components(chained.unionByName(near).distinct(), "a", "b").withColumnRenamed("node", "key")
+    candidates = common.written(suspects.select("key", "chars").join(member, "key"), "candidates")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / tile), F.ceil(F.sum("chars") / NEAR_CHARS)).cast("int")
+    tiled = candidates.join(candidates.groupBy("root").agg(parts.alias("tiles")), "root")
+    tiled = tiled.withColumn("tile", F.pmod(F.xxhash64("key"), "tiles").cast("int")).select("root", "tiles", "tile", "key")
+    with_text = suspects.join(tiled, "key").join(rare, "key", "left").withColumn("rare", F.coalesce("rare", F.array().cast("array<long>")))
     paired = with_text.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
-        "root", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "key", "fp", "bands", "text"
+        "root", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "tile", "key", "fp", "rare", "text"
     )
     group = ["root", "low", "high"]
     return paired.repartition(*group).sortWithinPartitions(*group, "key").mapInArrow(_verifier(words, share), "a binary, b binary")
@@ -456,12 +536,12 @@ def near_duplicates(docs: DataFrame, words: int = NEAR_WORDS, share: float = NEA
 
     Groups are the components of links between texts whose sets of shingles have a
     Jaccard similarity of ``share`` or more; each link is confirmed by the sets
-    themselves. Pairs are compared if their fingerprints, linked through the BK-trees, differ in at most
-    ``NEAR_RADIUS`` bits, or if they agree in one of ``BANDS`` bands of ``IN_BAND`` least hashes, which misses an isolated pair of similarity 0.8 with a probability of
-    ``(1 - 0.8**5)**30``, 7 in a million, and one of 0.85 with 5 in 10^8. The bands are there because
-    bits of pairs at 0.8 spread too far around their mean for any radius to find them.
+    themselves, and no such pair is missed. Pairs are compared if their fingerprints, linked through the BK-trees, differ in
+    at most ``NEAR_RADIUS`` bits, or if the sets have one of their rarest hashes in common, as any two so similar do. Few
+    texts come that far: a set that shares too few of its least hashes with others is similar to none (``_lookup``), and only
+    the texts of the other sets move and have all of their hashes counted.
 
-    Texts so connected form candidate groups, and only their texts move. Large groups are
+    Texts so connected form candidate groups. Large groups are
     dealt out to tiles, each pair of which is compared in a group of its own; pairs that are
     connected already are not compared. Texts without words are one group.
     Ids come before null ones; of equal ids the row with the lowest hash stays, and of
@@ -472,11 +552,11 @@ def near_duplicates(docs: DataFrame, words: int = NEAR_WORDS, share: float = NEA
     columns = docs.columns
     row = F.xxhash64(*(F.col(c) for c in columns))
     numbered = docs.select("doc_id", row.alias("row"), "text")
-    printed = common.written(_shingled(numbered, words), "shingled")
+    printed = common.written(_shingled(numbered, words, share), "shingled")
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    distinct = printed.groupBy("key").agg(F.min(key).alias("first"), *(F.first(c).alias(c) for c in ("fp", "chars", "bands")))
+    distinct = printed.groupBy("key").agg(F.min(key).alias("first"), *(F.first(c).alias(c) for c in ("fp", "chars", "enough")))
     distinct = common.written(distinct, "distinct-sets")
-    found = components(_similar_keys(numbered, distinct, words, share, tile), "a", "b")
+    found = components(_similar_keys(numbered, printed, distinct, words, share, tile), "a", "b")
     member = distinct.join(found, distinct["key"] == found["node"], "left").select("first", F.coalesce("root", "key").alias("root"))
     chosen = member.groupBy("root").agg(F.min("first").alias("first"))
     chosen = chosen.select(F.col("first.doc_id").alias("_id"), F.col("first.row").alias("_row"))

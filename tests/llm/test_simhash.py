@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -180,3 +181,82 @@ def test_near_prints_connect_keys_through_the_trees(spark):
     # d is within three bits of c alone, and e of none.
     of = {bytes(r.node): bytes(r.root) for r in components(found, "a", "b").collect()}
     assert of == dict.fromkeys([b"a", b"b", b"c", b"d"], b"a")
+
+
+def _alike(a, b):
+    return len(a & b) >= 0.8 * len(a | b)
+
+
+def test_a_pair_without_a_common_run_of_least_hashes_is_found(spark, folder):
+    # The former way, 30 bands of 5 least hashes, finds nothing: of each band, the text of one least hash is changed.
+    words = _pair(2000, 0, 77)[0].split()
+    mix = np.random.default_rng(42).integers(0, 2**64, (2, 150), np.uint64) | np.array([[1], [0]], np.uint64)
+
+    def least(words):
+        hashes = np.array([xxhash.xxh64_intdigest(" ".join(words[i : i + 5]), 42) for i in range(len(words) - 4)], np.uint64)
+        mixed = hashes[:, None] * mix[0] + mix[1]
+        return mixed.min(0).reshape(30, 5), mixed.argmin(0)
+
+    (before, places), other = least(words), list(words)
+    for place in places[::5].tolist():
+        other[place + 2] = f"x{place}"
+    assert not (least(other)[0] == before).all(1).any()
+    a, b = " ".join(words), " ".join(other)
+    assert 0.8 < len(_set_of(a) & _set_of(b)) / len(_set_of(a) | _set_of(b)) < 0.9
+    prints = (int.from_bytes(simhash._majority([simhash.shingle_set(x, 5)]), "big") for x in (a, b))
+    assert (next(prints) ^ next(prints)).bit_count() > simhash.NEAR_RADIUS
+    read = spark.read.parquet(f"{folder([(1, a), (2, b), (3, prose(200, 5))])}/documents.parquet")
+    assert {r.doc_id for r in simhash.near_duplicates(read).collect()} == {1, 3}
+
+
+@pytest.mark.parametrize("tile", [simhash.NEAR_TILE, 2])
+def test_near_duplicates_against_all_pairs(spark, folder, tile):
+    r, docs = random.Random(12), [(0, ""), (1, None), (2, "a"), (3, "A"), (4, "a b c d e"), (5, "a b c d e f")]
+    for family in range(30):
+        base = [f"f{family}w{i}" for i in range(r.choice([5, 6, 8, 9, 10, 14, 24, 60, 150]))]
+        line = [f"line{i}" for i in range(12)]
+        for _ in range(r.randrange(2, 8)):
+            n = round(len(base) * r.choice([0, 0.03, 0.06, 0.1, 0.12, 0.2]))
+            text = [f"n{r.getrandbits(40)}" for _ in range(n)] + base[r.choice([0, n]) :] + line * r.randrange(2)
+            docs.append((len(docs), " ".join(text)))
+    sets = [_set_of(d[1] or "") for d in docs]
+    roots = list(range(len(docs)))
+    for i in range(len(docs)):
+        for j in range(i):
+            if _alike(sets[i], sets[j]) and roots[i] != roots[j]:
+                old, new = max(roots[i], roots[j]), min(roots[i], roots[j])
+                roots = [new if x == old else x for x in roots]
+    want = set(roots)
+    assert 60 < len(want) < len(docs) - 20
+    read = spark.read.parquet(f"{folder(docs)}/documents.parquet")
+    assert {r.doc_id for r in simhash.near_duplicates(read, tile=tile).collect()} == want
+
+
+def test_hashes_looked_up_are_enough_for_any_similar_set():
+    r = random.Random(3)
+    for _ in range(4000):
+        n = r.choice([1, 2, 3, 5, 9, 10, 24, 25, 26, 99, 400])
+        a = r.sample(range(3 * n), n)
+        b = a[r.randrange(n // 4 + 1) :] + [3 * n + i for i in range(r.randrange(n // 4 + 1))]
+        if not b or not _alike(set(a), set(b)):
+            continue
+        order = {x: r.random() for x in {*a, *b}}
+        at = [simhash._lookup(len(s), 0.8) for s in (a, b)]
+        first = [sorted(s, key=order.get)[:k] for s, (k, _) in zip((a, b), at)]
+        assert len(set(first[0]) & set(first[1])) >= max(enough for _, enough in at) >= 1
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 100])
+def test_hashes_found_elsewhere_in_batches_of_any_size(size):
+    r = random.Random(size)
+    rows = sorted((r.randrange(12), r.randrange(4)) for _ in range(40)) + [(50, 1), (50, 1), (51, 3), (51, 4)]
+    batches = [pa.RecordBatch.from_pydict({"hash": [x[0] for x in some], "of": [x[1] for x in some]}) for some in (rows[i : i + size] for i in range(0, len(rows), size))]
+    found = {}
+    for batch in simhash._found_elsewhere(iter([batches[0].slice(0, 0), *batches])):
+        for of, n in zip(batch.column("of").to_pylist(), batch.column("n").to_pylist()):
+            found[of] = found.get(of, 0) + n
+    want = {}
+    for hash_, of in set(rows):
+        if any(h == hash_ and o != of for h, o in rows):
+            want[of] = want.get(of, 0) + 1
+    assert found == want
